@@ -25,6 +25,12 @@ from riskweave.settings import (
 from riskweave.sources.adapters import EVENT_TXN_SQL, TXN_SQL, duck
 
 FEATURE_DATE = dt.date(1998, 6, 30)
+DAY = dt.date(1998, 6, 30)
+RUN_DATE = dt.date(1998, 7, 1)
+UPSERT_TARGET_UNTIL = dt.date(1998, 6, 30)
+UPSERT_SOURCE_FROM = dt.date(1998, 6, 1)
+FEATURES_STALE_CUTOFF = dt.date(1998, 6, 20)
+UPSERT_FEATURE_DATES = (dt.date(1998, 5, 31), dt.date(1998, 6, 30), dt.date(1998, 7, 31))
 STDDEV_PLACES = 6
 
 
@@ -129,21 +135,27 @@ RATIOS_SQL = """
     AS avg_daily_txn_count_30d"""
 
 
-def features_ctes(fd: dt.date, windows=(7, 30, 90), src: str = "silver") -> dict[str, str]:
+def features_ctes(fd: dt.date, windows=(7, 30, 90), src: str = "silver", prefix: str = "",
+                  ratios: bool = True) -> dict[str, str]:
+    """CTEs ending in ``{prefix}feat``: the per-window join form of the feature table."""
     lo = fd - dt.timedelta(days=95)
+    p = prefix
     ctes = {
-        "lb": f"SELECT * FROM {src} WHERE transaction_date BETWEEN {_d(lo)} AND {_d(fd)}",
-        "acc": """SELECT account_number, customer_id FROM lb QUALIFY row_number() OVER (
+        f"{p}lb": f"SELECT * FROM {src} WHERE transaction_date BETWEEN {_d(lo)} AND {_d(fd)}",
+        f"{p}acc": f"""SELECT account_number, customer_id FROM {p}lb QUALIFY row_number() OVER (
                   PARTITION BY account_number ORDER BY transaction_datetime DESC NULLS LAST,
                   transaction_id DESC NULLS LAST) = 1""",
     }
     for w in windows:
-        ctes[f"w{w}"] = window_sql("lb", fd, w)
-    joins = " ".join(f"LEFT JOIN w{w} USING (account_number)" for w in windows)
-    ctes["wide"] = f"SELECT * FROM acc {joins}"
-    ctes["feat"] = (
-        f"SELECT *, {RATIOS_SQL}, '{fd.isoformat()}' AS feature_date, '3.1.0' AS _pipeline_version FROM wide"
-    )
+        ctes[f"{p}w{w}"] = window_sql(f"{p}lb", fd, w)
+    joins = " ".join(f"LEFT JOIN {p}w{w} USING (account_number)" for w in windows)
+    ctes[f"{p}wide"] = f"SELECT * FROM {p}acc {joins}"
+    if ratios:
+        ctes[f"{p}feat"] = (
+            f"SELECT *, {RATIOS_SQL}, '{fd.isoformat()}' AS feature_date, '3.1.0' AS _pipeline_version FROM {p}wide"
+        )
+    else:
+        ctes[f"{p}feat"] = f"SELECT * FROM {p}wide"
     return ctes
 
 

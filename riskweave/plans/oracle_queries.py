@@ -2,8 +2,115 @@
 
 from __future__ import annotations
 
-from riskweave.plans.oracle import features_sql
+import datetime as dt
+
+from riskweave.operators.quality import GOLD_CHECKS, SILVER_CHECKS
+from riskweave.plans import oracle as O
+from riskweave.plans.oracle import _d, _in, features_ctes, with_steps
+from riskweave.settings import CHANNEL_ALIASES, VALID_CHANNELS, VALID_TRANSACTION_TYPES
+
+META = "'1998-07-01' AS _ingestion_date, '2.4.0' AS _pipeline_version, 'CBS_NIGHTLY_EXPORT' AS _source_system"
+SILVER_TABLE = "silver/financial/transactions_clean"
+GOLD_TABLE = "gold/risk/credit_risk_features"
+
+# Row predicates of the quality gates, written independently of the Spark catalogue.
+SILVER_FAILS = {
+    "null_transaction_id": "count(*) FILTER (WHERE transaction_id IS NULL)",
+    "null_account_number": "count(*) FILTER (WHERE account_number IS NULL)",
+    "negative_amount": "count(*) FILTER (WHERE amount_usd < 0)",
+    "invalid_transaction_type": f"count(*) FILTER (WHERE NOT (transaction_type IN {_in(VALID_TRANSACTION_TYPES)}))",
+    "invalid_channel": f"count(*) FILTER (WHERE NOT (transaction_channel IN {_in(VALID_CHANNELS)}))",
+    "future_transaction_date": f"count(*) FILTER (WHERE transaction_date > {_d(O.RUN_DATE)})",
+    "missing_sar_flag": "count(*) FILTER (WHERE amount_usd >= 10000 AND _flag_sar_eligible = false)",
+    "duplicate_transaction_id": "count(*) - count(DISTINCT transaction_id)"
+                                " - coalesce(max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END), 0)",
+}
+GOLD_FAILS = {
+    "null_account_features": "count(*) FILTER (WHERE txn_count_30d IS NULL)",
+    "negative_feature_values": "count(*) FILTER (WHERE txn_count_7d < 0 OR txn_total_amount_30d < 0)",
+    "online_ratio_out_of_range": "count(*) FILTER (WHERE online_txn_ratio_30d < 0 OR online_txn_ratio_30d > 1)",
+    "feature_date_consistency": "count(*) FILTER (WHERE feature_date IS NULL)",
+}
+
+
+def _gate(table: str, src: str, info: dict, fails: dict) -> str:
+    parts = []
+    for name, (threshold, severity, description) in info.items():
+        desc = description.replace("'", "''")
+        parts.append(
+            f"SELECT '{table}' AS table_path, '{name}' AS check_name, '{desc}' AS description, "
+            f"CAST({fails[name]} AS BIGINT) AS failing_count, CAST({threshold} AS BIGINT) AS threshold, "
+            f"'{severity.value}' AS severity, ({fails[name]}) <= {threshold} AS passed, "
+            f"'{O.RUN_DATE.isoformat()}' AS run_date FROM {src}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _features_one(days: int) -> str:
+    return with_steps("SELECT * FROM feat", extra=features_ctes(O.FEATURE_DATE, windows=(days,), ratios=False))
+
+
+def _upsert_txn() -> str:
+    order = "ORDER BY load_seq DESC, load_tie DESC, load_tie2 DESC"
+    extra = {
+        "tgt": f"SELECT * FROM valid WHERE transaction_date <= {_d(O.UPSERT_TARGET_UNTIL)} "
+               f"QUALIFY row_number() OVER (PARTITION BY transaction_id {order}) = 1",
+        "src": f"SELECT * FROM valid WHERE transaction_date >= {_d(O.UPSERT_SOURCE_FROM)} "
+               f"QUALIFY row_number() OVER (PARTITION BY transaction_id {order}) = 1",
+    }
+    body = ("SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.transaction_id = tgt.transaction_id)\n"
+            "UNION ALL SELECT * FROM src")
+    return with_steps(body, upto="latest", extra=extra)
+
+
+def _upsert_features() -> str:
+    d0, d1, d2 = O.UPSERT_FEATURE_DATES
+    extra = {"stale": f"SELECT * FROM silver WHERE transaction_date <= {_d(O.FEATURES_STALE_CUTOFF)}"}
+    extra.update(features_ctes(d0, prefix="a_"))
+    extra.update(features_ctes(d1, src="stale", prefix="b_"))
+    extra.update(features_ctes(d1, prefix="c_"))
+    extra.update(features_ctes(d2, prefix="d_"))
+    extra["tgt"] = "SELECT * FROM a_feat UNION ALL SELECT * FROM b_feat"
+    extra["src"] = "SELECT * FROM c_feat UNION ALL SELECT * FROM d_feat"
+    body = ("SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.account_number = tgt.account_number "
+            "AND src.feature_date = tgt.feature_date)\nUNION ALL SELECT * FROM src")
+    return with_steps(body, extra=extra)
+
+
+ALIASES_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in sorted(CHANNEL_ALIASES.items()))
+LB = f"transaction_date BETWEEN {_d(O.FEATURE_DATE - dt.timedelta(days=95))} AND {_d(O.FEATURE_DATE)}"
 
 ORACLE = {
-    "features_wide": features_sql(),
+    "landing_valid": with_steps(f"SELECT *, {META} FROM valid", upto="valid"),
+    "landing_quarantine": with_steps(f"SELECT *, {META} FROM rejected", upto="rejected"),
+    "keep_latest": with_steps("SELECT * FROM latest", upto="latest"),
+    "standardise": with_steps("SELECT * FROM standard", upto="standard"),
+    "channel_lookup_join": with_steps(
+        "SELECT l.transaction_id, coalesce(a.channel, upper(trim(l.transaction_channel))) AS transaction_channel "
+        "FROM latest l LEFT JOIN aliases a ON upper(trim(l.transaction_channel)) = a.alias",
+        upto="latest", extra={"aliases": f"SELECT * FROM (VALUES {ALIASES_VALUES}) AS t(alias, channel)"}),
+    "currency_flag": with_steps("SELECT transaction_id, currency_code, _flag_unsupported_currency FROM silver"),
+    "account_token": with_steps(
+        "SELECT transaction_id, account_number, sha256(account_number || 'RISK_SALT_V3') AS account_number_token "
+        "FROM latest", upto="latest"),
+    "risk_flags": with_steps(
+        "SELECT transaction_id, amount_usd, transaction_hour, merchant_category_code, _flag_sar_eligible, "
+        "_flag_high_risk_mcc, _flag_round_amount, _flag_off_hours_high_value, _silver_pipeline_ver FROM silver"),
+    "day_slice": with_steps(f"SELECT * FROM silver WHERE transaction_date = {_d(O.DAY)}"),
+    "lookback_slice": with_steps(f"SELECT * FROM silver WHERE {LB}"),
+    "features_7d": _features_one(7),
+    "features_30d": _features_one(30),
+    "features_90d": _features_one(90),
+    "features_wide": O.features_sql(),
+    "accounts_latest_customer": with_steps("SELECT * FROM acc", extra=features_ctes(O.FEATURE_DATE, windows=())),
+    "duplicate_keys": with_steps(
+        "SELECT CAST(count(*) - count(DISTINCT transaction_id) - coalesce(max(CASE WHEN transaction_id IS NULL "
+        "THEN 1 ELSE 0 END), 0) AS BIGINT) AS duplicate_count FROM txn", upto="txn"),
+    "upsert_txn": _upsert_txn(),
+    "upsert_features": _upsert_features(),
+    "dq_silver": with_steps(_gate(SILVER_TABLE, "silver", SILVER_CHECKS, SILVER_FAILS)),
+    "dq_gold": with_steps(_gate(GOLD_TABLE, "feat", GOLD_CHECKS, GOLD_FAILS), extra=features_ctes(O.FEATURE_DATE)),
+    "dq_audit_rows": with_steps(
+        _gate(SILVER_TABLE, "silver", SILVER_CHECKS, SILVER_FAILS) + "\nUNION ALL\n"
+        + _gate(GOLD_TABLE, "feat", GOLD_CHECKS, GOLD_FAILS), extra=features_ctes(O.FEATURE_DATE)),
 }

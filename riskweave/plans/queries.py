@@ -13,14 +13,35 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.operators import cleanse as CL
 from riskweave.operators.cleanse import cleanse
-from riskweave.operators.dedup import keep_latest
-from riskweave.operators.features import account_features
+from riskweave.operators.dedup import duplicate_keys, keep_latest
+from riskweave.operators.features import (
+    account_features,
+    day_slice,
+    latest_customer,
+    lookback_slice,
+    window_features,
+)
+from riskweave.operators.quality import gold_checks, run_checks, silver_checks
+from riskweave.operators.upsert import upsert
 from riskweave.operators.validate import split_invalid
-from riskweave.plans.oracle import FEATURE_DATE, STDDEV_PLACES
+from riskweave.plans.oracle import (
+    DAY,
+    RUN_DATE,
+    FEATURE_DATE,
+    FEATURES_STALE_CUTOFF,
+    STDDEV_PLACES,
+    UPSERT_SOURCE_FROM,
+    UPSERT_TARGET_UNTIL,
+    UPSERT_FEATURE_DATES,
+)
+from riskweave.session import scratch_path
+from riskweave.settings import CHANNEL_ALIASES, Zones
 from riskweave.sources import adapters
+from riskweave.sources.landing import with_metadata
+
 
-RUN_DATE = dt.date(1998, 7, 1)
 VOLATILE = ("_ingestion_timestamp", "_silver_processed_at", "_feature_created_at")
 
 
@@ -42,10 +63,154 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return cleanse(latest)
 
 
+def latest(spark: SparkSession, sf: str) -> DataFrame:
+    valid, _ = split_invalid(raw_txn(spark, sf))
+    return keep_latest(valid, ["transaction_id"], adapters.TXN_LOAD_ORDER)
+
+
+def q_landing_valid(spark: SparkSession, sf: str) -> DataFrame:
+    valid, _ = split_invalid(with_metadata(raw_txn(spark, sf), RUN_DATE))
+    return stable(valid)
+
+
+def q_landing_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    _, rejected = split_invalid(with_metadata(raw_txn(spark, sf), RUN_DATE))
+    return stable(rejected)
+
+
+def q_keep_latest(spark: SparkSession, sf: str) -> DataFrame:
+    return latest(spark, sf)
+
+
+def q_standardise(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.standardise(latest(spark, sf))
+
+
+def q_channel_lookup_join(spark: SparkSession, sf: str) -> DataFrame:
+    """C4 table form: an alias table joined to every transaction's cleaned channel code."""
+    aliases = spark.createDataFrame(sorted(CHANNEL_ALIASES.items()), "alias string, channel string")
+    codes = latest(spark, sf).select(
+        "transaction_id", F.upper(F.trim("transaction_channel")).alias("transaction_channel"))
+    return CL.channel_lookup_join(codes, aliases)
+
+
+def q_currency_flag(spark: SparkSession, sf: str) -> DataFrame:
+    out = CL.currency_flag(CL.standardise(latest(spark, sf)))
+    return out.select("transaction_id", "currency_code", "_flag_unsupported_currency")
+
+
+def q_account_token(spark: SparkSession, sf: str) -> DataFrame:
+    return CL.tokenise(latest(spark, sf)).select("transaction_id", "account_number", "account_number_token")
+
+
+def q_risk_flags(spark: SparkSession, sf: str) -> DataFrame:
+    out = CL.risk_flags(CL.standardise(latest(spark, sf)))
+    return out.select("transaction_id", "amount_usd", "transaction_hour", "merchant_category_code",
+                      "_flag_sar_eligible", "_flag_high_risk_mcc", "_flag_round_amount",
+                      "_flag_off_hours_high_value", "_silver_pipeline_ver")
+
+
+def q_day_slice(spark: SparkSession, sf: str) -> DataFrame:
+    return stable(day_slice(silver(spark, sf), DAY))
+
+
+def q_lookback_slice(spark: SparkSession, sf: str) -> DataFrame:
+    return stable(lookback_slice(silver(spark, sf), FEATURE_DATE, 95))
+
+
+def _features_one(days: int):
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        return stable(window_features(silver(spark, sf), FEATURE_DATE, windows=(days,)))
+
+    q.__name__ = f"q_features_{days}d"
+    return q
+
+
 def q_features_wide(spark: SparkSession, sf: str) -> DataFrame:
     return stable(account_features(silver(spark, sf), FEATURE_DATE))
 
 
+def q_accounts_latest_customer(spark: SparkSession, sf: str) -> DataFrame:
+    return latest_customer(silver(spark, sf), FEATURE_DATE)
+
+
+def q_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicate_keys(raw_txn(spark, sf), "transaction_id")
+
+
+def q_upsert_txn(spark: SparkSession, sf: str) -> DataFrame:
+    """C2: a snapshot up to one day merged with a later batch that overlaps it.
+
+    Together the two cover every valid row; keys in the overlap are matched
+    (some moving to another transaction_date), later ones are inserted, earlier
+    ones are untouched.
+    """
+    valid, _ = split_invalid(raw_txn(spark, sf))
+    order = adapters.TXN_LOAD_ORDER
+    target = keep_latest(valid.filter(F.col("transaction_date") <= F.lit(UPSERT_TARGET_UNTIL)),
+                         ["transaction_id"], order)
+    source = keep_latest(valid.filter(F.col("transaction_date") >= F.lit(UPSERT_SOURCE_FROM)),
+                         ["transaction_id"], order)
+    return upsert(target, source, ["transaction_id"])
+
+
+def q_upsert_features(spark: SparkSession, sf: str) -> DataFrame:
+    """C3 on (account_number, feature_date): stored features for two dates, one recomputed
+    after late rows arrived, merged with a new batch holding that date and the next."""
+    cur = silver(spark, sf)
+    stale = cur.filter(F.col("transaction_date") <= F.lit(FEATURES_STALE_CUTOFF))
+    d0, d1, d2 = UPSERT_FEATURE_DATES
+    target = account_features(cur, d0).unionByName(account_features(stale, d1))
+    source = account_features(cur, d1).unionByName(account_features(cur, d2))
+    return stable(upsert(target, source, ["account_number", "feature_date"]))
+
+
+SILVER_TABLE = "silver/financial/transactions_clean"
+GOLD_TABLE = "gold/risk/credit_risk_features"
+
+
+def q_dq_silver(spark: SparkSession, sf: str) -> DataFrame:
+    return run_checks(silver(spark, sf), silver_checks(RUN_DATE), SILVER_TABLE, RUN_DATE, on_critical="report")
+
+
+def q_dq_gold(spark: SparkSession, sf: str) -> DataFrame:
+    feats = account_features(silver(spark, sf), FEATURE_DATE)
+    return run_checks(feats, gold_checks(), GOLD_TABLE, RUN_DATE, on_critical="report")
+
+
+def q_dq_audit_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: both gates append to one audit log, which is read back."""
+    zones = Zones(scratch_path(spark, "audit"))
+    cur = silver(spark, sf)
+    run_checks(cur, silver_checks(RUN_DATE), SILVER_TABLE, RUN_DATE, on_critical="report",
+               audit_path=zones.dq_audit_log)
+    run_checks(account_features(cur, FEATURE_DATE), gold_checks(), GOLD_TABLE, RUN_DATE,
+               on_critical="report", audit_path=zones.dq_audit_log)
+    from riskweave.schemas import AUDIT_SCHEMA
+
+    return spark.read.schema(AUDIT_SCHEMA).parquet(zones.dq_audit_log)
+
+
 QUERIES = {
+    "landing_valid": q_landing_valid,
+    "landing_quarantine": q_landing_quarantine,
+    "keep_latest": q_keep_latest,
+    "standardise": q_standardise,
+    "channel_lookup_join": q_channel_lookup_join,
+    "currency_flag": q_currency_flag,
+    "account_token": q_account_token,
+    "risk_flags": q_risk_flags,
+    "day_slice": q_day_slice,
+    "lookback_slice": q_lookback_slice,
+    "features_7d": _features_one(7),
+    "features_30d": _features_one(30),
+    "features_90d": _features_one(90),
     "features_wide": q_features_wide,
+    "accounts_latest_customer": q_accounts_latest_customer,
+    "duplicate_keys": q_duplicate_keys,
+    "upsert_txn": q_upsert_txn,
+    "upsert_features": q_upsert_features,
+    "dq_silver": q_dq_silver,
+    "dq_gold": q_dq_gold,
+    "dq_audit_rows": q_dq_audit_rows,
 }
