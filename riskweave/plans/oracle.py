@@ -22,7 +22,7 @@ from riskweave.settings import (
     VALID_CHANNELS,
     VALID_TRANSACTION_TYPES,
 )
-from riskweave.sources.adapters import EVENT_TXN_SQL, TXN_SQL, duck
+from riskweave.sources.adapters import EVENT_TXN_SQL, TXN_SQL, duck  # noqa: F401
 
 FEATURE_DATE = dt.date(1998, 6, 30)
 DAY = dt.date(1998, 6, 30)

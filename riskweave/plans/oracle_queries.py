@@ -114,3 +114,49 @@ ORACLE = {
         _gate(SILVER_TABLE, "silver", SILVER_CHECKS, SILVER_FAILS) + "\nUNION ALL\n"
         + _gate(GOLD_TABLE, "feat", GOLD_CHECKS, GOLD_FAILS), extra=features_ctes(O.FEATURE_DATE)),
 }
+
+
+
+FLAGS_SQL = """coalesce(amount_usd >= 10000, false) AS _flag_sar_threshold,
+  coalesce(is_international = true AND amount_usd >= 5000, false) AS _flag_international_high_value,
+  coalesce(transaction_channel = 'ONLINE' AND ip_country <> originating_country, false) AS _flag_ip_country_mismatch"""
+PARSED_SQL = f"""SELECT transaction_id, account_number, customer_id, transaction_datetime, transaction_type,
+  transaction_channel, amount_usd, CAST(NULL AS VARCHAR) AS currency_code, originating_country, is_international,
+  CAST(NULL AS VARCHAR) AS merchant_category_code, CAST(NULL AS VARCHAR) AS merchant_name,
+  CAST(NULL AS VARCHAR) AS device_fingerprint, ip_country, event_sequence_num,
+  transaction_datetime + INTERVAL 5 SECOND AS enqueuedTime, event_sequence_num AS sequenceNumber,
+  CAST(event_sequence_num AS VARCHAR) AS "offset", transaction_datetime + INTERVAL 5 SECOND AS _event_ingested_at,
+  event_sequence_num AS _event_sequence, 'STREAM_EH_CONSUMER' AS _pipeline,
+  {FLAGS_SQL}
+FROM ev"""
+VELOCITY_SQL = """SELECT *, count(*) OVER (PARTITION BY account_number ORDER BY transaction_datetime
+    RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS velocity_count FROM ev"""
+
+
+def _ev(body: str, extra: dict[str, str] | None = None) -> str:
+    ctes = {"ev": O.duck(O.EVENT_TXN_SQL)}
+    ctes.update(extra or {})
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + body
+
+
+ORACLE.update({
+    "event_parse_flags": _ev("SELECT * FROM parsed", {"parsed": PARSED_SQL}),
+    "stream_landing": _ev("SELECT *, CAST(_event_ingested_at AS DATE) AS ingestion_date FROM parsed",
+                          {"parsed": PARSED_SQL}),
+    "stream_dedup": _ev("SELECT *, CAST(_event_ingested_at AS DATE) AS ingestion_date FROM parsed",
+                        {"parsed": PARSED_SQL}),
+    "velocity_breach": _ev("SELECT transaction_id, account_number, transaction_datetime, velocity_count, "
+                           "velocity_count > 5 AS _flag_velocity_breach FROM vel", {"vel": VELOCITY_SQL}),
+    "route_by_score": with_steps(
+        "SELECT account_number, customer_id, online_txn_ratio_30d, feature_date FROM feat "
+        "WHERE online_txn_ratio_30d > 0.75", extra=features_ctes(O.FEATURE_DATE)),
+    "fraud_signals": _ev(
+        f"""SELECT account_number, CAST(transaction_datetime AS DATE) AS signal_date, count(*) AS txn_count,
+          count(*) FILTER (WHERE _flag_sar_threshold) AS sar_threshold_count,
+          count(*) FILTER (WHERE _flag_international_high_value) AS intl_high_value_count,
+          count(*) FILTER (WHERE _flag_ip_country_mismatch) AS ip_mismatch_count,
+          count(*) FILTER (WHERE velocity_count > 5) AS velocity_breach_count,
+          max(velocity_count) AS max_velocity_count
+        FROM (SELECT *, {FLAGS_SQL} FROM vel) GROUP BY account_number, CAST(transaction_datetime AS DATE)""",
+        {"vel": VELOCITY_SQL}),
+})

@@ -214,3 +214,9 @@ QUERIES = {
     "dq_gold": q_dq_gold,
     "dq_audit_rows": q_dq_audit_rows,
 }
+
+
+def all_queries() -> dict:
+    from riskweave.plans.stream_queries import STREAM_QUERIES
+
+    return {**QUERIES, **STREAM_QUERIES}

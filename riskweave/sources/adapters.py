@@ -80,3 +80,22 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adapter B: one stream payload per ``events`` row."""
     return spark.sql(EVENT_TXN_SQL.replace("{S}", "string"), events=table(spark, sf_dir, "events"))
+
+
+# Six fraction digits keep TIMESTAMP_NTZ values exact through the JSON round trip.
+JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter B packed as message-bus envelopes: JSON ``body`` bytes, enqueue time
+    (event time + 5 s), sequence number and offset; one envelope per ``events`` row."""
+    from pyspark.sql import functions as F
+
+    ev = event_transactions(spark, sf_dir)
+    body = F.to_json(F.struct(*[F.col(c) for c in ev.columns]), {"timestampNTZFormat": JSON_NTZ_FORMAT})
+    return ev.select(
+        body.cast("binary").alias("body"),
+        (F.col("transaction_datetime") + F.expr("INTERVAL 5 SECONDS")).alias("enqueuedTime"),
+        F.col("event_sequence_num").alias("sequenceNumber"),
+        F.col("event_sequence_num").cast("string").alias("offset"),
+    )
