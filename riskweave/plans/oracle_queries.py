@@ -160,3 +160,10 @@ ORACLE.update({
         FROM (SELECT *, {FLAGS_SQL} FROM vel) GROUP BY account_number, CAST(transaction_datetime AS DATE)""",
         {"vel": VELOCITY_SQL}),
 })
+
+
+ORACLE.update({
+    "compacted": with_steps("SELECT * FROM silver"),
+    "clustered": with_steps("SELECT * FROM silver"),
+    "daily_chain": O.features_sql(),
+})

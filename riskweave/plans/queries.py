@@ -217,6 +217,7 @@ QUERIES = {
 
 
 def all_queries() -> dict:
+    from riskweave.plans.layout_queries import LAYOUT_QUERIES
     from riskweave.plans.stream_queries import STREAM_QUERIES
 
-    return {**QUERIES, **STREAM_QUERIES}
+    return {**QUERIES, **STREAM_QUERIES, **LAYOUT_QUERIES}

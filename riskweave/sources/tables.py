@@ -13,6 +13,7 @@ at job commit), and task retries after a lost executor are Spark's own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -56,26 +57,42 @@ def initial_load(df: DataFrame, path: str, partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
-def _replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
-                        touched: set[str]) -> tuple[set[str], int]:
-    """Dynamic overwrite of the partitions ``df`` has; delete touched ones it no longer has."""
-    obs = Observation("replace_partitions")
-    observed = df.observe(
+def optimized_write(df: DataFrame, partition_by: str) -> DataFrame:
+    """Range-partition rows on (partition value, row hash) before a partitioned write.
+
+    Each task then holds a contiguous run of partition values, so a write makes
+    about one file per partition and task boundary instead of one per task and
+    partition; the row hash splits a large partition over several tasks.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    h = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.withColumn("_wh", h).repartitionByRange(n, partition_by, "_wh").drop("_wh")
+
+
+def _write_observed(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
+                    dynamic: bool) -> tuple[set[str], int]:
+    """Write partitioned by ``partition_by``; returns the partition values written and the rows."""
+    obs = Observation(f"write_{uuid.uuid4().hex}")
+    observed = optimized_write(df, partition_by).observe(
         obs,
         F.collect_set(F.col(partition_by).cast("string")).alias("parts"),
         F.count(F.lit(1)).alias("rows"),
     )
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    w = observed.write.mode("overwrite")
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(partition_by).parquet(path)
     metrics = obs.get
-    written = set(metrics.get("parts") or [])
+    return set(metrics.get("parts") or []), int(metrics.get("rows") or 0)
+
+
+def _replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
+                        touched: set[str]) -> tuple[set[str], int]:
+    """Dynamic overwrite of the partitions ``df`` has; delete touched ones it no longer has."""
+    written, rows = _write_observed(spark, df, path, partition_by, dynamic=True)
     for value in sorted(touched - written):
         delete_path(spark, partition_dir(path, partition_by, value))
-    return written, int(metrics.get("rows") or 0)
+    return written, rows
 
 
 @dataclass(frozen=True)
@@ -113,9 +130,8 @@ def commit(
             raise DuplicateKeyError(f"source has duplicate keys on {keys}")
 
     if not table_exists(spark, path):
-        obs = Observation("initial_load")
-        initial_load(source.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
-        return CommitResult(True, (), (), int(obs.get.get("rows") or 0))
+        written, rows = _write_observed(spark, source, path, partition_by, dynamic=False)
+        return CommitResult(True, tuple(sorted(written)), (), rows)
 
     target = read_table(spark, path, source.schema)
     part = F.col(partition_by).cast("string").alias("_part")
