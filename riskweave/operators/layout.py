@@ -143,10 +143,14 @@ def optimise(spark: SparkSession, path: str, schema: T.StructType, columns: Sequ
     """L1 + L2: rewrite (optionally only some partitions) clustered by ``columns``."""
     if out_path is None and not partition_by:
         raise ValueError("in-place clustering needs a partitioned table")
-    df = spark.read.schema(schema).parquet(path)
     if partitions is not None and partition_by:
-        df = df.filter(F.col(partition_by).cast("string").isin(list(partitions)))
-    files = _size_files(spark, path, target_file_bytes)
+        from riskweave.sources.tables import read_partitions
+
+        df = read_partitions(spark, path, schema, partition_by, partitions)
+    else:
+        df = spark.read.schema(schema).parquet(path)
+    size = _files(df).agg(F.sum("file_size")).first()[0] or 0
+    files = max(1, math.ceil(size / target_file_bytes))
     _write(cluster(df, columns, files, partition_by), out_path or path, partition_by, out_path is None)
     return files
 
@@ -212,8 +216,7 @@ def run_layout(spark: SparkSession, specs: Sequence[LayoutSpec], dry_run: bool =
             schema = spec.schema or spark.read.parquet(spec.path).schema
             optimise(spark, spec.path, schema, spec.columns, spec.partition_by,
                      partitions=spec.partitions, target_file_bytes=spec.target_file_bytes)
-            d = table_detail(spark, spec.path).first()
-            rows.append((spec.path, "success", d["num_files"], d["size_bytes"], d["last_modified"], None))
+            rows.append((spec.path, "success", None, None, None, None))
         except Exception as exc:  # noqa: BLE001 - collect, raise after all specs
             rows.append((spec.path, "failed", None, None, None, str(exc)[:1000]))
             failed.append(spec.path)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.operators.upsert import DuplicateKeyError, duplicate_source_keys, upsert
+from riskweave.session import shared_dir
 
 
 def _fs(spark: SparkSession, path: str):
@@ -44,7 +45,7 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 def partition_dir(path: str, column: str, value: str) -> str:
     from urllib.parse import quote
 
-    return f"{path.rstrip('/')}/{column}={quote(value, safe='-_.:')}"
+    return f"{path.rstrip('/')}/{column}={quote(value, safe='-_.:{},')}"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -52,6 +53,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType, partition_by: str,
+                    values: Sequence[str]) -> DataFrame:
+    """Read only the named partitions of a table.
+
+    The file index then lists just those directories (one glob) instead of every
+    partition of a table that grows by one directory a day; missing partitions
+    are skipped and an empty result keeps the schema.
+    """
+    values = sorted(set(values))
+    if not values:
+        return spark.createDataFrame([], schema)
+    glob = partition_dir(path, partition_by, "{" + ",".join(values) + "}") if len(values) > 1 \
+        else partition_dir(path, partition_by, values[0])
+    fs, p = _fs(spark, glob)
+    if not fs.globStatus(p):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(glob)
+
+
 def initial_load(df: DataFrame, path: str, partition_by: str) -> None:
     """A7: create the table (overwrite) partitioned by one column."""
     df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
@@ -101,6 +121,7 @@ class CommitResult:
     touched_partitions: tuple[str, ...]
     emptied_partitions: tuple[str, ...]
     rows_written: int
+    staged: DataFrame | None = None
 
 
 def commit(
@@ -125,13 +146,17 @@ def commit(
         from riskweave.operators.dedup import keep_latest
 
         source = keep_latest(source, keys, list(order_by))
-    elif on_duplicate == "error":
-        if duplicate_source_keys(source, keys).limit(1).count():
-            raise DuplicateKeyError(f"source has duplicate keys on {keys}")
+    # The source is used by the key check, the touched-partition search and the
+    # write: materialise it once in the shared checkpoint folder (reliable, so a
+    # lost executor does not force recomputing the batch) instead of three times.
+    shared_dir(spark)
+    source = source.checkpoint(eager=True)
+    if on_duplicate == "error" and duplicate_source_keys(source, keys).limit(1).count():
+        raise DuplicateKeyError(f"source has duplicate keys on {keys}")
 
     if not table_exists(spark, path):
         written, rows = _write_observed(spark, source, path, partition_by, dynamic=False)
-        return CommitResult(True, tuple(sorted(written)), (), rows)
+        return CommitResult(True, tuple(sorted(written)), (), rows, source)
 
     target = read_table(spark, path, source.schema)
     part = F.col(partition_by).cast("string").alias("_part")
@@ -139,12 +164,12 @@ def commit(
     touched_df = source.select(part).union(matched).distinct()
     touched = {r["_part"] for r in touched_df.collect()}
     if not touched:
-        return CommitResult(False, (), (), 0)
+        return CommitResult(False, (), (), 0, source)
 
     affected = target.filter(F.col(partition_by).cast("string").isin(sorted(touched)))
     merged = upsert(affected, source, keys, on_duplicate="allow")
     written, rows = _replace_partitions(spark, merged, path, partition_by, touched)
-    return CommitResult(False, tuple(sorted(touched)), tuple(sorted(touched - written)), rows)
+    return CommitResult(False, tuple(sorted(touched)), tuple(sorted(touched - written)), rows, source)
 
 
 def write_partition(spark: SparkSession, df: DataFrame, path: str, partition_by: str, value: str) -> int:
