@@ -66,6 +66,11 @@ def _sort_key(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
+def _bucket(bounds: Column, key: Column) -> Column:
+    """Number of bounds at or below ``key``: the bucket index (0 for NULL)."""
+    return F.size(F.filter(bounds, lambda b: b <= key)).cast("bigint")
+
+
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, relative_error: float = 0.001) -> Column:
     """Interleaved bucket bits of ``columns`` (``2**bits`` quantile buckets each)."""
     keyed = df.select(*[_sort_key(df, c).alias(f"_zk{i}") for i, c in enumerate(columns)])
@@ -78,8 +83,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, relative_error
         if not edges:
             buckets.append(F.lit(0).cast("bigint"))
             continue
-        arr = F.array(*[F.lit(float(b)) for b in edges])
-        buckets.append(F.size(F.filter(arr, lambda b, k=key: b <= k)).cast("bigint"))
+        buckets.append(_bucket(F.array(*[F.lit(float(b)) for b in edges]), key))
     z = None
     n = len(columns)
     for bit in range(bits):
