@@ -24,7 +24,7 @@ def test_upsert_semantics(spark):
     source = _df(spark, [("a", D2, 2), ("c", D2, 2), (None, D2, 2)])
     out = sorted(((r.id, r.v) for r in upsert(target, source, ["id"]).collect()), key=lambda t: (str(t[0]), t[1]))
     # matched a updated, b untouched, c inserted; NULL keys never match, so both stay
-    assert out == [("a", 2), ("b", 1), ("c", 2), (None, 1), (None, 2)]
+    assert out == [(None, 1), (None, 2), ("a", 2), ("b", 1), ("c", 2)]
 
 
 def test_upsert_duplicate_policy(spark):
