@@ -66,9 +66,20 @@ def _sort_key(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
-def _bucket(bounds: Column, key: Column) -> Column:
-    """Number of bounds at or below ``key``: the bucket index (0 for NULL)."""
-    return F.size(F.filter(bounds, lambda b: b <= key)).cast("bigint")
+def _bucket(edges: list[float], key: Column) -> Column:
+    """Number of ``edges`` at or below ``key`` (0 for NULL/NaN).
+
+    A balanced CASE tree: a binary search of ``log2(len(edges))`` comparisons
+    that stays inside generated code, instead of a scan over an array.
+    """
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo).cast("bigint")
+        mid = (lo + hi + 1) // 2
+        return F.when(key >= F.lit(edges[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return F.when(key.isNull() | F.isnan(key), F.lit(0).cast("bigint")).otherwise(search(0, len(edges)))
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, relative_error: float = 0.001) -> Column:
@@ -83,7 +94,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, relative_error
         if not edges:
             buckets.append(F.lit(0).cast("bigint"))
             continue
-        buckets.append(_bucket(F.array(*[F.lit(float(b)) for b in edges]), key))
+        buckets.append(_bucket([float(b) for b in edges], key))
     z = None
     n = len(columns)
     for bit in range(bits):

@@ -47,8 +47,9 @@ def _clustered(spark: SparkSession, sf: str) -> tuple[str, str, DataFrame]:
     cur = silver(spark, sf)
     plain = scratch_path(spark, "plain")
     cur.repartition(16).write.parquet(plain)
+    stored = spark.read.schema(cur.schema).parquet(plain)
     clustered = scratch_path(spark, "clustered")
-    cluster(cur, ["account_number", "transaction_date"], files=16).write.parquet(clustered)
+    cluster(stored, ["account_number", "transaction_date"], files=16).write.parquet(clustered)
     return plain, clustered, cur
 
 
