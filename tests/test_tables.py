@@ -62,3 +62,27 @@ def test_write_partition_rerun_clears(spark, tmp_root):
     write_partition(spark, spark.createDataFrame([], schema), path, "run", "2024-01-01")
     got = read_table(spark, path, spark.createDataFrame([], schema).schema).collect()
     assert [(r.id, r.run) for r in got] == [("y", "2024-01-02")]
+
+
+def test_fraud_signals_job_from_landed_stream(spark, tmp_root):
+    """N3 job: reads the landed stream table for a day (plus the day before as
+    velocity context) and merges daily signals; rerun is idempotent."""
+    from riskweave.plans.pipelines import build_fraud_signals
+    from riskweave.settings import RiskSettings, Zones
+
+    zones = Zones(tmp_root)
+    t0 = dt.datetime(2024, 1, 1, 23, 0)
+    rows = [("E1", "A", t0, True, False, False, D1), ("E2", "A", t0 + dt.timedelta(hours=2), False, False, True, D2),
+            ("E3", "B", t0 + dt.timedelta(hours=3), False, True, False, D2)]
+    spark.createDataFrame(rows, "transaction_id string, account_number string, transaction_datetime timestamp_ntz, "
+                          "_flag_sar_threshold boolean, _flag_international_high_value boolean, "
+                          "_flag_ip_country_mismatch boolean, ingestion_date date").write.partitionBy(
+        "ingestion_date").parquet(zones.transactions_stream)
+    settings = RiskSettings(velocity_max_count=1)
+    for _ in range(2):
+        res = build_fraud_signals(spark, zones, ["2024-01-02"], settings)
+    got = {(r.account_number, r.signal_date): r for r in spark.read.parquet(zones.fraud_signals).collect()}
+    assert set(got) == {("A", D2), ("B", D2)}
+    a = got[("A", D2)]
+    assert a.velocity_breach_count == 1 and a.max_velocity_count == 2 and a.ip_mismatch_count == 1
+    assert res.touched_partitions == ("2024-01-02",)
