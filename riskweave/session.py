@@ -39,15 +39,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide work folder (``spark.checkpoint.dir``), created locally only if unset."""
-    current = spark.sparkContext.getCheckpointDir()
+    """The cluster-wide work folder (``spark.checkpoint.dir``).
+
+    A private temporary folder is created only for a ``local[...]`` master
+    (tests); on a cluster an unset ``spark.checkpoint.dir`` is an error, since a
+    machine-local folder would not survive the loss of that machine.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS, S3, ABFS)")
         conf = tempfile.mkdtemp(prefix="riskweave-ckpt-")
-    spark.sparkContext.setCheckpointDir(conf)
-    return (spark.sparkContext.getCheckpointDir() or conf).rstrip("/")
+    sc.setCheckpointDir(conf)
+    return (sc.getCheckpointDir() or conf).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
