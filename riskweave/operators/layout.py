@@ -152,18 +152,35 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, out_path: str
     return files
 
 
+def fragmented_partitions(df: DataFrame, partition_by: str, min_files: int) -> list[str]:
+    """Partition values stored in at least ``min_files`` files (one value per partition to the driver)."""
+    per_part = df.select(F.col(partition_by).cast("string").alias("_p"), F.col("_metadata.file_path").alias("_f"))
+    counts = per_part.distinct().groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    return [r["_p"] for r in counts.filter(F.col("_n") >= min_files).collect()]
+
+
 def optimise(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str],
              partition_by: str | None = None, out_path: str | None = None,
-             partitions: Sequence[str] | None = None, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """L1 + L2: rewrite (optionally only some partitions) clustered by ``columns``."""
+             partitions: Sequence[str] | None = None, target_file_bytes: int = TARGET_FILE_BYTES,
+             min_files: int = 1) -> int:
+    """L1 + L2: rewrite (optionally only some partitions) clustered by ``columns``.
+
+    With ``min_files > 1`` only partitions stored in at least that many files are
+    rewritten (the others are already compact). Returns the file count asked for.
+    """
     if out_path is None and not partition_by:
         raise ValueError("in-place clustering needs a partitioned table")
-    if partitions is not None and partition_by:
-        from riskweave.sources.tables import read_partitions
+    from riskweave.sources.tables import read_partitions
 
+    if partitions is not None and partition_by:
         df = read_partitions(spark, path, schema, partition_by, partitions)
     else:
         df = spark.read.schema(schema).parquet(path)
+    if partition_by and min_files > 1:
+        todo = fragmented_partitions(df, partition_by, min_files)
+        if not todo:
+            return 0
+        df = read_partitions(spark, path, schema, partition_by, todo)
     size = _files(df).agg(F.sum("file_size")).first()[0] or 0
     files = max(1, math.ceil(size / target_file_bytes))
     _write(cluster(df, columns, files, partition_by), out_path or path, partition_by, out_path is None)
@@ -200,6 +217,7 @@ class LayoutSpec:
     schema: T.StructType | None = None
     partitions: tuple[str, ...] | None = None
     target_file_bytes: int = TARGET_FILE_BYTES
+    min_files: int = 1
     extra: dict = field(default_factory=dict)
 
     def __hash__(self) -> int:
@@ -230,7 +248,8 @@ def run_layout(spark: SparkSession, specs: Sequence[LayoutSpec], dry_run: bool =
         try:
             schema = spec.schema or spark.read.parquet(spec.path).schema
             optimise(spark, spec.path, schema, spec.columns, spec.partition_by,
-                     partitions=spec.partitions, target_file_bytes=spec.target_file_bytes)
+                     partitions=spec.partitions, target_file_bytes=spec.target_file_bytes,
+                     min_files=spec.min_files)
             rows.append((spec.path, "success", None, None, None, None))
         except Exception as exc:  # noqa: BLE001 - collect, raise after all specs
             rows.append((spec.path, "failed", None, None, None, str(exc)[:1000]))
