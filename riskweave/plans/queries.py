@@ -36,7 +36,7 @@ from riskweave.plans.oracle import (
     UPSERT_TARGET_UNTIL,
     UPSERT_FEATURE_DATES,
 )
-from riskweave.session import scratch_path
+from riskweave.session import scratch_path, shared_dir
 from riskweave.settings import CHANNEL_ALIASES, Zones
 from riskweave.sources import adapters
 from riskweave.sources.landing import with_metadata
@@ -157,11 +157,13 @@ def q_upsert_txn(spark: SparkSession, sf: str) -> DataFrame:
 def q_upsert_features(spark: SparkSession, sf: str) -> DataFrame:
     """C3 on (account_number, feature_date): stored features for two dates, one recomputed
     after late rows arrived, merged with a new batch holding that date and the next."""
-    cur = silver(spark, sf)
+    shared_dir(spark)
+    cur = silver(spark, sf).checkpoint(eager=True)  # the stored silver table, read four times
     stale = cur.filter(F.col("transaction_date") <= F.lit(FEATURES_STALE_CUTOFF))
     d0, d1, d2 = UPSERT_FEATURE_DATES
     target = account_features(cur, d0).unionByName(account_features(stale, d1))
-    source = account_features(cur, d1).unionByName(account_features(cur, d2))
+    # Staged like commit() does: the key check, the anti join and the union read it once computed.
+    source = account_features(cur, d1).unionByName(account_features(cur, d2)).checkpoint(eager=True)
     return stable(upsert(target, source, ["account_number", "feature_date"]))
 
 
@@ -181,7 +183,7 @@ def q_dq_gold(spark: SparkSession, sf: str) -> DataFrame:
 def q_dq_audit_rows(spark: SparkSession, sf: str) -> DataFrame:
     """A10: both gates append to one audit log, which is read back."""
     zones = Zones(scratch_path(spark, "audit"))
-    cur = silver(spark, sf)
+    cur = silver(spark, sf).checkpoint(eager=True)  # both gates read the same stored batch
     run_checks(cur, silver_checks(RUN_DATE), SILVER_TABLE, RUN_DATE, on_critical="report",
                audit_path=zones.dq_audit_log)
     run_checks(account_features(cur, FEATURE_DATE), gold_checks(), GOLD_TABLE, RUN_DATE,
