@@ -8,7 +8,6 @@ output, since no oracle can reproduce a clock.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
