@@ -54,7 +54,7 @@ def _land(spark: SparkSession, sf: str, replay: bool, dedup: bool) -> DataFrame:
         write_feed(envelopes, f"{root}/feed")
     if dedup:
         use_rocksdb_state(spark)
-    per_trigger = "2" if replay else "1"
+    per_trigger = str(FEED_FILES) if replay else "1"  # replay: the feed, then its re-delivery
     raw = event_source(spark, "parquet", {"maxFilesPerTrigger": per_trigger}, envelopes.schema, f"{root}/feed")
     query = land_events(raw, f"{root}/sink", f"{root}/checkpoint", payload_schema=PAYLOAD_NTZ,
                         dedup=dedup, available_now=True)
