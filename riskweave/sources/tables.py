@@ -78,23 +78,17 @@ def initial_load(df: DataFrame, path: str, partition_by: str) -> None:
 
 
 def optimized_write(df: DataFrame, partition_by: str, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Range-partition rows on (partition value, cluster columns, row hash) before a
-    partitioned write, sorted the same way within each task.
-
-    Each task holds a contiguous run of partition values, so a write makes about
-    one file per partition and task boundary instead of one per task and
-    partition; the row hash splits a large partition (or a hot account) over
-    several tasks. With ``cluster_by`` the files of a partition hold narrow,
-    sorted ranges of those columns, so lookups skip files without a later
-    rewrite.
+    """Rebalance rows on the partition column before a partitioned write, then sort
+    each task by (partition value, cluster columns).
+
+    ``rebalance`` lets adaptive execution size the write tasks from the data
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): small partition values
+    are packed into one task, a large one (a busy day, a hot account's day) is
+    split over several. A write then makes about one file per partition value
+    and task, and with ``cluster_by`` every file holds rows sorted by those
+    columns, so lookups skip row groups without a later rewrite.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    h = F.xxhash64(*[F.col(c) for c in df.columns])
-    keys = [partition_by, *cluster_by]
-    return (
-        df.withColumn("_wh", h).repartitionByRange(n, *keys, "_wh")
-        .sortWithinPartitions(*keys).drop("_wh")
-    )
+    return df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster_by)
 
 
 def _write_observed(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
