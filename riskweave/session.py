@@ -28,9 +28,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("RISKWEAVE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # One machine: list partition directories in the driver instead of a
-        # Spark job of one tiny task per directory (a cluster keeps the default).
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
