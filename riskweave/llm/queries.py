@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import mixing, packing
+from riskweave.llm import mixing, packing, quality_rules, simhash
 from riskweave.llm.common import table
 
 
@@ -13,9 +13,20 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = quality_rules.trusted_sample(table(spark, sf_dir, "labels"))
+    return quality_rules.judge_documents(docs, trusted).drop("text")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.group_documents(docs).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op10_pack": op10_pack}
+QUERIES = {"op1_mix": op1_mix, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op10_pack": op10_pack}
 ORACLES = {"op1_mix": mixing.ORACLE}
