@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import mixing, packing
+from riskweave.llm import mixing, packing, pii, quality_rules, simhash
 from riskweave.llm.common import stage, table
 
 
+def judge(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    trusted = quality_rules.trusted_sample(table(spark, sf_dir, "labels"))
+    return quality_rules.judge_documents(docs, trusted).filter("kept").select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays."""
+    return simhash.group_documents(docs).filter("first").select(*docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to the name of its kind."""
+    return pii.redact_documents(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document goes in as often as the mix takes it (0, 1 or 2 times)."""
     mixed = mixing.mix_documents(docs)
@@ -22,6 +38,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality rules", judge),
+    ("simhash near-dedup", deduplicate),
+    ("personal data", redact),
     ("mixing sources to target weights", mix),
     ("best-fit packing", pack),
 ]

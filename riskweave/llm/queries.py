@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import mixing, packing, quality_rules, simhash
+from riskweave.llm import mixing, packing, pii, quality_rules, simhash
 from riskweave.llm.common import table
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix_documents(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_documents(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"), carry=["doc_id"]).drop("found")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +31,6 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op10_pack": op10_pack}
+QUERIES = {"op1_mix": op1_mix, "op2_pii": op2_pii, "op3_quality": op3_quality,
+           "op4_simhash": op4_simhash, "op10_pack": op10_pack}
 ORACLES = {"op1_mix": mixing.ORACLE}
