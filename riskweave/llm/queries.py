@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import mixing, packing, pii, quality_rules, simhash
+from riskweave.llm import language_id, mixing, packing, pii, quality_rules, simhash
 from riskweave.llm.common import table
 
 
@@ -27,10 +27,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_documents(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op1_mix": op1_mix, "op2_pii": op2_pii, "op3_quality": op3_quality,
-           "op4_simhash": op4_simhash, "op10_pack": op10_pack}
+           "op4_simhash": op4_simhash, "op8_language": op8_language,
+           "op10_pack": op10_pack}
 ORACLES = {"op1_mix": mixing.ORACLE}
