@@ -64,19 +64,26 @@ def source_targets(sources: DataFrame, weights: Sequence[int] = (3, 1, 2), budge
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: float = 1.5, max_repeat: int = 2,
-                  seed: str = SEED, id_col: str = "doc_id", text_col: str = "text",
-                  source_col: str = "source") -> DataFrame:
+                  seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                  carry: Sequence[str] | None = None) -> DataFrame:
     """Each document with ``size``, ``source_size``, ``target``, ``taken`` (words the mix
-    takes, repeats counted). ``taken / size`` is the number of times it goes in."""
+    takes, repeats counted) and the columns of ``carry`` (all by default). ``taken / size``
+    is the number of times it goes in."""
     sized = docs.withColumn("__size", word_count(F.col(text_col).cast("string"))) \
         .withColumn("__tie", hash60(F.col(id_col), seed=seed)) \
         .withColumn("__source", F.col(source_col).cast("string")) \
-        .withColumn("__bucket", F.shiftright("__tie", BUCKET_SHIFT).cast("int"))
-    return _mixed(stage(sized, "mix-sized"), weights, budget, max_repeat, id_col)
-
-
-def _mixed(sized: DataFrame, weights, budget: float, max_repeat: int, id_col: str) -> DataFrame:
-    spark = sized.sparkSession
+        .withColumn("__bucket", F.shiftright("__tie", BUCKET_SHIFT).cast("int")) \
+        .withColumn("__id", F.col(id_col)).withColumn("__row", F.monotonically_increasing_id())
+    carry = docs.columns if carry is None else list(carry)
+    helpers = ["__row", "__id", "__size", "__tie", "__source", "__bucket"]
+    rows = stage(sized.select(*[F.col(f"`{c}`") for c in carry], *helpers), "mix-rows")
+    mixed = _mixed(rows.select(*helpers), weights, budget, max_repeat)
+    return attach(rows.select(*[F.col(f"`{c}`") for c in carry], "__row").join(mixed, "__row"),
+                  {c: F.col(f"__{c}") for c in ("size", "source_size", "target", "taken")})
+
+
+def _mixed(sized: DataFrame, weights, budget: float, max_repeat: int) -> DataFrame:
+    """(__row, __size, __source_size, __target, __taken) of narrow rows."""
     buckets = sized.groupBy(F.col("__source").alias("source"), F.col("__bucket").alias("b")) \
         .agg(F.sum("__size").alias("n"))
     buckets = stage(buckets, "mix-buckets")
@@ -86,7 +93,7 @@ def _mixed(sized: DataFrame, weights, budget: float, max_repeat: int, id_col: st
     offsets = offsets.alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))) \
         .select(F.col("o.source").alias("__s"), F.col("b").alias("__b"), "__offset",
                 F.col("t.source_size").alias("__source_size"), F.col("target").alias("__target"))
-    ordered = Window.partitionBy("__s", "__b").orderBy("__tie", F.col(id_col), "__size") \
+    ordered = Window.partitionBy("__s", "__b").orderBy("__tie", "__id", "__size") \
         .rowsBetween(Window.unboundedPreceding, 0)
     queued = sized.join(offsets, sized["__source"].eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b"))) \
         .withColumn("__cum", F.col("__offset") + F.sum("__size").over(ordered))
@@ -95,8 +102,8 @@ def _mixed(sized: DataFrame, weights, budget: float, max_repeat: int, id_col: st
     def finish(copy):
         return (F.col("__cum") + copy * F.col("__source_size")) / F.col("__target")
 
-    def place(copy, key=F.col(id_col)):
-        return F.struct(finish(copy).alias("f"), F.col("__tie").alias("t"), key.alias("i"), copy.alias("c"))
+    def place(copy):
+        return F.struct(finish(copy).alias("f"), F.col("__tie").alias("t"), F.col("__id").alias("i"), copy.alias("c"))
 
     copies = queued.filter("__size > 0").select(
         "__size", F.explode(F.array(*[place(F.lit(c)) for c in range(max_repeat)])).alias("p"))
@@ -115,14 +122,12 @@ def _mixed(sized: DataFrame, weights, budget: float, max_repeat: int, id_col: st
                 Window.orderBy("f", "t", "i", "c").rowsBetween(Window.unboundedPreceding, 0)))
         # The first copy beyond the budget; it and all later ones stay out.
         over = inside.filter(F.col("end") > budget * total).orderBy("f", "t", "i", "c").first()
-        limit = spark.createDataFrame([(over["f"], over["t"], over["i"], over["c"])], ranges.select("f", "t", "i", "c").schema)
-        limit = F.struct(*[F.lit(limit.first()[k]).cast(limit.schema[k].dataType).alias(k) for k in ("f", "t", "i", "c")])
+        limit = F.struct(*[F.lit(over[k]).cast(ranges.schema[k].dataType).alias(k) for k in ("f", "t", "i", "c")])
         taken = sum((F.when((F.col("__size") > 0) & (place(F.lit(c)) < limit), F.col("__size")).otherwise(F.lit(0))
                      for c in range(max_repeat)), F.lit(0))
-    for staged in (sized, buckets, ranges):
+    for staged in (buckets, ranges):
         drop_staged(staged)
-    return attach(queued, {"size": F.col("__size"), "source_size": F.col("__source_size"),
-                           "target": F.col("__target"), "taken": taken.cast("long")})
+    return queued.select("__row", "__size", "__source_size", "__target", taken.cast("long").alias("__taken"))
 
 
 ORACLE = rf"""
