@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import language_id, mixing, packing, pii, quality_model, quality_rules, secrets, simhash
+from riskweave.llm import context_tree, language_id, mixing, packing, pii, quality_model, quality_rules, secrets, simhash
 from riskweave.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_documents(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_documents(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_model.score_documents(docs, labels, carry=["doc_id"])
@@ -45,7 +49,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mix": op1_mix, "op2_pii": op2_pii, "op3_quality": op3_quality,
-           "op4_simhash": op4_simhash, "op6_quality_model": op6_quality_model,
+           "op4_simhash": op4_simhash, "op5_context_tree": op5_context_tree, "op6_quality_model": op6_quality_model,
            "op7_secrets": op7_secrets, "op8_language": op8_language,
            "op10_pack": op10_pack}
 ORACLES = {"op1_mix": mixing.ORACLE}
