@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import context_tree, language_id, mixing, packing, pii, quality_model, quality_rules, secrets, simhash
+from riskweave.llm import context_tree, cover_tree, language_id, mixing, packing, pii, quality_model, quality_rules, secrets, simhash
 from riskweave.llm.common import table
 
 
@@ -44,6 +44,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_documents(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return cover_tree.link_vectors(vectors).drop("embedding")
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -51,5 +56,5 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_mix": op1_mix, "op2_pii": op2_pii, "op3_quality": op3_quality,
            "op4_simhash": op4_simhash, "op5_context_tree": op5_context_tree, "op6_quality_model": op6_quality_model,
            "op7_secrets": op7_secrets, "op8_language": op8_language,
-           "op10_pack": op10_pack}
+           "op9_cover_tree": op9_cover_tree, "op10_pack": op10_pack}
 ORACLES = {"op1_mix": mixing.ORACLE}
