@@ -68,5 +68,6 @@ def hash60(*values: Column, seed: str) -> Column:
 
 def attach(df: DataFrame, results: dict[str, Column]) -> DataFrame:
     """The caller's columns (but for ``__`` helpers) and the results; results win a name clash."""
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in results and not c.startswith("__")]
+    taken = {n.lower() for n in results}
+    keep = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken and not c.startswith("__")]
     return df.select(*keep, *[c.alias(n) for n, c in results.items()])

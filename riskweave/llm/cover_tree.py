@@ -293,10 +293,10 @@ def link_vectors(table: DataFrame, threshold: float = THRESHOLD, block_rows: int
     ids = rows.select(F.col("__rid").alias("rid"), F.col(id_col).alias("id"))
     found = degree.join(component, degree["rid"] == component["node"]).select("rid", "links", "component").join(ids, "rid")
     smallest = found.groupBy("component").agg(F.min("id").alias("smallest"))
-    found = found.join(smallest, "component").select(F.col("rid").alias("__of"), "links", "smallest")
+    found = found.join(smallest, "component").select(F.col("rid").alias("__of"), F.col("links").alias("__links"), F.col("smallest").alias("__smallest"))
     joined = rows.join(found, F.col("__rid") == F.col("__of"), "left")
-    own = F.coalesce("smallest", id_col)
-    return attach(joined, {"n_links": F.coalesce("links", F.lit(0)).cast("long"), "component_id": own.cast("long"),
+    own = F.coalesce("__smallest", id_col)
+    return attach(joined, {"n_links": F.coalesce("__links", F.lit(0)).cast("long"), "component_id": own.cast("long"),
                            "kept": F.coalesce(F.col(id_col) == own, F.lit(False))})
 
 
