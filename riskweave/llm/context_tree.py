@@ -150,19 +150,15 @@ def weigh(entries: dict[int, tuple[np.ndarray, np.ndarray]], level: int, depth:
         ones = np.bincount(inverse, n * ((byte >> (7 - level)) & 1), len(ids))
         zeros = np.bincount(inverse, n, len(ids)) - ones
         kt = kt_log(zeros, ones)
-        if d == depth or len(entries[d + 1][0]) == 0:
-            parent, below, under = None, np.zeros(len(ids)), (zeros, ones)
-            deeper = np.zeros(len(ids), bool) if d < depth else None
-        else:
+        below, rest = np.zeros(len(ids)), None
+        if d < depth:
             child = nodes[d + 1]
-            parent = np.searchsorted(ids, (child["ids"] & U(255)) | ((child["ids"] & ~U(255)) & U((1 << (8 * (d + 1))) - 1)))
-            below = np.bincount(parent, child["log"], len(ids))
-            under = (zeros - np.bincount(parent, child["zeros"], len(ids)), ones - np.bincount(parent, child["ones"], len(ids)))
-            child["parent"], deeper = parent, None
-        rest = None
-        if d < depth:  # what contexts too rare for the tree hold is one more branch
-            below = below + (kt_log(*under) if deeper is None else kt_log(zeros, ones))
-            rest = (under[1] + 0.5) / (under[0] + under[1] + 1)
+            parent = np.searchsorted(ids, (child["ids"] & U(255)) | (child["ids"] & U((1 << (8 * (d + 1))) - 1) & ~U(255)))
+            child["parent"] = parent
+            # What contexts too rare for the tree hold is one more branch.
+            rare = zeros - np.bincount(parent, child["zeros"], len(ids)), ones - np.bincount(parent, child["ones"], len(ids))
+            below = np.bincount(parent, child["log"], len(ids)) + kt_log(*rare)
+            rest = (rare[1] + 0.5) / (rare[0] + rare[1] + 1)
         log = kt if d == depth else np.logaddexp(kt, below) - math.log(2)
         nodes[d] = {"ids": ids, "zeros": zeros, "ones": ones, "kt": kt, "below": below, "rest": rest, "log": log}
     for d in range(top, depth + 1):
