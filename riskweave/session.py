@@ -51,7 +51,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS, S3, ABFS)")
         conf = tempfile.mkdtemp(prefix="riskweave-ckpt-")
     sc.setCheckpointDir(conf)

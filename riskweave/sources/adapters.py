@@ -99,3 +99,13 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_sequence_num").alias("sequenceNumber"),
         F.col("event_sequence_num").cast("string").alias("offset"),
     )
+
+
+def faulty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelopes with a body that is no JSON (every 53rd) or has no transaction id (every 59th)."""
+    from pyspark.sql import functions as F
+
+    whole, seq = event_envelopes(spark, sf_dir), F.col("sequenceNumber")
+    no_id = F.regexp_replace(F.col("body").cast("string"), '"transaction_id":"[^"]*",', "").cast("binary")
+    body = F.when(seq % 53 == 0, F.lit("corrupt").cast("binary")).when(seq % 59 == 0, no_id).otherwise(F.col("body"))
+    return whole.withColumn("body", body)

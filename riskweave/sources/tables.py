@@ -13,8 +13,9 @@ at job commit), and task retries after a lost executor are Spark's own.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.operators.upsert import DuplicateKeyError, duplicate_source_keys, upsert
-from riskweave.session import shared_dir
+from riskweave.session import scratch_path
+
+SCHEMA_FILE = "_schema.json"  # Spark's readers skip names that start with an underscore
 
 
 def _fs(spark: SparkSession, path: str):
@@ -42,10 +45,15 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def partition_dir(path: str, column: str, value: str) -> str:
-    from urllib.parse import quote
+def partition_dir(spark: SparkSession, path: str, column: str, value: str | None) -> str:
+    """The folder of a partition value, escaped as Spark writes it (None: the default partition)."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{path.rstrip('/')}/{names.getPartitionPathString(column, value)}"
+
 
-    return f"{path.rstrip('/')}/{column}={quote(value, safe='-_.:{},')}"
+def ordered(values: Iterable[str | None]) -> list[str | None]:
+    """Distinct partition values in order, None last."""
+    return sorted(set(values), key=lambda v: (v is None, v or ""))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -54,27 +62,41 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def read_partitions(spark: SparkSession, path: str, schema: T.StructType, partition_by: str,
-                    values: Sequence[str]) -> DataFrame:
-    """Read only the named partitions of a table.
+                    values: Sequence[str | None]) -> DataFrame:
+    """Read only the named partitions of a table (None: rows without a partition value).
 
-    The file index then lists just those directories (one glob) instead of every
-    partition of a table that grows by one directory a day; missing partitions
-    are skipped and an empty result keeps the schema.
+    The file index then lists just those directories instead of every partition
+    of a table that grows by one directory a day; missing partitions are skipped
+    and an empty result keeps the schema.
     """
-    values = sorted(set(values))
-    if not values:
+    dirs = [d for d in (partition_dir(spark, path, partition_by, v) for v in ordered(values)) if table_exists(spark, d)]
+    if not dirs:
         return spark.createDataFrame([], schema)
-    glob = partition_dir(path, partition_by, "{" + ",".join(values) + "}") if len(values) > 1 \
-        else partition_dir(path, partition_by, values[0])
-    fs, p = _fs(spark, glob)
-    if not fs.globStatus(p):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(glob)
+    return spark.read.schema(schema).option("basePath", path).parquet(*dirs)
+
 
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep the table's schema beside its files: a file written before a column was added lacks it."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
 
-def initial_load(df: DataFrame, path: str, partition_by: str) -> None:
-    """A7: create the table (overwrite) partitioned by one column."""
-    df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+
+def stored_schema(spark: SparkSession, path: str, like: T.StructType) -> T.StructType:
+    """The schema of a table; for one written by other means, that of all its files with the
+    partition column typed as in ``like``."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if fs.exists(p):
+        stream = fs.open(p)
+        try:
+            text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return T.StructType.fromJson(json.loads(text))
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    types = {f.name: f.dataType for f in like}
+    return T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found])
 
 
 def optimized_write(df: DataFrame, partition_by: str, cluster_by: Sequence[str] = ()) -> DataFrame:
@@ -95,9 +117,11 @@ def _write_observed(spark: SparkSession, df: DataFrame, path: str, partition_by:
                     dynamic: bool, cluster_by: Sequence[str] = ()) -> tuple[set[str], int]:
     """Write partitioned by ``partition_by``; returns the partition values written and the rows."""
     obs = Observation(f"write_{uuid.uuid4().hex}")
+    part = F.col(partition_by)
     observed = optimized_write(df, partition_by, cluster_by).observe(
         obs,
-        F.collect_set(F.col(partition_by).cast("string")).alias("parts"),
+        F.collect_set(part.cast("string")).alias("parts"),
+        F.count_if(part.isNull()).alias("unplaced"),
         F.count(F.lit(1)).alias("rows"),
     )
     w = observed.write.mode("overwrite")
@@ -105,25 +129,39 @@ def _write_observed(spark: SparkSession, df: DataFrame, path: str, partition_by:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.partitionBy(partition_by).parquet(path)
     metrics = obs.get
-    return set(metrics.get("parts") or []), int(metrics.get("rows") or 0)
+    parts = set(metrics.get("parts") or []) | ({None} if metrics.get("unplaced") else set())
+    return parts, int(metrics.get("rows") or 0)
 
 
 def _replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
-                        touched: set[str], cluster_by: Sequence[str] = ()) -> tuple[set[str], int]:
+                        touched: set[str | None], cluster_by: Sequence[str] = ()) -> tuple[set[str | None], int]:
     """Dynamic overwrite of the partitions ``df`` has; delete touched ones it no longer has."""
     written, rows = _write_observed(spark, df, path, partition_by, dynamic=True, cluster_by=cluster_by)
-    for value in sorted(touched - written):
-        delete_path(spark, partition_dir(path, partition_by, value))
+    for value in ordered(touched - written):
+        delete_path(spark, partition_dir(spark, path, partition_by, value))
     return written, rows
 
 
 @dataclass(frozen=True)
 class CommitResult:
+    """``staged``: the committed batch, if it was asked to be kept; ``release`` deletes its files."""
+
     created: bool
-    touched_partitions: tuple[str, ...]
-    emptied_partitions: tuple[str, ...]
+    touched_partitions: tuple[str | None, ...]
+    emptied_partitions: tuple[str | None, ...]
     rows_written: int
     staged: DataFrame | None = None
+    staging_path: str | None = None
+
+    def release(self) -> None:
+        if self.staged is not None and self.staging_path:
+            delete_path(self.staged.sparkSession, self.staging_path)
+
+
+def _widened(target: T.StructType, source: T.StructType) -> T.StructType:
+    """The target's columns, then the source's new ones."""
+    known = {f.name for f in target}
+    return T.StructType(list(target) + [f for f in source if f.name not in known])
 
 
 def commit(
@@ -135,45 +173,72 @@ def commit(
     on_duplicate: str = "error",
     order_by: Sequence = (),
     cluster_by: Sequence[str] = (),
+    keep_staged: bool = False,
 ) -> CommitResult:
     """C2/C3 on a table: upsert ``source`` into the table at ``path``.
 
     Touched partitions are the source's partitions plus those holding target
-    rows the source matches (a matched row may move to another partition).
+    rows the source matches (a matched row may move to another partition; with
+    the partition column among the keys it cannot, so nothing is searched).
     Only they are read, merged and rewritten; a touched partition left with no
-    row is deleted. The touched list (one value per partition) is the only data
-    brought to the driver. ``cluster_by`` sorts the written files by those
-    columns within each partition (see ``optimized_write``).
+    row is deleted. The table's schema becomes the union of both; matched rows
+    keep the columns that only the target has. Rows without a partition value
+    live in the default partition. The touched list (one value per partition) is
+    the only data brought to the driver. ``cluster_by`` sorts the written files
+    by those columns within each partition (see ``optimized_write``).
+
+    The source is staged as Parquet under the shared work folder (several steps
+    read some of its columns) and deleted afterwards, unless ``keep_staged``.
     """
     keys = list(keys)
     if on_duplicate == "latest":
         from riskweave.operators.dedup import keep_latest
 
         source = keep_latest(source, keys, list(order_by))
-    # The source is used by the key check, the touched-partition search and the
-    # write: materialise it once in the shared checkpoint folder (reliable, so a
-    # lost executor does not force recomputing the batch) instead of three times.
-    shared_dir(spark)
-    source = source.checkpoint(eager=True)
+    staging = scratch_path(spark, "commit")
+    source.write.parquet(staging)
+    staged = spark.read.schema(source.schema).parquet(staging)
+    try:
+        created, touched, emptied, rows = _merge(spark, path, staged, keys, partition_by, on_duplicate, cluster_by)
+    except BaseException:
+        delete_path(spark, staging)
+        raise
+    if not keep_staged:
+        delete_path(spark, staging)
+    return CommitResult(created, tuple(ordered(touched)), tuple(ordered(emptied)), rows, staged if keep_staged else None,
+                        staging if keep_staged else None)
+
+
+def _merge(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition_by: str, on_duplicate: str,
+           cluster_by: Sequence[str]) -> tuple[bool, set, set, int]:
     if on_duplicate == "error" and duplicate_source_keys(source, keys).limit(1).count():
         raise DuplicateKeyError(f"source has duplicate keys on {keys}")
-
     if not table_exists(spark, path):
         written, rows = _write_observed(spark, source, path, partition_by, dynamic=False, cluster_by=cluster_by)
-        return CommitResult(True, tuple(sorted(written)), (), rows, source)
+        save_schema(spark, path, source.schema)
+        return True, written, set(), rows
 
-    target = read_table(spark, path, source.schema)
+    schema = stored_schema(spark, path, source.schema)
     part = F.col(partition_by).cast("string").alias("_part")
-    matched = target.select(*keys, part).join(source.select(*keys), keys, "left_semi").select("_part")
-    touched_df = source.select(part).union(matched).distinct()
-    touched = {r["_part"] for r in touched_df.collect()}
+    touched_rows = source.select(part).distinct()
+    if partition_by not in keys:
+        touched_rows = touched_rows.unionAll(_matched(read_table(spark, path, schema), source, keys).select(part)).distinct()
+    touched = {r["_part"] for r in touched_rows.collect()}
     if not touched:
-        return CommitResult(False, (), (), 0, source)
-
-    affected = target.filter(F.col(partition_by).cast("string").isin(sorted(touched)))
-    merged = upsert(affected, source, keys, on_duplicate="allow")
+        return False, set(), set(), 0
+    merged = upsert(read_partitions(spark, path, schema, partition_by, touched), source, keys, on_duplicate="allow")
     written, rows = _replace_partitions(spark, merged, path, partition_by, touched, cluster_by)
-    return CommitResult(False, tuple(sorted(touched)), tuple(sorted(touched - written)), rows, source)
+    save_schema(spark, path, _widened(schema, source.schema))
+    return False, touched, touched - written, rows
+
+
+def _matched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key the source has. The source's key range goes to the scan as a
+    filter, so row groups outside it are neither read nor shuffled."""
+    lo, hi = source.agg(F.min(keys[0]), F.max(keys[0])).first()
+    if lo is None:
+        return target.limit(0)
+    return target.filter(F.col(keys[0]).between(F.lit(lo), F.lit(hi))).join(source.select(*keys), keys, "left_semi")
 
 
 def write_partition(spark: SparkSession, df: DataFrame, path: str, partition_by: str, value: str) -> int:
@@ -185,6 +250,15 @@ def write_partition(spark: SparkSession, df: DataFrame, path: str, partition_by:
     return rows
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """A10: append (the audit log)."""
-    df.write.mode("append").parquet(path)
+def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str, values: Iterable[str | None],
+                       cluster_by: Sequence[str] = ()) -> CommitResult:
+    """Put ``df`` in place of the whole partitions ``values``; those it has no rows for go."""
+    created = not table_exists(spark, path)
+    if created:
+        written, rows = _write_observed(spark, df, path, partition_by, dynamic=False, cluster_by=cluster_by)
+        touched = written
+    else:
+        touched = set(values)
+        written, rows = _replace_partitions(spark, df, path, partition_by, touched, cluster_by)
+    save_schema(spark, path, df.schema)
+    return CommitResult(created, tuple(ordered(touched | written)), tuple(ordered(touched - written)), rows)
