@@ -12,10 +12,6 @@ from riskweave.settings import DEFAULT_SETTINGS, SILVER_PIPELINE_VERSION, RiskSe
 
 CODE_COLUMNS = ("transaction_type", "transaction_channel", "currency_code", "originating_country")
 
-# Largest alias table that is shipped to every executor; above it the lookup is
-# a shuffled join chosen by the optimizer.
-MAX_BROADCAST_ALIASES = 100_000
-
 
 def standardise(df: DataFrame, settings: RiskSettings = DEFAULT_SETTINGS) -> DataFrame:
     """H1-H5: trim/upper codes, channel aliases, defaults, 2-place money, hour of day."""
@@ -36,13 +32,11 @@ def standardise(df: DataFrame, settings: RiskSettings = DEFAULT_SETTINGS) -> Dat
 def channel_lookup_join(df: DataFrame, aliases: DataFrame, column: str = "transaction_channel") -> DataFrame:
     """C4 in table form: ``aliases(alias, channel)`` joined on the code; unmatched keeps its value.
 
-    The alias table is broadcast only after its row count is checked against
-    ``MAX_BROADCAST_ALIASES``; beyond that the optimizer picks the join.
+    An alias listed more than once counts once (its smallest channel), so no row is
+    doubled. The optimizer picks the join from the measured sizes.
     """
-    lookup = aliases.select(F.col("alias").alias("_alias"), F.col("channel").alias("_channel"))
-    small = lookup.limit(MAX_BROADCAST_ALIASES + 1).count() <= MAX_BROADCAST_ALIASES
-    side = F.broadcast(lookup) if small else lookup
-    joined = df.join(side, F.col(column) == F.col("_alias"), "left")
+    lookup = aliases.filter(F.col("alias").isNotNull()).groupBy(F.col("alias").alias("_alias")).agg(F.min("channel").alias("_channel"))
+    joined = df.join(lookup, F.col(column) == F.col("_alias"), "left")
     return joined.withColumn(column, F.coalesce(F.col("_channel"), F.col(column))).drop("_alias", "_channel")
 
 

@@ -252,7 +252,7 @@ def run_layout(spark: SparkSession, specs: Sequence[LayoutSpec], dry_run: bool =
                      min_files=spec.min_files)
             rows.append((spec.path, "success", None, None, None, None))
         except Exception as exc:  # noqa: BLE001 - collect, raise after all specs
-            rows.append((spec.path, "failed", None, None, None, str(exc)[:1000]))
+            rows.append((spec.path, "failed", None, None, None, str(exc)))
             failed.append(spec.path)
     result = spark.createDataFrame(rows, LAYOUT_RESULT)
     if failed and raise_on_failure:
