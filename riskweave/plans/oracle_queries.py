@@ -129,6 +129,17 @@ PARSED_SQL = f"""SELECT transaction_id, account_number, customer_id, transaction
   event_sequence_num AS _event_sequence, 'STREAM_EH_CONSUMER' AS _pipeline,
   {FLAGS_SQL}
 FROM ev"""
+# A corrupt body has no payload at all; it and an event without an id land with each of three deliveries.
+PAYLOAD = ("transaction_id customer_id account_number transaction_datetime transaction_type transaction_channel amount_usd "
+           "currency_code originating_country is_international merchant_category_code merchant_name device_fingerprint "
+           "ip_country event_sequence_num").split()
+EMPTY = ", ".join(f"NULL AS {c}" for c in PAYLOAD)
+NO_FLAGS = ("false AS _flag_sar_threshold, false AS _flag_international_high_value, false AS _flag_ip_country_mismatch")
+DELIVERED_SQL = f"""SELECT * FROM parsed WHERE "sequenceNumber" % 53 <> 0 AND "sequenceNumber" % 59 <> 0
+UNION ALL SELECT * EXCLUDE (copy_no) REPLACE (NULL AS transaction_id) FROM parsed, range(3) AS r(copy_no)
+  WHERE "sequenceNumber" % 53 <> 0 AND "sequenceNumber" % 59 = 0
+UNION ALL SELECT * EXCLUDE (copy_no) REPLACE ({EMPTY}, {NO_FLAGS}) FROM parsed, range(3) AS r(copy_no)
+  WHERE "sequenceNumber" % 53 = 0"""
 VELOCITY_SQL = """SELECT *, count(*) OVER (PARTITION BY account_number ORDER BY transaction_datetime
     RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS velocity_count FROM ev"""
 
@@ -143,8 +154,8 @@ ORACLE.update({
     "event_parse_flags": _ev("SELECT * FROM parsed", {"parsed": PARSED_SQL}),
     "stream_landing": _ev("SELECT *, CAST(_event_ingested_at AS DATE) AS ingestion_date FROM parsed",
                           {"parsed": PARSED_SQL}),
-    "stream_dedup": _ev("SELECT *, CAST(_event_ingested_at AS DATE) AS ingestion_date FROM parsed",
-                        {"parsed": PARSED_SQL}),
+    "stream_dedup": _ev("SELECT *, CAST(_event_ingested_at AS DATE) AS ingestion_date FROM delivered",
+                        {"parsed": PARSED_SQL, "delivered": DELIVERED_SQL}),
     "velocity_breach": _ev("SELECT transaction_id, account_number, transaction_datetime, velocity_count, "
                            "velocity_count > 5 AS _flag_velocity_breach FROM vel", {"vel": VELOCITY_SQL}),
     "route_by_score": with_steps(
@@ -167,3 +178,59 @@ ORACLE.update({
     "clustered": with_steps("SELECT * FROM silver"),
     "daily_chain": O.features_sql(),
 })
+
+ORDER = "ORDER BY load_seq DESC, load_tie DESC, load_tie2 DESC"
+LATEST = f"QUALIFY row_number() OVER (PARTITION BY transaction_id {ORDER}) = 1"
+MONTH = "CAST(date_trunc('month', transaction_date) AS DATE)"
+
+
+def _merge_existing() -> str:
+    extra = {
+        "tgt": f"SELECT *, {MONTH} AS month FROM valid WHERE transaction_date <= {_d(O.UPSERT_TARGET_UNTIL)} {LATEST}",
+        "src": f"""SELECT * EXCLUDE (merchant_name), CASE WHEN load_seq % 41 = 0 THEN NULL
+                   WHEN load_seq % 7 = 0 THEN CAST({MONTH} + INTERVAL 1 MONTH AS DATE) ELSE {MONTH} END AS month,
+                   'late' AS batch FROM valid WHERE transaction_date >= {_d(O.UPSERT_SOURCE_FROM)} {LATEST}""",
+    }
+    body = """SELECT tgt.*, CAST(NULL AS VARCHAR) AS batch FROM tgt ANTI JOIN src USING (transaction_id)
+              UNION ALL BY NAME SELECT src.*, tgt.merchant_name FROM src LEFT JOIN tgt USING (transaction_id)"""
+    return with_steps(body, upto="valid", extra=extra)
+
+
+def _chain_two_days() -> str:
+    """Both landings in plain SQL: bronze replaces matched ids, cleansing takes the days touched."""
+    fold = "DATE '1998-03-27' + CAST((transaction_date - DATE '1992-01-01') % 96 AS INTEGER)"
+    gone = "transaction_id IN (SELECT transaction_id FROM land2)"
+    extra = {
+        "folded": f"SELECT * REPLACE ({fold} AS transaction_date) FROM valid",
+        "land1": "SELECT * FROM folded WHERE load_seq % 3 <> 0",
+        "land2": "SELECT * FROM folded WHERE load_seq % 3 = 0",
+        "days2": f"SELECT transaction_date FROM land2 UNION SELECT transaction_date FROM land1 WHERE {gone}",
+        "batch2": f"""SELECT * FROM (SELECT * FROM land1 WHERE NOT ({gone}) UNION ALL SELECT * FROM land2)
+                      WHERE transaction_date IN (SELECT transaction_date FROM days2) {LATEST}""",
+        "kept1": f"SELECT * FROM land1 {LATEST}",
+        "latest": """SELECT * FROM kept1 WHERE transaction_id NOT IN (SELECT transaction_id FROM batch2)
+                     UNION ALL SELECT * FROM batch2""",
+        "standard": O.STEPS["standard"], "silver": O.STEPS["silver"],
+        **features_ctes(O.FEATURE_DATE),
+    }
+    return with_steps("SELECT * FROM feat", upto="valid", extra=extra)
+
+
+def _audit(name: str, count: str, threshold: int, severity: str, text: str) -> str:
+    return (f"SELECT 'bronze/financial/transactions' AS table_path, '{name}' AS check_name, '{text}' AS description, "
+            f"CAST({count} AS BIGINT) AS failing_count, CAST({threshold} AS BIGINT) AS threshold, '{severity}' AS severity, "
+            f"false AS passed, '1998-07-01' AS run_date FROM txn")
+
+
+ORACLE.update({
+    "merge_existing": _merge_existing(),
+    "chain_two_days": _chain_two_days(),
+    "quarantine_table": ORACLE["landing_quarantine"],
+    "dq_raising_rule": with_steps("\nUNION ALL\n".join([
+        _audit("missing_amount", "count(*) FILTER (WHERE amount_usd IS NULL)", 0, "WARNING", "Rows without an amount."),
+        _audit("raising_rule", "any_value(-1)", 0, "CRITICAL", "A rule that raises."),
+        _audit("null_measure", "any_value(-1)", 5, "CRITICAL", "A measure without a value."),
+        _audit("all_rows", "count(*)", 0, "CRITICAL", "Every row counts."),
+    ]), upto="txn"),
+    "fraud_signals_job": ORACLE["fraud_signals"],
+})

@@ -219,6 +219,7 @@ QUERIES = {
 
 def all_queries() -> dict:
     from riskweave.plans.layout_queries import LAYOUT_QUERIES
+    from riskweave.plans.merge_queries import MERGE_QUERIES
     from riskweave.plans.stream_queries import STREAM_QUERIES
 
-    return {**QUERIES, **STREAM_QUERIES, **LAYOUT_QUERIES}
+    return {**QUERIES, **STREAM_QUERIES, **LAYOUT_QUERIES, **MERGE_QUERIES}

@@ -9,15 +9,18 @@ from pyspark.sql import types as T
 from riskweave.operators.features import account_features
 from riskweave.operators.signals import fraud_signals, route_by_score, velocity_breach
 from riskweave.plans.oracle import FEATURE_DATE
+from riskweave.plans.pipelines import build_fraud_signals
 from riskweave.plans.queries import silver
 from riskweave.schemas import EVENT_PAYLOAD_SCHEMA, with_timestamp_type
 from riskweave.session import scratch_path
+from riskweave.settings import RiskSettings, Zones
 from riskweave.sources import adapters
+from riskweave.sources.tables import stored_schema
 from riskweave.streaming.events import event_source, land_events, parse_events, prescreen, use_rocksdb_state
 
 # The driver's event times carry no zone, so the payload is parsed as TIMESTAMP_NTZ.
 PAYLOAD_NTZ = with_timestamp_type(EVENT_PAYLOAD_SCHEMA, T.TimestampNTZType())
-FEED_FILES = 4
+FEED_RANGES = 4
 VELOCITY_MAX = 5
 
 
@@ -26,35 +29,30 @@ def q_event_parse_flags(spark: SparkSession, sf: str) -> DataFrame:
     return prescreen(parse_events(adapters.event_envelopes(spark, sf), PAYLOAD_NTZ))
 
 
-def write_feed(envelopes: DataFrame, path: str, files: int = FEED_FILES) -> None:
-    """Envelopes appended as ``files`` sequence-number ranges, one write after the other.
+def write_feed(envelopes: DataFrame, path: str, ranges: int = FEED_RANGES) -> int:
+    """Envelopes appended as sequence-number ranges, one write after the other; returns the files.
 
     The file source replays files in modification-time order, so the ranges are
-    written in order (like a bus delivering events roughly in time order). The
-    range bounds are ``files - 1`` quantiles brought to the driver.
+    written in order (like a bus delivering events roughly in time order). Each
+    write is parallel; ranges are equal parts between the smallest and largest
+    number, and envelopes without a number come first.
     """
-    bounds = envelopes.approxQuantile("sequenceNumber", [i / files for i in range(1, files)], 0.0)
-    edges = [None, *bounds, None]
     seq = F.col("sequenceNumber")
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        part = envelopes
-        if lo is not None:
-            part = part.filter(seq > F.lit(lo))
-        if hi is not None:
-            part = part.filter(seq <= F.lit(hi))
-        part.coalesce(1).write.mode("append").parquet(path)
+    lo, hi = envelopes.agg(F.min(seq), F.max(seq)).first()
+    at = F.lit(0) if lo is None else F.coalesce(F.floor((seq - lo) * ranges / (hi - lo + 1)).cast("int"), F.lit(0))
+    for k in range(ranges):
+        envelopes.filter(at == k).write.mode("append").parquet(path)
+    return len(envelopes.sparkSession.read.parquet(path).inputFiles())
 
 
-def _land(spark: SparkSession, sf: str, replay: bool, dedup: bool) -> DataFrame:
+def _land(spark: SparkSession, envelopes: DataFrame, deliveries: int, dedup: bool) -> DataFrame:
     root = scratch_path(spark, "stream")
-    envelopes = adapters.event_envelopes(spark, sf)
-    write_feed(envelopes, f"{root}/feed")
-    if replay:
-        # A consumer restarted from an old offset re-delivers every event.
+    files = write_feed(envelopes, f"{root}/feed")
+    for _ in range(deliveries - 1):  # a consumer restarted from an old offset gets every event again
         write_feed(envelopes, f"{root}/feed")
     if dedup:
         use_rocksdb_state(spark)
-    per_trigger = str(FEED_FILES) if replay else "1"  # replay: the feed, then its re-delivery
+    per_trigger = str(files) if deliveries > 1 else "1"  # one micro-batch a delivery
     raw = event_source(spark, "parquet", {"maxFilesPerTrigger": per_trigger}, envelopes.schema, f"{root}/feed")
     query = land_events(raw, f"{root}/sink", f"{root}/checkpoint", payload_schema=PAYLOAD_NTZ,
                         dedup=dedup, available_now=True)
@@ -63,13 +61,27 @@ def _land(spark: SparkSession, sf: str, replay: bool, dedup: bool) -> DataFrame:
 
 
 def q_stream_landing(spark: SparkSession, sf: str) -> DataFrame:
-    """M4 with an available-now trigger over four feed files, then the landed table."""
-    return _land(spark, sf, replay=False, dedup=False)
+    """M4 with an available-now trigger over a feed in four ranges, then the landed table."""
+    return _land(spark, adapters.event_envelopes(spark, sf), deliveries=1, dedup=False)
 
 
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """I6: the whole feed delivered twice; the watermark dedup lands each event once."""
-    return _land(spark, sf, replay=True, dedup=True)
+    """I6: a feed with corrupt and id-less events delivered three times; the watermark dedup lands
+    each event with an id once, and every delivery of the others."""
+    return _land(spark, adapters.faulty_envelopes(spark, sf), deliveries=3, dedup=True)
+
+
+def q_fraud_signals_job(spark: SparkSession, sf: str) -> DataFrame:
+    """N3 job in two runs over a landed stream: every tenth event arrives a day late."""
+    zones = Zones(scratch_path(spark, "fraud"))
+    landed = prescreen(adapters.event_transactions(spark, sf))
+    day, late = F.to_date("transaction_datetime"), F.col("event_sequence_num") % 10 == 0
+    for rows, ingested in ((landed.filter(~late), day), (landed.filter(late), F.date_add(day, 1))):
+        batch = rows.withColumn("ingestion_date", ingested)
+        batch.write.mode("append").partitionBy("ingestion_date").parquet(zones.transactions_stream)
+        days = [r["d"] for r in batch.select(F.col("ingestion_date").cast("string").alias("d")).distinct().collect()]
+        build_fraud_signals(spark, zones, days, RiskSettings(velocity_max_count=VELOCITY_MAX))
+    return spark.read.schema(stored_schema(spark, zones.fraud_signals, T.StructType())).parquet(zones.fraud_signals)
 
 
 def q_velocity_breach(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,4 +109,5 @@ STREAM_QUERIES = {
     "velocity_breach": q_velocity_breach,
     "route_by_score": q_route_by_score,
     "fraud_signals": q_fraud_signals,
+    "fraud_signals_job": q_fraud_signals_job,
 }
