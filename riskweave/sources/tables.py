@@ -134,12 +134,12 @@ def _write_observed(spark: SparkSession, df: DataFrame, path: str, partition_by:
 
 
 def _replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str,
-                        touched: set[str | None], cluster_by: Sequence[str] = ()) -> tuple[set[str | None], int]:
-    """Dynamic overwrite of the partitions ``df`` has; delete touched ones it no longer has."""
+                        touched: set[str | None], cluster_by: Sequence[str] = ()) -> tuple[set[str | None], set[str | None], int]:
+    """Dynamic overwrite of the partitions ``df`` has; touched ones it has no rows for are deleted.
+    Returns the partitions written, those deleted, and the rows."""
     written, rows = _write_observed(spark, df, path, partition_by, dynamic=True, cluster_by=cluster_by)
-    for value in ordered(touched - written):
-        delete_path(spark, partition_dir(spark, path, partition_by, value))
-    return written, rows
+    emptied = {v for v in ordered(touched - written) if delete_path(spark, partition_dir(spark, path, partition_by, v))}
+    return written, emptied, rows
 
 
 @dataclass(frozen=True)
@@ -227,9 +227,9 @@ def _merge(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
     if not touched:
         return False, set(), set(), 0
     merged = upsert(read_partitions(spark, path, schema, partition_by, touched), source, keys, on_duplicate="allow")
-    written, rows = _replace_partitions(spark, merged, path, partition_by, touched, cluster_by)
+    _, emptied, rows = _replace_partitions(spark, merged, path, partition_by, touched, cluster_by)
     save_schema(spark, path, _widened(schema, source.schema))
-    return False, touched, touched - written, rows
+    return False, touched, emptied, rows
 
 
 def _matched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -246,8 +246,7 @@ def write_partition(spark: SparkSession, df: DataFrame, path: str, partition_by:
 
     Reruns for the same run date give the same table, unlike an append.
     """
-    _, rows = _replace_partitions(spark, df, path, partition_by, {value})
-    return rows
+    return _replace_partitions(spark, df, path, partition_by, {value})[2]
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str, values: Iterable[str | None],
@@ -256,9 +255,8 @@ def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_
     created = not table_exists(spark, path)
     if created:
         written, rows = _write_observed(spark, df, path, partition_by, dynamic=False, cluster_by=cluster_by)
-        touched = written
+        emptied = set()
     else:
-        touched = set(values)
-        written, rows = _replace_partitions(spark, df, path, partition_by, touched, cluster_by)
+        written, emptied, rows = _replace_partitions(spark, df, path, partition_by, set(values), cluster_by)
     save_schema(spark, path, df.schema)
-    return CommitResult(created, tuple(ordered(touched | written)), tuple(ordered(touched - written)), rows)
+    return CommitResult(created, tuple(ordered(written | emptied)), tuple(ordered(emptied)), rows)

@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 
 from riskweave.operators.upsert import DuplicateKeyError, upsert
-from riskweave.sources.tables import commit, read_table, write_partition
+from riskweave.sources.tables import commit, read_table, stored_schema, write_partition
 
 SCHEMA = "id string, d date, v int"
 
@@ -86,3 +86,76 @@ def test_fraud_signals_job_from_landed_stream(spark, tmp_root):
     a = got[("A", D2)]
     assert a.velocity_breach_count == 1 and a.max_velocity_count == 2 and a.ip_mismatch_count == 1
     assert res.touched_partitions == ("2024-01-02",)
+
+
+def test_commit_keeps_columns_null_partitions_and_escaped_values(spark, tmp_root):
+    """A matched row keeps what only the target has; rows without a partition value and values
+    that need escaping are merged like any other."""
+    path = f"{tmp_root}/t"
+    wide = spark.createDataFrame([("a", "a b", 1, "x"), ("b", "k:1/2%", 1, "y"), ("c", None, 1, "z"), ("d", "p", 1, "w"), (None, "p", 1, "n")],
+                                 "id string, part string, v int, extra string")
+    first = commit(spark, path, wide, ["id"], "part")
+    assert first.touched_partitions == ("a b", "k:1/2%", "p", None)
+    batch = spark.createDataFrame([("a", None, 2, True), ("b", "a b", 2, True), ("c", "q", 2, True), ("e", None, 2, True)],
+                                  "id string, part string, v int, fresh boolean")
+    for _ in range(2):
+        commit(spark, path, batch, ["id"], "part")
+        got = {r.id: (r.part, r.v, r.extra, r.fresh) for r in read_table(spark, path, stored_schema(spark, path, wide.schema)).collect()}
+        assert got == {"a": (None, 2, "x", True), "b": ("a b", 2, "y", True), "c": ("q", 2, "z", True), "d": ("p", 1, "w", None),
+                       "e": (None, 2, None, True), None: ("p", 1, "n", None)}
+
+
+def test_partition_key_in_merge_key_needs_no_search(spark, tmp_root, monkeypatch):
+    from riskweave.sources import tables
+
+    path = f"{tmp_root}/t"
+    commit(spark, path, _df(spark, [("a", D1, 1), ("b", D2, 1)]), ["id", "d"], "d")
+    monkeypatch.setattr(tables, "_matched", lambda *a: pytest.fail("searched the whole target"))
+    res = commit(spark, path, _df(spark, [("a", D2, 2)]), ["id", "d"], "d")
+    assert res.touched_partitions == ("2024-01-02",)
+    rows = sorted((r.id, r.d, r.v) for r in read_table(spark, path, _df(spark, []).schema).collect())
+    assert rows == [("a", D1, 1), ("a", D2, 2), ("b", D2, 1)]
+
+
+def test_search_filters_the_target_by_key_range(spark, tmp_root):
+    from riskweave.sources.tables import _matched
+
+    path = f"{tmp_root}/t"
+    commit(spark, path, _df(spark, [("a", D1, 1), ("m", D2, 1)]), ["id"], "d")
+    found = _matched(read_table(spark, path, _df(spark, []).schema), _df(spark, [("k", D1, 1), ("m", D1, 1)]), ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,k)" in plan and "LessThanOrEqual(id,m)" in plan
+    assert [r.id for r in found.collect()] == ["m"]
+
+
+def test_commit_leaves_no_staging_behind(spark, tmp_root):
+    import os
+
+    from riskweave.session import shared_dir
+
+    root = shared_dir(spark).removeprefix("file:")
+    before = {x for x in os.listdir(root) if x.startswith("commit-")}
+    kept = commit(spark, f"{tmp_root}/t", _df(spark, [("a", D1, 1)]), ["id"], "d", keep_staged=True)
+    assert kept.staged.count() == 1
+    kept.release()
+    commit(spark, f"{tmp_root}/t", _df(spark, [("a", D2, 1)]), ["id"], "d")
+    assert {x for x in os.listdir(root) if x.startswith("commit-")} == before
+
+
+def test_late_event_recomputes_its_whole_day(spark, tmp_root):
+    """Five events of a day, then one more of that day landed a day later: the day has six."""
+    from riskweave.plans.pipelines import build_fraud_signals
+    from riskweave.settings import RiskSettings, Zones
+
+    zones = Zones(tmp_root)
+    schema = ("transaction_id string, account_number string, transaction_datetime timestamp_ntz, _flag_sar_threshold boolean, "
+              "_flag_international_high_value boolean, _flag_ip_country_mismatch boolean, ingestion_date date")
+    t0 = dt.datetime(2024, 1, 1, 20, 0)
+    early = [(f"E{i}", "A1", t0 + dt.timedelta(minutes=i), False, False, False, D1) for i in range(5)]
+    late = [("L", "A1", dt.datetime(2024, 1, 1, 23, 59, 58), True, False, False, D2), ("N", "A1", None, False, False, False, D2)]
+    for rows, day in ((early, "2024-01-01"), (late, "2024-01-02"), ([], "2024-01-02")):
+        if rows:
+            spark.createDataFrame(rows, schema).write.mode("append").partitionBy("ingestion_date").parquet(zones.transactions_stream)
+        build_fraud_signals(spark, zones, [day], RiskSettings(velocity_max_count=3))
+    got = {r.signal_date: (r.txn_count, r.sar_threshold_count, r.velocity_breach_count) for r in spark.read.parquet(zones.fraud_signals).collect()}
+    assert got == {D1: (6, 1, 3), None: (1, 0, 0)}
