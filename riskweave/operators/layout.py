@@ -3,43 +3,45 @@ skipping report and a runner over a list of table specs.
 
 These are rewrites of a Parquet table's files, so they are ordinary Spark jobs:
 
-* ``cluster`` maps each clustering column to a bucket number through a few
-  quantile bounds (a short array per column is the only thing brought to the
-  driver), interleaves the bucket bits into one Z-value, range-partitions on
-  ``(partition column, Z, row hash)`` and sorts within partitions. Files then
-  hold narrow ranges of every clustering column, so Parquet min/max statistics
-  let lookups skip them. The row hash lets one hot Z-value (a hot account)
-  spread over several files instead of one oversized task.
+* ``cluster`` maps each clustering column to a bucket number through bounds taken
+  from a bounded sample of its values (compared in the column's own type, so long
+  common prefixes do not matter), interleaves the bucket bits into one Z-value,
+  range-partitions on ``(partition column, Z, row hash)`` and sorts within
+  partitions. Files then hold narrow ranges of every clustering column, so
+  Parquet min/max statistics let lookups skip them. The row hash lets one hot
+  Z-value (a hot account) spread over several files instead of one oversized task.
 * ``compact`` rewrites a table into files of about a target size.
+* File counts and sizes come from a listing (one row per file), never from rows.
 * In-place rewrites replace whole partitions with dynamic partition overwrite
   (staged, moved at job commit), so a failed job leaves the table unchanged.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import math
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+SAMPLE_ROWS = 50_000
 
 
-def _files(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-    ).distinct()
+def files(spark: SparkSession, *paths: str) -> DataFrame:
+    """(file_path, file_size, modified) of the Parquet files under the folders: a listing, no content."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return listed.load(list(paths)).select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
 
 
 def table_detail(spark: SparkSession, path: str) -> DataFrame:
-    """L3: ``num_files, size_bytes, last_modified`` of a Parquet table (files with rows)."""
-    return _files(spark.read.parquet(path)).agg(
+    """L3: ``num_files, size_bytes, last_modified`` of a Parquet table."""
+    return files(spark, path).agg(
         F.count(F.lit(1)).alias("num_files"),
         F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint").alias("size_bytes"),
         F.max("modified").alias("last_modified"),
@@ -50,24 +52,18 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
-def _sort_key(df: DataFrame, column: str) -> Column:
-    """An order-preserving numeric proxy of a column (strings: first 7 bytes)."""
-    dtype = df.schema[column].dataType
+def bounds(df: DataFrame, column: str, buckets: int, sample_rows: int = SAMPLE_ROWS) -> list:
+    """Distinct upper quantiles of a bounded sample of the column (at most ``buckets - 1`` values)."""
     c = F.col(column)
-    if isinstance(dtype, T.StringType):
-        hex14 = F.rpad(F.substring(F.hex(c.cast("binary")), 1, 14), 14, "0")
-        return F.conv(hex14, 16, 10).cast("bigint").cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.datediff(c, F.lit(dt.date(1970, 1, 1))).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("int").cast("double")
-    return c.cast("double")
+    known = c.isNotNull() & ~F.isnan(c) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else c.isNotNull()
+    values = df.select(c.alias("v")).filter(known)
+    share = min(1.0, sample_rows / max(1, df.count()))
+    picked = sorted(r["v"] for r in (values if share == 1.0 else values.sample(share, 17)).collect())
+    return sorted({picked[len(picked) * i // buckets] for i in range(1, buckets)}) if picked else []
 
 
-def _bucket(edges: list[float], key: Column) -> Column:
-    """Number of ``edges`` at or below ``key`` (0 for NULL/NaN).
+def _bucket(edges: list, column: Column) -> Column:
+    """Number of ``edges`` at or below the value (0 for NULL).
 
     A balanced CASE tree: a binary search of ``log2(len(edges))`` comparisons
     that stays inside generated code, instead of a scan over an array.
@@ -77,39 +73,31 @@ def _bucket(edges: list[float], key: Column) -> Column:
         if lo == hi:
             return F.lit(lo).cast("bigint")
         mid = (lo + hi + 1) // 2
-        return F.when(key >= F.lit(edges[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
-
-    return F.when(key.isNull() | F.isnan(key), F.lit(0).cast("bigint")).otherwise(search(0, len(edges)))
-
-
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, relative_error: float = 0.001) -> Column:
-    """Interleaved bucket bits of ``columns`` (``2**bits`` quantile buckets each)."""
-    keyed = df.select(*[_sort_key(df, c).alias(f"_zk{i}") for i, c in enumerate(columns)])
-    probs = [i / 2**bits for i in range(1, 2**bits)]
-    bounds = keyed.approxQuantile([f"_zk{i}" for i in range(len(columns))], probs, relative_error)
-    buckets = []
-    for i, c in enumerate(columns):
-        edges = sorted({b for b in bounds[i] if b is not None and not math.isnan(b)})
-        key = _sort_key(df, c)
-        if not edges:
-            buckets.append(F.lit(0).cast("bigint"))
-            continue
-        buckets.append(_bucket([float(b) for b in edges], key))
-    z = None
-    n = len(columns)
-    for bit in range(bits):
-        for j, b in enumerate(buckets):
-            term = F.shiftleft(F.shiftright(b, bit).bitwiseAND(F.lit(1).cast("bigint")), bit * n + j)
-            z = term if z is None else z.bitwiseOR(term)
-    return z
+        return F.when(column >= F.lit(edges[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return F.when(column.isNull(), F.lit(0).cast("bigint")).otherwise(search(0, len(edges)))
+
+
+def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str = "_z") -> DataFrame:
+    """``df`` with the interleaved bucket bits of ``columns`` (``2**bits`` buckets each).
+
+    The bucket numbers are computed in a projection of their own, once per row;
+    spreading their bits takes a few shifts.
+    """
+    numbers = [f"_zb{i}" for i in range(len(columns))]
+    out = df.withColumns({b: _bucket(bounds(df, c, 2**bits), F.col(c)) for b, c in zip(numbers, columns)})
+    z = F.lit(0).cast("bigint")
+    for j, b in enumerate(numbers):
+        for bit in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(b), bit).bitwiseAND(F.lit(1).cast("bigint")), bit * len(columns) + j))
+    return out.withColumn(name, z).drop(*numbers)
 
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int, partition_by: str | None = None,
             bits: int = 8) -> DataFrame:
     """L2: rows range-partitioned into about ``files`` tasks by Z-order of ``columns``."""
-    z = z_value(df, columns, bits)
     lead = [partition_by] if partition_by else []
-    out = df.withColumn("_z", z).withColumn("_h", row_hash(df))
+    out = with_z_value(df, columns, bits).withColumn("_h", row_hash(df))
     return (
         out.repartitionByRange(files, *lead, "_z", "_h")
         .sortWithinPartitions(*lead, "_z", *columns)
@@ -123,8 +111,9 @@ def balanced(df: DataFrame, files: int, partition_by: str | None = None) -> Data
     return df.withColumn("_h", row_hash(df)).repartitionByRange(files, *lead, "_h").drop("_h")
 
 
-def _size_files(spark: SparkSession, path: str, target_bytes: int) -> int:
-    size = table_detail(spark, path).first()["size_bytes"] or 0
+def file_count(spark: SparkSession, target_bytes: int, *paths: str) -> int:
+    """Files of about ``target_bytes`` that hold what is under the folders now."""
+    size = files(spark, *paths).agg(F.sum("file_size")).first()[0] or 0
     return max(1, math.ceil(size / target_bytes))
 
 
@@ -146,17 +135,27 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, out_path: str
     """
     if out_path is None and not partition_by:
         raise ValueError("in-place compaction needs a partitioned table")
-    files = _size_files(spark, path, target_file_bytes)
+    wanted = file_count(spark, target_file_bytes, path)
     df = spark.read.schema(schema).parquet(path)
-    _write(balanced(df, files, partition_by), out_path or path, partition_by, out_path is None)
-    return files
+    _write(balanced(df, wanted, partition_by), out_path or path, partition_by, out_path is None)
+    return wanted
+
 
+def fragmented_partitions(spark: SparkSession, path: str, partition_by: str, min_files: int,
+                          values: Sequence[str | None] | None = None) -> list[str | None]:
+    """Partition values stored in at least ``min_files`` files (one value per partition to the driver).
+    ``values`` limits the listing to those partitions."""
+    from riskweave.sources.tables import HIVE_NULL, partition_dir, table_exists
 
-def fragmented_partitions(df: DataFrame, partition_by: str, min_files: int) -> list[str]:
-    """Partition values stored in at least ``min_files`` files (one value per partition to the driver)."""
-    per_part = df.select(F.col(partition_by).cast("string").alias("_p"), F.col("_metadata.file_path").alias("_f"))
-    counts = per_part.distinct().groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    return [r["_p"] for r in counts.filter(F.col("_n") >= min_files).collect()]
+    roots = [path] if values is None else [d for d in (partition_dir(spark, path, partition_by, v) for v in values) if table_exists(spark, d)]
+    if not roots:
+        return []
+    folder = F.regexp_extract("file_path", f"/{re.escape(partition_by)}=([^/]*)/[^/]*$", 1)
+    counts = files(spark, *roots).groupBy(folder.alias("p")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_files)
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    # A listing gives URIs, in which the folder name's own escapes are escaped once more.
+    found = [names.unescapePathName(unquote(r["p"])) for r in counts.collect()]
+    return [None if v == HIVE_NULL else v for v in found]
 
 
 def optimise(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str],
@@ -170,21 +169,20 @@ def optimise(spark: SparkSession, path: str, schema: T.StructType, columns: Sequ
     """
     if out_path is None and not partition_by:
         raise ValueError("in-place clustering needs a partitioned table")
-    from riskweave.sources.tables import read_partitions
+    from riskweave.sources.tables import partition_dir, read_partitions
 
-    if partitions is not None and partition_by:
-        df = read_partitions(spark, path, schema, partition_by, partitions)
-    else:
-        df = spark.read.schema(schema).parquet(path)
-    if partition_by and min_files > 1:
-        todo = fragmented_partitions(df, partition_by, min_files)
+    roots = [path]
+    if partition_by and (partitions is not None or min_files > 1):
+        todo = fragmented_partitions(spark, path, partition_by, min_files, partitions)
         if not todo:
             return 0
         df = read_partitions(spark, path, schema, partition_by, todo)
-    size = _files(df).agg(F.sum("file_size")).first()[0] or 0
-    files = max(1, math.ceil(size / target_file_bytes))
-    _write(cluster(df, columns, files, partition_by), out_path or path, partition_by, out_path is None)
-    return files
+        roots = [partition_dir(spark, path, partition_by, v) for v in todo]
+    else:
+        df = spark.read.schema(schema).parquet(path)
+    wanted = file_count(spark, target_file_bytes, *roots)
+    _write(cluster(df, columns, wanted, partition_by), out_path or path, partition_by, out_path is None)
+    return wanted
 
 
 def skipping_report(spark: SparkSession, path: str, predicates: dict[str, tuple]) -> DataFrame:
@@ -192,19 +190,23 @@ def skipping_report(spark: SparkSession, path: str, predicates: dict[str, tuple]
 
     ``predicates`` maps column -> ``(lo, hi)`` (inclusive; equal for a point
     lookup). A file is read when every predicate's range overlaps the file's
-    ``[min, max]`` of that column.
+    ``[min, max]`` of that column; ``rows_found`` counts the matching rows in those files.
     """
     df = spark.read.parquet(path)
-    aggs = []
+    aggs, match = [], F.lit(True)
+    for c, (lo, hi) in predicates.items():
+        match = match & F.col(c).between(F.lit(lo), F.lit(hi))
     for c in predicates:
         aggs += [F.min(c).alias(f"_min_{c}"), F.max(c).alias(f"_max_{c}")]
-    per_file = df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*aggs)
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+        F.count_if(match).alias("_matching"), *aggs)
     overlap = F.lit(True)
     for c, (lo, hi) in predicates.items():
         overlap = overlap & (F.col(f"_max_{c}") >= F.lit(lo)) & (F.col(f"_min_{c}") <= F.lit(hi))
     return per_file.agg(
         F.count(F.lit(1)).alias("files_total"),
         F.count_if(overlap).alias("files_read"),
+        F.coalesce(F.sum(F.when(overlap, F.col("_matching"))), F.lit(0)).alias("rows_found"),
     ).withColumn("skipped_share", F.when(F.col("files_total") > 0,
                                          1 - F.col("files_read") / F.col("files_total")))
 
@@ -218,10 +220,6 @@ class LayoutSpec:
     partitions: tuple[str, ...] | None = None
     target_file_bytes: int = TARGET_FILE_BYTES
     min_files: int = 1
-    extra: dict = field(default_factory=dict)
-
-    def __hash__(self) -> int:
-        return hash((self.path, self.columns))
 
 
 LAYOUT_RESULT = T.StructType(
@@ -238,7 +236,7 @@ LAYOUT_RESULT = T.StructType(
 
 def run_layout(spark: SparkSession, specs: Sequence[LayoutSpec], dry_run: bool = False,
                raise_on_failure: bool = True) -> DataFrame:
-    """L4: cluster each table; dry runs only report. Failures are collected and
+    """L4: cluster each table and report its files, bytes and last change; dry runs only report. Failures are collected and
     raised after every table was tried."""
     rows, failed = [], []
     for spec in specs:
@@ -250,7 +248,8 @@ def run_layout(spark: SparkSession, specs: Sequence[LayoutSpec], dry_run: bool =
             optimise(spark, spec.path, schema, spec.columns, spec.partition_by,
                      partitions=spec.partitions, target_file_bytes=spec.target_file_bytes,
                      min_files=spec.min_files)
-            rows.append((spec.path, "success", None, None, None, None))
+            detail = table_detail(spark, spec.path).first()
+            rows.append((spec.path, "success", detail["num_files"], detail["size_bytes"], detail["last_modified"], None))
         except Exception as exc:  # noqa: BLE001 - collect, raise after all specs
             rows.append((spec.path, "failed", None, None, None, str(exc)))
             failed.append(spec.path)

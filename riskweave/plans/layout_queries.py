@@ -9,7 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators.layout import cluster, compact, skipping_report, table_detail
+from riskweave.operators.layout import (
+    TARGET_FILE_BYTES,
+    LayoutSpec,
+    compact,
+    file_count,
+    optimise,
+    run_layout,
+    skipping_report,
+    table_detail,
+)
 from riskweave.plans.oracle import FEATURE_DATE, RUN_DATE
 from riskweave.plans.pipelines import daily_chain
 from riskweave.plans.queries import raw_txn, silver, stable
@@ -18,38 +27,48 @@ from riskweave.settings import Zones
 from riskweave.sources import adapters
 from riskweave.sources.landing import landing_path
 
-SMALL_FILES = 64
 LOOKUP_ACCOUNT = "A42"
+SMALL_BYTES = 64 * 1024
+PARTS = 16
 
 
-def _fragmented_silver(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
-    """The curated table written as many small files (the layout to fix)."""
+def _target_bytes(spark: SparkSession, path: str) -> int:
+    """A file size that cuts a small table into about ``PARTS`` files, and a large one into usual files."""
+    size = table_detail(spark, path).first()["size_bytes"]
+    return min(TARGET_FILE_BYTES, max(SMALL_BYTES, size // PARTS))
+
+
+def _fragmented_silver(spark: SparkSession, sf: str) -> tuple[str, DataFrame, int]:
+    """The curated table as files a quarter of the wanted size (the layout to fix)."""
     path = scratch_path(spark, "silver")
     cur = silver(spark, sf)
-    cur.repartition(SMALL_FILES).write.parquet(path)
-    return path, cur
+    source = f"{sf}/lineitem.parquet"
+    target = _target_bytes(spark, source)
+    cur.repartition(file_count(spark, max(1, target // 4), source)).write.parquet(path)
+    return path, cur, target
 
 
 def q_table_detail(spark: SparkSession, sf: str) -> DataFrame:
-    path, _ = _fragmented_silver(spark, sf)
-    return table_detail(spark, path)
+    """L3 over the curated table, with its rows."""
+    path, cur, _ = _fragmented_silver(spark, sf)
+    rows = spark.read.schema(cur.schema).parquet(path).agg(F.count(F.lit(1)).alias("num_rows"))
+    return table_detail(spark, path).select(
+        (F.col("num_files") > 1).alias("fragmented"), (F.col("size_bytes") > 0).alias("has_bytes"),
+        F.col("last_modified").isNotNull().alias("has_change")).join(rows)
 
 
 def q_compacted(spark: SparkSession, sf: str) -> DataFrame:
-    """L1: same rows after compaction to ~256 KB files."""
-    path, cur = _fragmented_silver(spark, sf)
+    """L1: same rows after compaction."""
+    path, cur, target = _fragmented_silver(spark, sf)
     out = scratch_path(spark, "compacted")
-    compact(spark, path, cur.schema, out_path=out, target_file_bytes=256 * 1024)
+    compact(spark, path, cur.schema, out_path=out, target_file_bytes=target)
     return stable(spark.read.schema(cur.schema).parquet(out))
 
 
 def _clustered(spark: SparkSession, sf: str) -> tuple[str, str, DataFrame]:
-    cur = silver(spark, sf)
-    plain = scratch_path(spark, "plain")
-    cur.repartition(16).write.parquet(plain)
-    stored = spark.read.schema(cur.schema).parquet(plain)
+    plain, cur, target = _fragmented_silver(spark, sf)
     clustered = scratch_path(spark, "clustered")
-    cluster(stored, ["account_number", "transaction_date"], files=16).write.parquet(clustered)
+    optimise(spark, plain, cur.schema, ["account_number", "transaction_date"], out_path=clustered, target_file_bytes=target)
     return plain, clustered, cur
 
 
@@ -60,12 +79,27 @@ def q_clustered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_skipping_report(spark: SparkSession, sf: str) -> DataFrame:
-    """L5: files an account lookup reads, hash-spread vs clustered."""
+    """L5: the rows an account lookup finds in the files it reads, and whether it skips files."""
     plain, clustered, _ = _clustered(spark, sf)
     lookup = {"account_number": (LOOKUP_ACCOUNT, LOOKUP_ACCOUNT)}
     a = skipping_report(spark, plain, lookup).withColumn("layout", F.lit("unclustered"))
     b = skipping_report(spark, clustered, lookup).withColumn("layout", F.lit("clustered"))
-    return a.unionByName(b)
+    return a.unionByName(b).select("layout", "rows_found", (F.col("skipped_share") >= 0.5).alias("skips_half"))
+
+
+def q_layout_run(spark: SparkSession, sf: str) -> DataFrame:
+    """L4: the runner over a fragmented partitioned table and one that does not exist."""
+    root = scratch_path(spark, "layout")
+    cur = silver(spark, sf).withColumn("year", F.year("transaction_date"))
+    good = f"{root}/transactions"
+    cur.repartition(4).write.partitionBy("year").parquet(good)
+    specs = [LayoutSpec(good, ("account_number", "transaction_date"), "year", cur.schema, min_files=2),
+             LayoutSpec(f"{root}/missing", ("account_number",), "year", cur.schema)]
+    report = run_layout(spark, specs, raise_on_failure=False)
+    rows = spark.read.schema(cur.schema).parquet(good).agg(F.count(F.lit(1)).alias("n"))
+    return report.join(rows).select(
+        F.regexp_extract("path", "[^/]+$", 0).alias("table_name"), "status", (F.coalesce("num_files", F.lit(0)) > 0).alias("has_files"),
+        (F.length("error") > 0).alias("has_error"), F.when(F.col("status") == "success", F.col("n")).alias("num_rows"))
 
 
 def q_daily_chain(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,5 +123,6 @@ LAYOUT_QUERIES = {
     "compacted": q_compacted,
     "clustered": q_clustered,
     "skipping_report": q_skipping_report,
+    "layout_run": q_layout_run,
     "daily_chain": q_daily_chain,
 }

@@ -177,6 +177,13 @@ ORACLE.update({
     "compacted": with_steps("SELECT * FROM silver"),
     "clustered": with_steps("SELECT * FROM silver"),
     "daily_chain": O.features_sql(),
+    "table_detail": with_steps("SELECT count(*) AS num_rows, true AS fragmented, true AS has_bytes, true AS has_change FROM silver"),
+    "skipping_report": with_steps(
+        "SELECT 'unclustered' AS layout, count(*) AS rows_found, false AS skips_half FROM silver WHERE account_number = 'A42'\n"
+        "UNION ALL SELECT 'clustered', count(*), true FROM silver WHERE account_number = 'A42'"),
+    "layout_run": with_steps(
+        "SELECT 'transactions' AS table_name, 'success' AS status, true AS has_files, CAST(NULL AS BOOLEAN) AS has_error, "
+        "count(*) AS num_rows FROM silver UNION ALL SELECT 'missing', 'failed', false, true, NULL"),
 })
 
 ORDER = "ORDER BY load_seq DESC, load_tie DESC, load_tie2 DESC"

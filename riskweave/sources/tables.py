@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from riskweave.operators.upsert import DuplicateKeyError, duplicate_source_keys, upsert
 from riskweave.session import scratch_path
 
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 SCHEMA_FILE = "_schema.json"  # Spark's readers skip names that start with an underscore
 
 
