@@ -41,7 +41,7 @@ STAGES = [
     ("quality rules", judge),
     ("simhash near-dedup", deduplicate),
     ("personal data", redact),
-    ("mixing sources to target weights", mix),
+    ("mixing sources", mix),
     ("best-fit packing", pack),
 ]
 

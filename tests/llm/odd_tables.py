@@ -1,13 +1,11 @@
+"""Fixtures that the tests of the operators share."""
+
 from __future__ import annotations
 
-import os
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -10,7 +10,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import prose
+from odd_tables import empty, odd, odd_rows, prose  # noqa: F401
 
 from riskweave.llm import context_tree, cover_tree, language_id, packing, quality_model, simhash
 from riskweave.llm.components import connected_components

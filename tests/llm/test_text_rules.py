@@ -7,6 +7,7 @@ from collections import Counter
 
 import brute
 import pytest
+from odd_tables import empty, odd, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from riskweave.llm import common, mixing, pii, quality_rules, secrets, spans
