@@ -55,12 +55,16 @@ def account_token(account: Column, salt: str) -> Column:
     return F.sha2(F.concat(account, F.lit(salt)), 256)
 
 
+def valid_row(tid: Column, account: Column, amount: Column, reject_nan: bool = False) -> Column:
+    """The rows a landing keeps: key, account and a non-negative amount (NaN counts as one, unless
+    rejected). A plain conjunction, which a Parquet scan can apply."""
+    good = tid.isNotNull() & account.isNotNull() & amount.isNotNull() & (amount >= 0)
+    return good & ~F.isnan(amount) if reject_nan else good
+
+
 def invalid_row(tid: Column, account: Column, amount: Column, reject_nan: bool = False) -> Column:
     """Quarantine rule: missing key, missing account, missing or negative amount."""
-    bad = tid.isNull() | account.isNull() | amount.isNull() | (amount < 0)
-    if reject_nan:
-        bad = bad | F.isnan(amount)
-    return false_if_null(bad)
+    return ~false_if_null(valid_row(tid, account, amount, reject_nan))
 
 
 def weekend(d: Column) -> Column:

@@ -49,8 +49,14 @@ def currency_flag(df: DataFrame, settings: RiskSettings = DEFAULT_SETTINGS) -> D
 
 def tokenise(df: DataFrame, column: str = "account_number", salt: str | None = None,
              settings: RiskSettings = DEFAULT_SETTINGS) -> DataFrame:
-    """H7: ``<column>_token`` = hex SHA-256 of value || salt; the source column is kept."""
-    return df.withColumn(f"{column}_token", C.account_token(F.col(column), salt if salt is not None else settings.token_salt))
+    """H7: ``<column>_token`` = hex SHA-256 of value || salt; the source column is kept.
+
+    The salt comes from the argument or the settings; there is no default one.
+    """
+    salt = salt if salt is not None else settings.token_salt
+    if salt is None:
+        raise ValueError("tokenise needs a salt")
+    return df.withColumn(f"{column}_token", C.account_token(F.col(column), salt))
 
 
 def risk_flags(df: DataFrame, settings: RiskSettings = DEFAULT_SETTINGS,
@@ -76,7 +82,7 @@ def risk_flags(df: DataFrame, settings: RiskSettings = DEFAULT_SETTINGS,
     )
 
 
-def cleanse(df: DataFrame, settings: RiskSettings = DEFAULT_SETTINGS,
+def cleanse(df: DataFrame, settings: RiskSettings,
             processed_at: dt.datetime | None = None) -> DataFrame:
     """H1-H12 in the reference order; one projection chain Catalyst collapses into one Project."""
     out = standardise(df, settings)

@@ -19,7 +19,7 @@ from riskweave.operators.layout import (
     skipping_report,
     table_detail,
 )
-from riskweave.plans.oracle import FEATURE_DATE, RUN_DATE
+from riskweave.plans.oracle import FEATURE_DATE, RUN_DATE, SETTINGS
 from riskweave.plans.pipelines import daily_chain
 from riskweave.plans.queries import raw_txn, silver, stable
 from riskweave.session import scratch_path
@@ -109,7 +109,7 @@ def q_daily_chain(spark: SparkSession, sf: str) -> DataFrame:
     raw.write.parquet(landing_path(zones, RUN_DATE))
     result = daily_chain(
         spark, zones, RUN_DATE, FEATURE_DATE, landing_schema=raw.schema,
-        order_by=("_ingestion_timestamp", *adapters.TXN_LOAD_ORDER), on_critical="report",
+        order_by=("_ingestion_timestamp", *adapters.TXN_LOAD_ORDER), on_critical="report", settings=SETTINGS,
     )
     from riskweave.plans.pipelines import gold_schema
 

@@ -15,13 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from riskweave.settings import (
-    ACCEPTED_CURRENCIES,
-    CHANNEL_ALIASES,
-    HIGH_RISK_MCC,
-    VALID_CHANNELS,
-    VALID_TRANSACTION_TYPES,
-)
+from riskweave.settings import RiskSettings
 from riskweave.sources.adapters import EVENT_TXN_SQL, TXN_SQL, duck  # noqa: F401
 
 FEATURE_DATE = dt.date(1998, 6, 30)
@@ -32,6 +26,14 @@ UPSERT_SOURCE_FROM = dt.date(1998, 6, 1)
 FEATURES_STALE_CUTOFF = dt.date(1998, 6, 20)
 UPSERT_FEATURE_DATES = (dt.date(1998, 5, 31), dt.date(1998, 6, 30), dt.date(1998, 7, 31))
 STDDEV_PLACES = 6
+SETTINGS = RiskSettings(token_salt="RISK_SALT_V3")  # of the registered queries
+
+# Fixed values, spelled out here so that a wrong code in the settings does not match itself.
+ACCEPTED_CURRENCIES = ("USD", "EUR", "GBP", "CAD", "JPY", "AUD", "CHF", "HKD", "SGD", "MXN")
+HIGH_RISK_MCC = ("6010", "6011", "7995", "5912", "6051")
+CHANNEL_ALIASES = {"WEB": "ONLINE", "INTERNET": "ONLINE", "MOB": "MOBILE", "APP": "MOBILE", "TLR": "BRANCH", "TELLER": "BRANCH"}
+VALID_TRANSACTION_TYPES = ("CREDIT", "DEBIT", "TRANSFER", "FEE", "REVERSAL")
+VALID_CHANNELS = ("ONLINE", "MOBILE", "ATM", "BRANCH", "PHONE")
 
 
 def _in(values) -> str:

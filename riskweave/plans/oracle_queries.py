@@ -6,8 +6,7 @@ import datetime as dt
 
 from riskweave.operators.quality import GOLD_CHECKS, SILVER_CHECKS
 from riskweave.plans import oracle as O
-from riskweave.plans.oracle import _d, _in, features_ctes, with_steps
-from riskweave.settings import CHANNEL_ALIASES, VALID_CHANNELS, VALID_TRANSACTION_TYPES
+from riskweave.plans.oracle import CHANNEL_ALIASES, VALID_CHANNELS, VALID_TRANSACTION_TYPES, _d, _in, features_ctes, with_steps
 
 META = "'1998-07-01' AS _ingestion_date, '2.4.0' AS _pipeline_version, 'CBS_NIGHTLY_EXPORT' AS _source_system"
 SILVER_TABLE = "silver/financial/transactions_clean"

@@ -8,9 +8,11 @@ output, since no oracle can reproduce a clock.
 
 from __future__ import annotations
 
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.operators import cleanse as CL
 from riskweave.operators.cleanse import cleanse
@@ -28,6 +30,7 @@ from riskweave.operators.validate import split_invalid
 from riskweave.plans.oracle import (
     DAY,
     RUN_DATE,
+    SETTINGS,
     FEATURE_DATE,
     FEATURES_STALE_CUTOFF,
     STDDEV_PLACES,
@@ -39,6 +42,7 @@ from riskweave.session import scratch_path, shared_dir
 from riskweave.settings import CHANNEL_ALIASES, Zones
 from riskweave.sources import adapters
 from riskweave.sources.landing import with_metadata
+from riskweave.sources.tables import optimized_write, read_partitions
 
 
 VOLATILE = ("_ingestion_timestamp", "_silver_processed_at", "_feature_created_at")
@@ -59,7 +63,26 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     """Landing validation, keep-latest and cleansing over the whole adapter table."""
     valid, _ = split_invalid(raw_txn(spark, sf))
     latest = keep_latest(valid, ["transaction_id"], adapters.TXN_LOAD_ORDER)
-    return cleanse(latest)
+    return cleanse(latest, SETTINGS)
+
+
+_STORED: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+
+
+def stored_silver(spark: SparkSession, sf: str, first: dt.date, last: dt.date) -> DataFrame:
+    """The days ``first`` to ``last`` of the curated table, stored by transaction date once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        path, cur = scratch_path(spark, "silver-by-date"), silver(spark, sf)
+        optimized_write(cur, "transaction_date", ("account_number",)).write.partitionBy("transaction_date").parquet(path)
+        _STORED[key] = (path, cur.schema)
+    path, schema = _STORED[key]
+    days = [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+    return read_partitions(spark, path, schema, "transaction_date", days)
+
+
+def lookback(spark: SparkSession, sf: str) -> DataFrame:
+    return stored_silver(spark, sf, FEATURE_DATE - dt.timedelta(days=95), FEATURE_DATE)
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,7 +122,7 @@ def q_currency_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_account_token(spark: SparkSession, sf: str) -> DataFrame:
-    return CL.tokenise(latest(spark, sf)).select("transaction_id", "account_number", "account_number_token")
+    return CL.tokenise(latest(spark, sf), settings=SETTINGS).select("transaction_id", "account_number", "account_number_token")
 
 
 def q_risk_flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,27 +133,27 @@ def q_risk_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_day_slice(spark: SparkSession, sf: str) -> DataFrame:
-    return stable(day_slice(silver(spark, sf), DAY))
+    return stable(day_slice(stored_silver(spark, sf, DAY, DAY), DAY))
 
 
 def q_lookback_slice(spark: SparkSession, sf: str) -> DataFrame:
-    return stable(lookback_slice(silver(spark, sf), FEATURE_DATE, 95))
+    return stable(lookback_slice(lookback(spark, sf), FEATURE_DATE, 95))
 
 
 def _features_one(days: int):
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        return stable(window_features(silver(spark, sf), FEATURE_DATE, windows=(days,)))
+        return stable(window_features(lookback(spark, sf), FEATURE_DATE, windows=(days,)))
 
     q.__name__ = f"q_features_{days}d"
     return q
 
 
 def q_features_wide(spark: SparkSession, sf: str) -> DataFrame:
-    return stable(account_features(silver(spark, sf), FEATURE_DATE))
+    return stable(account_features(lookback(spark, sf), FEATURE_DATE))
 
 
 def q_accounts_latest_customer(spark: SparkSession, sf: str) -> DataFrame:
-    return latest_customer(silver(spark, sf), FEATURE_DATE)
+    return latest_customer(lookback(spark, sf), FEATURE_DATE)
 
 
 def q_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +198,7 @@ def q_dq_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dq_gold(spark: SparkSession, sf: str) -> DataFrame:
-    feats = account_features(silver(spark, sf), FEATURE_DATE)
+    feats = account_features(lookback(spark, sf), FEATURE_DATE)
     return run_checks(feats, gold_checks(), GOLD_TABLE, RUN_DATE, on_critical="report")
 
 

@@ -10,7 +10,7 @@ from riskweave.operators.features import account_features
 from riskweave.operators.signals import fraud_signals, route_by_score, velocity_breach
 from riskweave.plans.oracle import FEATURE_DATE
 from riskweave.plans.pipelines import build_fraud_signals
-from riskweave.plans.queries import silver
+from riskweave.plans.queries import lookback
 from riskweave.schemas import EVENT_PAYLOAD_SCHEMA, with_timestamp_type
 from riskweave.session import scratch_path
 from riskweave.settings import RiskSettings, Zones
@@ -92,7 +92,7 @@ def q_velocity_breach(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_route_by_score(spark: SparkSession, sf: str) -> DataFrame:
-    feats = account_features(silver(spark, sf), FEATURE_DATE)
+    feats = account_features(lookback(spark, sf), FEATURE_DATE)
     routed, _ = route_by_score(feats, "online_txn_ratio_30d", 0.75)
     return routed.select("account_number", "customer_id", "online_txn_ratio_30d", "feature_date")
 

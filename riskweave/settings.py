@@ -25,7 +25,6 @@ CHANNEL_ALIASES = {
 VALID_TRANSACTION_TYPES = ("CREDIT", "DEBIT", "TRANSFER", "FEE", "REVERSAL")
 VALID_CHANNELS = ("ONLINE", "MOBILE", "ATM", "BRANCH", "PHONE")
 FEATURE_CHANNELS = ("ONLINE", "ATM", "BRANCH", "MOBILE")  # PHONE is counted nowhere
-TOKEN_SALT = "RISK_SALT_V3"
 LANDING_PIPELINE_VERSION = "2.4.0"
 LANDING_SOURCE_SYSTEM = "CBS_NIGHTLY_EXPORT"
 SILVER_PIPELINE_VERSION = "1.6.0"
@@ -51,7 +50,7 @@ class RiskSettings:
     accepted_currencies: tuple[str, ...] = ACCEPTED_CURRENCIES
     high_risk_mcc: tuple[str, ...] = HIGH_RISK_MCC
     channel_aliases: dict[str, str] = field(default_factory=lambda: dict(CHANNEL_ALIASES))
-    token_salt: str = TOKEN_SALT
+    token_salt: str | None = None  # a secret: every caller that makes tokens passes its own
     lookback_days: int = 95
     windows: tuple[int, ...] = (7, 30, 90)
 

@@ -9,6 +9,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from riskweave.settings import RiskSettings  # noqa: E402
+
+SALTED = RiskSettings(token_salt="RISK_SALT_V3")
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from conftest import TXN_COLUMNS, txn
+from conftest import SALTED, TXN_COLUMNS, txn
 from pyspark.sql import functions as F
 
 from riskweave.operators.cleanse import channel_lookup_join, cleanse, risk_flags, standardise
@@ -111,7 +111,7 @@ def test_cleanse_token_matches_sha256(spark):
     import hashlib
 
     df = spark.createDataFrame([txn("t1", "A1", "2024-01-01"), txn("t2", None, "2024-01-01")], TXN_COLUMNS)
-    out = {r.transaction_id: r for r in cleanse(df).collect()}
+    out = {r.transaction_id: r for r in cleanse(df, SALTED).collect()}
     assert out["t1"].account_number_token == hashlib.sha256(b"A1RISK_SALT_V3").hexdigest()
     assert out["t2"].account_number_token is None
     assert out["t1"]._flag_unsupported_currency is False
@@ -120,5 +120,5 @@ def test_cleanse_token_matches_sha256(spark):
 
 def test_cleanse_is_one_projection(spark):
     df = spark.createDataFrame([txn("t1", "A1", "2024-01-01")], TXN_COLUMNS)
-    plan = cleanse(df).withColumn("x", F.lit(1))._jdf.queryExecution().executedPlan().toString()
+    plan = cleanse(df, SALTED).withColumn("x", F.lit(1))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # map-only
