@@ -153,6 +153,7 @@ class CommitResult:
     rows_written: int
     staged: DataFrame | None = None
     staging_path: str | None = None
+    source_rows: int = 0
 
     def release(self) -> None:
         if self.staged is not None and self.staging_path:
@@ -197,7 +198,8 @@ def commit(
 
         source = keep_latest(source, keys, list(order_by))
     staging = scratch_path(spark, "commit")
-    source.write.parquet(staging)
+    obs = Observation(f"source_{uuid.uuid4().hex}")
+    source.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(staging)
     staged = spark.read.schema(source.schema).parquet(staging)
     try:
         created, touched, emptied, rows = _merge(spark, path, staged, keys, partition_by, on_duplicate, cluster_by)
@@ -207,7 +209,7 @@ def commit(
     if not keep_staged:
         delete_path(spark, staging)
     return CommitResult(created, tuple(ordered(touched)), tuple(ordered(emptied)), rows, staged if keep_staged else None,
-                        staging if keep_staged else None)
+                        staging if keep_staged else None, int(obs.get.get("rows") or 0))
 
 
 def _merge(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition_by: str, on_duplicate: str,
