@@ -178,27 +178,30 @@ def weigh(entries: dict[int, tuple[np.ndarray, np.ndarray]], level: int, depth:
     return nodes
 
 
+SUBTREE = "d int, ids binary, p binary"
+
+
 def subtree(pdf: pd.DataFrame, depth: int) -> pd.DataFrame:
-    """Weighed nodes below one last byte: (d, id, p) and, for d = 0, its part of the root's product."""
+    """Weighed nodes below one last byte, packed by depth: ids and probabilities of a 1. The row
+    with d = 0 has log P_w by code node, its part of the root's product; d = -1 has the keys of
+    the deepest entries."""
     entries = {}
     for d in range(1, depth + 1):
         own = pdf[pdf["d"] == d]
         entries[d] = (own["key"].to_numpy().astype(np.uint64), own["n"].to_numpy().astype(np.float64))
-    out = []
-    for level in range(8):
-        nodes = weigh(entries, level, depth, 1)
-        for d, node in nodes.items():
-            out.append(pd.DataFrame({"d": d, "id": node["ids"].astype(np.int64), "p": node["ends"], "log": 0.0}))
-        top = nodes[1]
-        out.append(pd.DataFrame({"d": 0, "id": (top["ids"] & U(255)).astype(np.int64), "p": 0.0, "log": top["log"]}))
-    return pd.concat(out, ignore_index=True)
+    levels = [weigh(entries, level, depth, 1) for level in range(8)]
+    out = [(d, np.concatenate([x[d]["ids"] for x in levels]), np.concatenate([x[d]["ends"] for x in levels]).astype("<f4"))
+           for d in range(1, depth + 1)]
+    out.append((0, np.concatenate([x[1]["ids"] & U(255) for x in levels]), np.concatenate([x[1]["log"] for x in levels])))
+    out.append((-1, entries[depth][0], np.zeros(0)))
+    return pd.DataFrame([(d, ids.astype("<u8").tobytes(), p.tobytes()) for d, ids, p in out], columns=["d", "ids", "p"])
 
 
 class HashTable:
     """A read-only map from unsigned keys to floats, with vectorised lookups."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(len(keys) * 2.5).bit_length())
+        bits = max(4, int(len(keys) * 1.5).bit_length())
         self.shift, self.mask = U(64 - bits), (1 << bits) - 1
         self.keys, self.values = np.full(1 << bits, ~U(0)), np.zeros(1 << bits, np.float32)
         slot, todo = self._slot(keys), np.arange(len(keys))
@@ -295,39 +298,42 @@ def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, entries: in
     totals = every.groupBy("d", context.alias("c")).agg(F.sum("n").alias("seen"))
     every = stage(every.withColumn("c", context).join(totals, ["d", "c"]).drop("c"), "ctw-entries")
     kept = every.filter(F.col("seen") >= floor_for(every, "seen", entries)).select("d", "key", "n")
-    last = F.when(F.col("d") == 0, F.lit(0)).otherwise(F.shiftright("key", 8).bitwiseAND(F.lit(255)))
-    tree = kept.groupBy(last.alias("last")).applyInPandas(lambda pdf: subtree(pdf, depth), "d int, id long, p double, log double")
-    nodes = stage(tree, "ctw-nodes").toPandas()
-    full = kept.filter(F.col("d") == depth).select("key").toPandas()["key"].to_numpy().astype(np.uint64)
+    last = F.shiftright("key", 8).bitwiseAND(F.lit(255))
+    tree = kept.groupBy(last.alias("last")).applyInPandas(lambda pdf: subtree(pdf, depth), SUBTREE)
+    packed = tree.collect()  # at most depth + 2 rows for each last byte; ENTRIES bounds their size
     root = every.filter("d = 1").select(F.col("key").bitwiseAND(F.lit(255)).alias("b"), "n").groupBy("b").agg(F.sum("n").alias("n")).collect()
     words = counts.filter("word IS NOT NULL").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    common = words.filter(F.col("n") >= floor_for(words, "n", top_words)).collect()
-    model = Model(depth, with_root(nodes, {r["b"]: r["n"] for r in root}, depth), full, [r["word"] for r in common],
-                  [r["n"] for r in common], total, distinct)
+    common = words.filter(F.col("n") >= floor_for(words, "n", top_words)).toArrow().to_pydict()
+    model = Model(depth, with_root(packed, {r["b"]: r["n"] for r in root}, depth), _joined(packed, -1, "ids", "<u8"),
+                  common["word"], common["n"], total, distinct)
     drop_staged(every)
     return model, words
 
 
-def with_root(nodes: pd.DataFrame, bytes_seen: dict[int, int], depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _joined(packed: list, d: int, column: str, kind: str) -> np.ndarray:
+    parts = [np.frombuffer(r[column], kind) for r in packed if r["d"] == d]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def with_root(packed: list, bytes_seen: dict[int, int], depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per depth (ids, probability of a 1), mixed with the root's estimates."""
     zeros, ones, below = np.zeros(256), np.zeros(256), np.zeros(256)
     for byte, n in bytes_seen.items():
         for level in range(8):
             node = (1 << level) | (byte >> (8 - level))
             (ones if (byte >> (7 - level)) & 1 else zeros)[node] += n
-    top = nodes[nodes["d"] == 0]
-    np.add.at(below, top["id"].to_numpy(), top["log"].to_numpy())
+    np.add.at(below, _joined(packed, 0, "ids", "<u8").astype(np.int64), _joined(packed, 0, "p", "<f8"))
     held = np.flatnonzero(zeros + ones)
     kt = kt_log(zeros, ones)
     share = 1 / (1 + np.exp(np.clip(below - kt, -700, 700)))
     own = (ones + 0.5) / (zeros + ones + 1)
     out = [(held.astype(np.uint64), share[held] * own[held] + (1 - share[held]) * 0.5)]
     for d in range(1, depth + 1):
-        part = nodes[nodes["d"] == d]
-        ids = part["id"].to_numpy().astype(np.uint64)
+        ids = _joined(packed, d, "ids", "<u8")
         node = (ids & U(255)).astype(np.int64)
-        out.append((ids, share[node] * own[node] + (1 - share[node]) * part["p"].to_numpy()))
+        p = share[node] * own[node] + (1 - share[node]) * _joined(packed, d, "p", "<f4")
+        out.append((ids, p.astype(np.float32)))
     return out
 
 
