@@ -14,7 +14,8 @@ pass over the rows without a shuffle.
 
 Defined cases: null text is empty; an empty text has only its metadata features
 and gets a score like any other; without labels (or with one class only) the
-score is the share of label 1, 0.5 for no labels; equal rows get equal scores.
+score is the share of label 1, 0.5 for no labels; of several labels of one id the
+largest counts; equal rows get equal scores.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: s
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
     share = min(1.0, rows / max(1, known.count()))
-    picked = known.filter(hash_share("__id", share, "quality")).dropDuplicates(["__id"])
+    picked = known.filter(hash_share("__id", share, "quality")).groupBy("__id").agg(F.max("__label").alias("__label"))
     sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")) \
         .join(F.broadcast(picked), "__id").select("__id", "__label", "__text")
 
