@@ -36,6 +36,7 @@ THRESHOLD = -0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")
 SYMBOLS = "[^#*$%&|<>]+"
 
 
@@ -85,13 +86,15 @@ def _repeated_words(ws: Column) -> Column:
 
             def same(a, b):
                 p, q = at(a), at(b)
-                return (_shift("right", a, bits) == _shift("right", b, bits)) \
+                return (_shift("rightunsigned", a.bitwiseXOR(b), bits) == 0) \
                     & (ws[p] == ws[q]) & (ws[p + 1] == ws[q + 1]) & (ws[p + 2] == ws[q + 2])
 
-            twice = F.filter(keys, lambda k, j: ((j > 0) & same(k, F.get(keys, j - 1)))
-                             | ((j < n - 1) & same(k, F.get(keys, j + 1))))
+            def window(k):
+                return F.array(at(k), at(k) + 1, at(k) + 2)
+
+            again = F.filter(F.sequence(F.lit(1), n - 1), lambda j: same(F.get(keys, j), F.get(keys, j - 1)))
             return F.size(F.array_distinct(F.flatten(F.transform(
-                twice, lambda k: F.array(at(k), at(k) + 1, at(k) + 2)))))
+                again, lambda j: F.concat(window(F.get(keys, j - 1)), window(F.get(keys, j)))))))
 
         return let(F.sort_array(F.transform(_positions(n), key)), marked)
 
@@ -109,6 +112,21 @@ def _base(text: Column, ws: Column) -> dict[str, Column]:
     }
 
 
+def _judged(text: Column, weights: Column, bits: int, threshold: float) -> Column:
+    """All figures and verdicts of a text as one expression. The words are bound once inside it, so a
+    filter on a verdict that the optimizer moves to the scan still takes them once per row."""
+    mean = let(_grams(text, bits), lambda g: F.aggregate(g, F.lit(0.0), lambda s, b: s + F.get(weights, b))
+               / F.greatest(F.size(g), F.lit(1)))
+
+    def verdict(f):
+        failed = (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * f["n_words"])
+        figures = [f[c].alias(c) for c in FIGURES]
+        return F.struct(*figures, failed.alias("base_failed"), (~failed & (f["llr"] >= threshold)).alias("kept"))
+
+    return let(text, lambda t: let(words(t), lambda ws: let(
+        F.struct(*[c.alias(n) for n, c in {**_base(t, ws), "llr": mean}.items()]), verdict)))
+
+
 def bucket_weights(docs: DataFrame, trusted: DataFrame, bits: int = BITS, alpha: float = ALPHA,
                    id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """The ``2**bits`` log ratios by bucket (a table whose size does not depend on the corpus)."""
@@ -132,11 +150,5 @@ def judge_documents(docs: DataFrame, trusted: DataFrame, bits: int = BITS, alpha
     """Each row with the base figures, ``base_failed``, ``llr`` (score) and ``kept``."""
     values = bucket_weights(docs, trusted, bits, alpha, id_col, text_col)
     weights = F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")  # folds to one literal
-    zero = F.lit(0.0)
-    scored = docs.withColumn("__ws", words(text_or_empty(text_col)))
-    total = let(_grams(text_or_empty(text_col), bits),
-                lambda g: F.aggregate(g, zero, lambda s, b: s + F.get(weights, b)) / F.greatest(F.size(g), F.lit(1)))
-    base = _base(text_or_empty(text_col), F.col("__ws"))
-    figures = attach(scored, {**base, "llr": total})
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return figures.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("llr") >= threshold))
+    judged = docs.withColumn("__v", _judged(text_or_empty(text_col), weights, bits, threshold))
+    return attach(judged, {c: F.col("__v")[c] for c in (*FIGURES, "base_failed", "kept")})
