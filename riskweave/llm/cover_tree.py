@@ -39,7 +39,7 @@ from riskweave.llm.common import attach, drop_staged, stage
 from riskweave.llm.components import connected_components
 
 THRESHOLD = 0.9
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 2048
 PIVOTS = 64
 FINEST = 0.01
 SLACK = 1e-9
@@ -167,9 +167,8 @@ def traverse(a: Loaded, b: Loaded, same: bool, threshold: float) -> tuple[np.nda
             for r in range(g, m):
                 union.join(int(f), shift + r)
 
-    left, right = np.zeros(1, np.int64), np.zeros(1, np.int64)
     step = 1 << 16
-    todo = [(left, right)]
+    todo = [_first_pairs(a, b, same, t)]
     while todo:
         i, j = todo.pop()
         if len(i) > step:
@@ -216,6 +215,18 @@ def traverse(a: Loaded, b: Loaded, same: bool, threshold: float) -> tuple[np.nda
     return np.cumsum(add_a[:-1]), np.cumsum(add_b[:-1]), union
 
 
+def _first_pairs(a: Loaded, b: Loaded, same: bool, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of the roots' children whose covering balls come within t: one matrix product."""
+    zero = np.zeros(1, np.int64)
+    i, j = (zero if x.leaf[0] else x.children(zero)[1].astype(np.int64) for x in (a, b))
+    dots = a.x[a.center[i]] @ b.x[b.center[j]].T
+    reach = np.add.outer(a.radius[i] + (t + SLACK), b.radius[j])
+    reach *= reach
+    p, q = np.nonzero(dots >= 1 - reach / 2)
+    keep = p <= q if same else slice(None)
+    return i[p[keep]], j[q[keep]]
+
+
 def _pairs_within(at: np.ndarray, kid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (first not after second) of the children of each node."""
     out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
