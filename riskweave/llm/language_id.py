@@ -82,21 +82,20 @@ class Identifier:
 
     def __init__(self, model: dict):
         self.langs = model["langs"]
-        self.words = dict(zip(model["words"][0], model["words"][1]))
-        self.grams = dict(zip(model["grams"][0], model["grams"][1]))
-        self.ids: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
+        self.words = dict(zip(model["words"][0], model["words"][1].tolist()))
+        self.grams = dict(zip(model["grams"][0], model["grams"][1].tolist()))
+        self.seen = _Seen(self)
 
-    def word_scores(self, word: str) -> np.ndarray:
+    def word_scores(self, word: str) -> list[float]:
         known = self.words.get(word)
         if known is not None:
             return known
-        wide = padded(word)
+        wide, get = padded(word), self.grams.get
         for k in range(LONGEST, 0, -1):
-            found = [g for g in (self.grams.get(wide[i : i + k]) for i in range(len(wide) - k + 1)) if g is not None]
+            found = [g for i in range(len(wide) - k + 1) if (g := get(wide[i : i + k])) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
+                return [sum(column) / len(found) for column in zip(*found)]
+        return [0.0] * len(self.langs)
 
     def text_scores(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
@@ -107,20 +106,30 @@ class Identifier:
             found = LETTERS.findall((text or "").lower())
             if not found:
                 continue
-            if len(self.ids) > MEMO:
-                self.ids, self.rows = {}, []
-            ids = self.ids
-            for word in {w for w in found if w not in ids}:
-                ids[word] = len(self.rows)
-                self.rows.append(self.word_scores(word))
-            at, times = np.unique(np.fromiter(map(ids.__getitem__, found), np.int64, len(found)), return_counts=True)
-            total = times @ np.array([self.rows[i] for i in at])
+            if len(self.seen) > MEMO:
+                self.seen = _Seen(self)
+            at = np.fromiter(map(self.seen.__getitem__, found), np.int64, len(found))
+            total = self.seen.table[at].sum(axis=0)
             share = np.exp(total - total.max())
             best = int(np.argmax(total))
             pred[k], score[k] = self.langs[best], float(share[best] / share.sum())
         return pred, score
 
 
+class _Seen(dict):
+    """Word -> row of ``table``, filled as words come."""
+
+    def __init__(self, identifier: Identifier):
+        self.identifier, self.table = identifier, np.zeros((1 << 12, len(identifier.langs)))
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[at] = self.identifier.word_scores(word)
+        return at
+
+
 def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score``."""
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]

@@ -152,10 +152,10 @@ def test_language_backs_off_to_shorter_grams():
     model = {"langs": ["a", "b"], "words": (["known"], np.array([[0.0, -5.0]])),
              "grams": (["^unk", "zz", "q"], np.array([[-3.0, -1.0], [-1.0, -4.0], [-2.0, -2.5]]))}
     own = language_id.Identifier(model)
-    assert own.word_scores("known").tolist() == [0.0, -5.0]
-    assert own.word_scores("unkzz").tolist() == [-3.0, -1.0]  # the longest grams known decide
-    assert own.word_scores("xzzx").tolist() == [-1.0, -4.0]
-    assert own.word_scores("wqw").tolist() == [-2.0, -2.5]
+    assert list(own.word_scores("known")) == [0.0, -5.0]
+    assert list(own.word_scores("unkzz")) == [-3.0, -1.0]  # the longest grams known decide
+    assert list(own.word_scores("xzzx")) == [-1.0, -4.0]
+    assert list(own.word_scores("wqw")) == [-2.0, -2.5]
 
 
 def brute_links(ids, vectors, threshold=0.9):
