@@ -23,8 +23,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return simhash.group_documents(docs).select("doc_id", "fingerprint", "component_id")
+    return simhash.group_documents(table(spark, sf_dir, "documents"), carry=["doc_id"]).drop("first")
 
 
 def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

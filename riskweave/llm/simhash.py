@@ -131,13 +131,16 @@ def near_links(fingerprints: DataFrame, max_bits: int = MAX_BITS, groups: int |
 
 
 def group_documents(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row with ``fingerprint`` (16 hex digits), ``component_id`` and ``first`` (true
-    for exactly one row of each component: one with the component's id)."""
-    rows = stage(docs.withColumn("__fp", fingerprint_column(F.col(text_col).cast("string"), shingle_words))
-                 .withColumn("__row", F.monotonically_increasing_id()), "simhash-rows")
+                    id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """The columns of ``carry`` (all by default) with ``fingerprint`` (16 hex digits),
+    ``component_id`` and ``first`` (true for exactly one row of each component: one with
+    the component's id)."""
+    carry = docs.columns if carry is None else carry
+    rows = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(id_col).alias("__key"), F.monotonically_increasing_id().alias("__row"),
+                       fingerprint_column(F.col(text_col).cast("string"), shingle_words).alias("__fp"))
+    rows = stage(rows, "simhash-rows")
     # One row per fingerprint; the id is null only if all its ids are.
-    lead = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row")))
+    lead = F.min(F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("id"), F.col("__row").alias("row")))
     distinct = stage(rows.groupBy(F.col("__fp").alias("fp")).agg(lead.alias("lead")), "simhash-distinct")
     found = connected_components(near_links(distinct.select("fp"), max_bits))
     member = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left") \
