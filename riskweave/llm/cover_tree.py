@@ -61,13 +61,14 @@ class Tree:
     """Levels of nodes over the rows of a block: centre row, covering radius, children, row span."""
 
     def __init__(self, x: np.ndarray):
-        self.x = x
+        self.dots = x @ x.T
         self.center, self.radius, self.first, self.last, self.kids = [], [], [], [], []
         self.order: list[int] = []
         self._add(np.arange(len(x)), 0, 1.0)
+        del self.dots
 
     def _distances(self, c: int, rows: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(0, 2 - 2 * (self.x[rows] @ self.x[c])))
+        return np.sqrt(np.maximum(0, 2 - 2 * self.dots[c, rows]))
 
     def _add(self, rows: np.ndarray, c: int, radius: float) -> int:
         """A node for ``rows`` with centre ``c``; children are a net of half the radius, ``c`` among them."""
@@ -219,10 +220,12 @@ def _first_pairs(a: Loaded, b: Loaded, same: bool, t: float) -> tuple[np.ndarray
     """The pairs of the roots' children whose covering balls come within t: one matrix product."""
     zero = np.zeros(1, np.int64)
     i, j = (zero if x.leaf[0] else x.children(zero)[1].astype(np.int64) for x in (a, b))
-    dots = a.x[a.center[i]] @ b.x[b.center[j]].T
-    reach = np.add.outer(a.radius[i] + (t + SLACK), b.radius[j])
-    reach *= reach
-    p, q = np.nonzero(dots >= 1 - reach / 2)
+    # dot >= 1 - (t + r_i + r_j)^2 / 2 as one product: the radii ride along as three more columns.
+    # Single precision with a margin; the traversal judges exactly.
+    r, s = a.radius[i] + t + SLACK, b.radius[j]
+    left = np.column_stack([a.x[a.center[i]], r, r * r / 2, np.ones(len(r))]).astype(np.float32)
+    right = np.column_stack([b.x[b.center[j]], s, np.ones(len(s)), s * s / 2]).astype(np.float32)
+    p, q = np.nonzero(left @ right.T >= np.float32(1 - 1e-4))
     keep = p <= q if same else slice(None)
     return i[p[keep]], j[q[keep]]
 
