@@ -190,7 +190,7 @@ def subtree(pdf: pd.DataFrame, depth: int) -> pd.DataFrame:
         own = pdf[pdf["d"] == d]
         entries[d] = (own["key"].to_numpy().astype(np.uint64), own["n"].to_numpy().astype(np.float64))
     levels = [weigh(entries, level, depth, 1) for level in range(8)]
-    out = [(d, np.concatenate([x[d]["ids"] for x in levels]), np.concatenate([x[d]["ends"] for x in levels]).astype("<f4"))
+    out = [(d, np.concatenate([x[d]["ids"] for x in levels]), np.concatenate([x[d]["ends"] for x in levels]))
            for d in range(1, depth + 1)]
     out.append((0, np.concatenate([x[1]["ids"] & U(255) for x in levels]), np.concatenate([x[1]["log"] for x in levels])))
     out.append((-1, entries[depth][0], np.zeros(0)))
@@ -203,7 +203,7 @@ class HashTable:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         bits = max(4, int(len(keys) * 1.5).bit_length())
         self.shift, self.mask = U(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, ~U(0)), np.zeros(1 << bits, np.float32)
+        self.keys, self.values = np.full(1 << bits, ~U(0)), np.zeros(1 << bits)
         slot, todo = self._slot(keys), np.arange(len(keys))
         while len(todo):
             free = todo[self.keys[slot[todo]] == ~U(0)]
@@ -275,7 +275,6 @@ class Model:
             value = self.walk(keys)
         else:
             value, hit = self.full.find(keys)
-            value = value.astype(np.float64)
             if not hit.all():
                 rare, inverse = np.unique(keys[~hit], return_inverse=True)
                 value[~hit] = self.walk(rare)[inverse]
@@ -332,8 +331,8 @@ def with_root(packed: list, bytes_seen: dict[int, int], depth: int) -> list[tupl
     for d in range(1, depth + 1):
         ids = _joined(packed, d, "ids", "<u8")
         node = (ids & U(255)).astype(np.int64)
-        p = share[node] * own[node] + (1 - share[node]) * _joined(packed, d, "p", "<f4")
-        out.append((ids, p.astype(np.float32)))
+        p = share[node] * own[node] + (1 - share[node]) * _joined(packed, d, "p", "<f8")
+        out.append((ids, p))
     return out
 
 

@@ -107,6 +107,16 @@ def test_context_tree_rare_words_join_through_a_shuffle(spark):
         assert few[i]["n_known"] == all_[i]["n_known"] and few[i]["base_score"] == pytest.approx(all_[i]["base_score"])
 
 
+def test_context_tree_keeps_the_smaller_side_of_a_decision_seen_often():
+    key = np.array([int.from_bytes(b"aaaaab", "big")], np.uint64)
+    entries = {d: (key & np.uint64((1 << (8 * (d + 1))) - 1), np.array([3e7])) for d in range(1, 6)}
+    packed = [r for _, r in context_tree.subtree(context_tree.pd.DataFrame(
+        [(d, int(k[0]), n[0]) for d, (k, n) in entries.items()], columns=["d", "key", "n"]), 5).iterrows()]
+    model = context_tree.Model(5, context_tree.with_root(packed, {98: 3e7}, 5), key, [], [], 0, 0).ready()
+    other = model.walk(np.array([int.from_bytes(b"aaaaac", "big")], np.uint64))[0]
+    assert -16 < other < -7 and model.walk(np.array([int.from_bytes(b"aaaaa!", "big")], np.uint64))[0] > -40
+
+
 def test_context_tree_odd_rows(odd, odd_rows, empty):
     assert len(rows(context_tree.score_documents(odd))) == len(odd_rows)
     assert context_tree.score_documents(empty).count() == 0
