@@ -89,8 +89,9 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        """``chunk`` is a first word or a space and what follows it up to the next space."""
-        if chunk[1:].isalpha():
+        """``chunk`` is a first word or a space and what follows it up to the next space. Letters are
+        one pre-token only behind a space or a letter: a sign may split off, alone or as in 's."""
+        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
             return self.piece(chunk)
         if chunk[-1:] in ".," and chunk[1:-1].isalpha():
             return self.chunk[chunk[:-1]] + self.piece(chunk[-1])

@@ -219,6 +219,12 @@ def test_encoder_equals_the_tokenizer():
         assert encode(t) == np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_encoder_splits_a_first_word_behind_a_sign():
+    encode = packing.encoder(packing.default_tokenizer())
+    for t in ("'stop there", "'street", "'stop, there", "'though", "'s", "'d. x", "'reach", "-street", "1st of", "\"though", "_street"):
+        assert encode(t) == np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def check_packing(out, docs, capacity):
     encode = packing.encoder(packing.default_tokenizer())
     end = (0).to_bytes(4, "little")
