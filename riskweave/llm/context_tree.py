@@ -7,12 +7,14 @@ depths: P_w(s) = (P_kt(s) + product of P_w over the contexts that extend s) / 2.
 Scores use the conditional form of the same mixture.
 
 Training counts of (context, byte) and of words come from all training documents:
-each task counts its own rows, and one shuffle adds the counts up. The context
-tree then keeps the contexts seen at least ``floor`` times, the smallest floor at
-which the tree has ``ENTRIES`` (context, byte) entries at most, so the model that
-is broadcast does not grow; what rarer contexts hold stays in the counts of the
-contexts they extend, as one further branch. Subtrees by last byte are weighed in
-parallel.
+each task counts its own rows, and one shuffle adds the counts up. The tree keeps
+every context seen, whatever the size of the input. The subtrees below ``CUT``
+bytes, whose size the alphabet bounds, are weighed in parallel; the top of the tree
+(contexts of fewer bytes, 65,536 of two at most) is weighed on the driver from
+their sums. The distinct (context, byte) entries of the scored texts take part with
+a count of zero, which changes no weight, so the result is a table with the log
+probability of each entry. The ``ENTRIES`` commonest are broadcast; what a text
+has beside them joins the table through a shuffle, with the same values.
 
 The base score needs each word's training count: the most frequent words (a fixed
 number) are broadcast with the model, the others join through a shuffle.
@@ -29,17 +31,18 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import attach, drop_staged, stage
+from riskweave.llm.common import attach, stage
 from riskweave.llm.learning import floor_for, id_remainder
 
 DEPTH = 5
+CUT = 3
 ENTRIES = 1_000_000
+CHUNK = 200_000
 TOP_WORDS = 150_000
 BLOCK = 1 << 21
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -80,42 +83,54 @@ def blocks(docs: list[list[bytes]]) -> Iterator[list[list[bytes]]]:
         yield run
 
 
-def gather(docs: DataFrame, text_col: str, depth: int) -> DataFrame:
-    """(key, word, n): counts of byte contexts (word null) and of words (key null)."""
+def gather(docs: DataFrame, text_col: str, depth: int, held: Column | None = None) -> DataFrame:
+    """(key, word, n, seen): counts of byte contexts (word null) and of words (key null). ``n`` counts
+    the training rows, ``seen`` all rows; rows that are ``held`` out have no part in the words."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        keys, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, times, seen = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
 
-        def out(key, word, n):
-            return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(word, pa.string()), pa.array(n, pa.int64())],
-                                              names=["key", "word", "n"])
+        def out(key, word, n, seen):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key, pa.int64()), pa.array(word, pa.string()), *[pa.array(x, pa.int64()) for x in (n, seen)]],
+                names=["key", "word", "n", "seen"])
+
+        def out_keys():
+            return out(keys.astype(np.int64), [None] * len(keys), times.astype(np.int64), seen.astype(np.int64))
 
         def flush_words():
-            batch = out([None] * len(words), [w.decode("utf-8", "replace") for w in words], list(words.values()))
+            n = list(words.values())
+            batch = out([None] * len(words), [w.decode("utf-8", "replace") for w in words], n, n)
             words.clear()
             return batch
 
         for batch in batches:
-            for run in blocks([tokens(t) for t in batch.column(0).to_pylist()]):
-                for d in run:
-                    words.update(d)
-                words[b""] += len(run)
-                found, n = np.unique(stream(run, depth)[0], return_counts=True)
-                both, inverse = np.unique(np.concatenate([keys, found]), return_inverse=True)
-                times = np.bincount(inverse, np.concatenate([times, n]), len(both)).astype(np.int64)
-                keys = both
-                if len(keys) > 2_000_000:
-                    yield out(keys.astype(np.int64), [None] * len(keys), times)
-                    keys, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                if len(words) > 300_000:
-                    yield flush_words()
+            found = [tokens(t) for t in batch.column(0).to_pylist()]
+            apart = batch.column(1).to_pylist()
+            for learnt in (True, False):
+                for run in blocks([d for d, x in zip(found, apart) if x != learnt]):
+                    if learnt:
+                        for d in run:
+                            words.update(d)
+                        words[b""] += len(run)
+                    own, n = np.unique(stream(run, depth)[0], return_counts=True)
+                    both, inverse = np.unique(np.concatenate([keys, own]), return_inverse=True)
+                    times = np.bincount(inverse, np.concatenate([times, n * learnt]), len(both))
+                    seen = np.bincount(inverse, np.concatenate([seen, n]), len(both))
+                    keys = both
+                    if len(keys) > 2_000_000:
+                        yield out_keys()
+                        keys, times, seen = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+                    if len(words) > 300_000:
+                        yield flush_words()
         if len(keys):
-            yield out(keys.astype(np.int64), [None] * len(keys), times)
+            yield out_keys()
         if words:
             yield flush_words()
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(count, "key long, word string, n long") \
-        .groupBy("key", "word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text_col).cast("string"), F.lit(False) if held is None else held) \
+        .mapInArrow(count, "key long, word string, n long, seen long") \
+        .groupBy("key", "word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
 def kt_log(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -134,67 +149,108 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - down
 
 
-def weigh(entries: dict[int, tuple[np.ndarray, np.ndarray]], level: int, depth: int, top: int) -> dict:
+def suffix(key: np.ndarray, d: int) -> np.ndarray:
+    """The keys with their last d context bytes."""
+    return key & U((1 << (8 * (d + 1))) - 1)
+
+
+def weigh(key: np.ndarray, n: np.ndarray, level: int, depth: int, top: int, beneath: tuple | None = None) -> dict:
     """The context trees of the code-tree nodes at one level (0 to 7).
 
-    ``entries[d]``: keys (d context bytes and the byte) with counts, for d from
-    ``top`` to ``depth``. Returns per d the node ids (context * 256 + code node), the
-    probability of a 1 with what deeper contexts add when they are unknown (``ends``),
-    and, for the top depth, log P_w and the counts.
+    ``key`` and ``n``: entries with ``depth`` context bytes and their counts, all that end in the same
+    ``top`` bytes; ``beneath``: (node ids, sums of log P_w) of the contexts that extend the deepest ones.
+    Returns per d the node ids (context * 256 + code node) with log P_w and the mixture down to d:
+    a probability of a 1 is ``one`` + ``left`` times what the contexts below give, that of a 0
+    ``zero`` + ``left`` times it. Both sides are sums of positive terms, so neither is rounded away.
+    ``of`` is the node of each entry at the deepest d.
     """
     nodes = {}
+    byte = (key & U(255)).astype(np.int64)
+    ids, of = np.unique((key & ~U(255)) | ((1 << level) | (byte >> (8 - level))).astype(np.uint64), return_inverse=True)
+    ones = np.bincount(of, n * ((byte >> (7 - level)) & 1), len(ids))
+    zeros = np.bincount(of, n, len(ids)) - ones
+    below = np.zeros(len(ids))
+    if beneath is not None:
+        at = np.minimum(np.searchsorted(ids, beneath[0]), len(ids) - 1)
+        own = ids[at] == beneath[0]
+        below = np.bincount(at[own], beneath[1][own], len(ids))
     for d in range(depth, top - 1, -1):
-        key, n = entries[d]
-        byte = (key & U(255)).astype(np.int64)
-        ids, inverse = np.unique((key & ~U(255)) | ((1 << level) | (byte >> (8 - level))).astype(np.uint64), return_inverse=True)
-        ones = np.bincount(inverse, n * ((byte >> (7 - level)) & 1), len(ids))
-        zeros = np.bincount(inverse, n, len(ids)) - ones
-        kt = kt_log(zeros, ones)
-        below, rest = np.zeros(len(ids)), None
         if d < depth:
             child = nodes[d + 1]
-            parent = np.searchsorted(ids, (child["ids"] & U(255)) | (child["ids"] & U((1 << (8 * (d + 1))) - 1) & ~U(255)))
+            ids, parent = np.unique(suffix(child["ids"], d), return_inverse=True)
             child["parent"] = parent
-            # What contexts too rare for the tree hold is one more branch.
-            rare = zeros - np.bincount(parent, child["zeros"], len(ids)), ones - np.bincount(parent, child["ones"], len(ids))
-            below = np.bincount(parent, child["log"], len(ids)) + kt_log(*rare)
-            rest = (rare[1] + 0.5) / (rare[0] + rare[1] + 1)
-        log = kt if d == depth else np.logaddexp(kt, below) - math.log(2)
-        nodes[d] = {"ids": ids, "zeros": zeros, "ones": ones, "kt": kt, "below": below, "rest": rest, "log": log}
+            zeros, ones = np.bincount(parent, child["zeros"], len(ids)), np.bincount(parent, child["ones"], len(ids))
+            below = np.bincount(parent, child["log"], len(ids))
+        kt = kt_log(zeros, ones)
+        leaf = d == depth and beneath is None
+        log = kt if leaf else np.logaddexp(kt, below) - math.log(2)
+        nodes[d] = {"ids": ids, "zeros": zeros, "ones": ones, "kt": kt, "below": below, "log": log, "leaf": leaf}
     for d in range(top, depth + 1):
         node = nodes[d]
-        own = (node["ones"] + 0.5) / (node["zeros"] + node["ones"] + 1)
         if d == top:
-            base, left = np.zeros(len(own)), np.ones(len(own))
+            zero, one, left = 0.0, 0.0, np.ones(len(node["ids"]))
         else:
-            up = nodes[d - 1]
-            base, left = up["base"][node["parent"]], up["left"][node["parent"]]
-        if d == depth:
-            node["ends"] = base + left * own
-        else:
-            share = 1 / (1 + np.exp(np.clip(node["below"] - node["kt"], -700, 700)))
-            node["base"], node["left"] = base + left * share * own, left * (1 - share)
-            node["ends"] = node["base"] + node["left"] * node["rest"]
+            zero, one, left = (nodes[d - 1][x][node["parent"]] for x in ("zero", "one", "left"))
+        odds = np.clip(node["below"] - node["kt"], -700, 700)
+        share, total = 1.0 if node["leaf"] else 1 / (1 + np.exp(odds)), node["zeros"] + node["ones"] + 1
+        node["zero"] = zero + left * share * (node["zeros"] + 0.5) / total
+        node["one"] = one + left * share * (node["ones"] + 0.5) / total
+        node["left"] = np.zeros(len(total)) if node["leaf"] else left / (1 + np.exp(-odds))
+    nodes["of"] = of
     return nodes
 
 
-SUBTREE = "d int, ids binary, p binary"
+WEIGHED = "key long, n long, seen long, node long, log double, " + ", ".join(f"q{x} double" for x in range(8))
 
 
-def subtree(pdf: pd.DataFrame, depth: int) -> pd.DataFrame:
-    """Weighed nodes below one last byte, packed by depth: ids and probabilities of a 1. The row
-    with d = 0 has log P_w by code node, its part of the root's product; d = -1 has the keys of
-    the deepest entries."""
-    entries = {}
-    for d in range(1, depth + 1):
-        own = pdf[pdf["d"] == d]
-        entries[d] = (own["key"].to_numpy().astype(np.uint64), own["n"].to_numpy().astype(np.float64))
-    levels = [weigh(entries, level, depth, 1) for level in range(8)]
-    out = [(d, np.concatenate([x[d]["ids"] for x in levels]), np.concatenate([x[d]["ends"] for x in levels]))
-           for d in range(1, depth + 1)]
-    out.append((0, np.concatenate([x[1]["ids"] & U(255) for x in levels]), np.concatenate([x[1]["log"] for x in levels])))
-    out.append((-1, entries[depth][0], np.zeros(0)))
-    return pd.DataFrame([(d, ids.astype("<u8").tobytes(), p.tobytes()) for d, ids, p in out], columns=["d", "ids", "p"])
+def weigh_below(counts: DataFrame, depth: int, cut: int) -> DataFrame:
+    """The subtrees below ``cut`` context bytes. Each entry with ``q0`` to ``q7``, what its subtree gives to
+    its eight decisions; and rows with a node of the contexts one byte shorter, and the sum of log P_w below it."""
+    def run(key: np.ndarray, n: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+        q, nodes, logs = [], [], []
+        for level in range(8):
+            tree = weigh(key, n.astype(np.float64), level, depth, cut)
+            deep, first = tree[depth], tree[cut]
+            bit = ((key >> U(7 - level)) & U(1)) == 1
+            q.append(np.where(bit, deep["one"][tree["of"]], deep["zero"][tree["of"]]))
+            ids, at = np.unique(suffix(first["ids"], cut - 1), return_inverse=True)
+            nodes.append(ids)
+            logs.append(np.bincount(at, first["log"], len(ids)))
+        node, log = np.concatenate(nodes), np.concatenate(logs)
+        a, b = pa.nulls(len(node), pa.int64()), pa.nulls(len(node), pa.float64())
+
+        def both(x, y, kind):
+            return pa.concat_arrays([pa.array(x, kind) if isinstance(x, np.ndarray) else x, pa.array(y, kind) if isinstance(y, np.ndarray) else y])
+
+        e, f = pa.nulls(len(key), pa.int64()), pa.nulls(len(key), pa.float64())
+        columns = [both(x.astype(np.int64), a, pa.int64()) for x in (key, n, seen)]
+        columns += [both(e, node.astype(np.int64), pa.int64()), both(f, log, pa.float64())]
+        columns += [both(x, b, pa.float64()) for x in q]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in WEIGHED.split(", ")])
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append([c.to_numpy() for c in batch.columns])
+            size += batch.num_rows
+            if size < CHUNK:
+                continue
+            key, n, seen = (np.concatenate(x) for x in zip(*held))
+            ends = np.flatnonzero(np.diff((key >> 8) & ((1 << (8 * cut)) - 1)))
+            if len(ends):  # a subtree is weighed as a whole
+                at = ends[-1] + 1
+                yield run(key[:at].astype(np.uint64), n[:at], seen[:at])
+                held = [[key[at:], n[at:], seen[at:]]]
+            else:
+                held = [[key, n, seen]]
+            size = len(held[0][0])
+        if size:
+            key, n, seen = (np.concatenate(x) for x in zip(*held))
+            yield run(key.astype(np.uint64), n, seen)
+
+    context = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * cut)) - 1))
+    dealt = counts.select("key", "n", "seen", context.alias("c")).repartition("c").sortWithinPartitions("c")
+    return dealt.select("key", "n", "seen").mapInArrow(weighed, WEIGHED)
 
 
 class HashTable:
@@ -230,110 +286,121 @@ class HashTable:
         return got, hit
 
 
+class Top:
+    """The mixture down to the nodes of the contexts shorter than the cut."""
+
+    def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]]):
+        self.nodes = nodes  # per d (sorted ids, columns zero, one, left)
+
+    def finish(self, keys: np.ndarray, q=lambda level: 0.5) -> np.ndarray:
+        """log10 probability of the byte of each key; ``q(level)``: what the contexts below give."""
+        byte, total = (keys & U(255)).astype(np.int64), np.zeros(len(keys))
+        for level in range(8):
+            node = ((1 << level) | (byte >> (8 - level))).astype(np.uint64)
+            mix, todo = np.tile([0.0, 0.0, 1.0], (len(keys), 1)), np.arange(len(keys))
+            for d in range(len(self.nodes) - 1, -1, -1):
+                ids, values = self.nodes[d]
+                if not len(todo) or not len(ids):
+                    break
+                want = (suffix(keys[todo], d) & ~U(255)) | node[todo]
+                at = np.minimum(np.searchsorted(ids, want), len(ids) - 1)
+                hit = ids[at] == want
+                mix[todo[hit]] = values[at[hit]]
+                todo = todo[~hit]
+            side = (byte >> (7 - level)) & 1
+            total += np.log10(mix[np.arange(len(keys)), side] + mix[:, 2] * q(level))
+        return total
+
+
 class Model:
-    """Probabilities by node, the common words' counts, and the totals."""
+    """The top of the tree, the commonest entries with their log probabilities, the common words'
+    counts, and the totals."""
 
-    def __init__(self, depth: int, nodes: list[tuple[np.ndarray, np.ndarray]], entries: np.ndarray, words: list[str],
-                 counts: list[int], total: int, distinct: int):
-        self.depth, self.nodes, self.entries = depth, nodes, entries
+    def __init__(self, depth: int, nodes: list[tuple[np.ndarray, np.ndarray]], entries: np.ndarray, values: np.ndarray,
+                 words: list[str], counts: list[int], total: int, distinct: int):
+        self.depth, self.nodes, self.entries, self.values = depth, nodes, entries, values
         self.words, self.counts, self.total, self.distinct = words, counts, total, distinct
-        self.full = self.tables = self.word_logs = None
+        self.table = self.word_logs = None
 
     def __getstate__(self):
-        return {**self.__dict__, "full": None, "tables": None, "word_logs": None}
+        return {**self.__dict__, "table": None, "word_logs": None}
 
     def ready(self) -> "Model":
         """Build the lookup tables (once in each process)."""
-        if self.tables is None:
-            self.tables = [HashTable(i, p) for i, p in self.nodes]
-            self.full = HashTable(self.entries, self.walk(self.entries)) if len(self.entries) else None
+        if self.table is None:
+            self.table = HashTable(self.entries, self.values)
             self.word_logs = dict(zip([w.encode() for w in self.words], [math.log10(c + 0.5) for c in self.counts]))
         return self
 
     def walk(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of the byte of each key, decision by decision."""
-        byte, total = (keys & U(255)).astype(np.int64), np.zeros(len(keys))
-        for level in range(8):
-            node = ((1 << level) | (byte >> (8 - level))).astype(np.uint64)
-            p, todo = np.full(len(keys), 0.5), np.arange(len(keys))
-            for d in range(self.depth, -1, -1):
-                if not len(todo):
-                    break
-                context = (keys[todo] >> U(8)) & U((1 << (8 * d)) - 1)
-                got, hit = self.tables[d].find((context << U(8)) | node[todo])
-                p[todo[hit]] = got[hit]
-                todo = todo[~hit]
-            total += np.log10(np.where((byte >> (7 - level)) & 1 == 1, p, 1 - p))
-        return total
+        """log10 probability of the byte of each key whose longer contexts are all unseen."""
+        return Top(self.nodes).finish(keys)
 
-    def scores(self, docs: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each text."""
+    def scores(self, docs: list[list[bytes]]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """log10 probability of each text's common entries, and its other entries with their counts."""
         if not docs:
-            return np.zeros(0)
-        keys, firsts, _ = stream(docs, self.depth)
-        if self.full is None:
-            value = self.walk(keys)
-        else:
-            value, hit = self.full.find(keys)
-            if not hit.all():
-                rare, inverse = np.unique(keys[~hit], return_inverse=True)
-                value[~hit] = self.walk(rare)[inverse]
-        return np.add.reduceat(value, firsts)
+            return np.zeros(0), []
+        keys, firsts, sizes = stream(docs, self.depth)
+        value, hit = self.table.find(keys)
+        others, of = keys[~hit].astype(np.int64), np.repeat(np.arange(len(docs)), sizes)[~hit]
+        bounds = np.searchsorted(of, np.arange(len(docs) + 1))
+        return np.add.reduceat(np.where(hit, value, 0.0), firsts), \
+            [np.unique(others[a:b], return_counts=True) for a, b in zip(bounds, bounds[1:])]
+
+
+def top_of_tree(weighed: DataFrame, cut: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per d below ``cut`` (sorted ids, mixture); the alphabet bounds what reaches the driver."""
+    shorter = F.col("key").bitwiseAND(F.lit((1 << (8 * cut)) - 1))
+    got = weighed.filter("key IS NOT NULL").groupBy(shorter.alias("k")).agg(F.sum("n").alias("n")).toArrow()
+    key, n = got["k"].to_numpy().astype(np.uint64), got["n"].to_numpy().astype(np.float64)
+    got = weighed.filter("key IS NULL").groupBy("node").agg(F.sum("log").alias("log")).toArrow()
+    beneath = got["node"].to_numpy().astype(np.uint64), got["log"].to_numpy().astype(np.float64)
+    if not len(key):
+        return [(np.zeros(0, np.uint64), np.zeros((0, 3)))] * cut
+    levels = [weigh(key, n, level, cut - 1, 0, beneath) for level in range(8)]
+    out = []
+    for d in range(cut):
+        ids = np.concatenate([x[d]["ids"] for x in levels])
+        order = np.argsort(ids)
+        out.append((ids[order], np.stack([np.concatenate([x[d][c] for x in levels]) for c in ("zero", "one", "left")], 1)[order]))
+    return out
 
 
-def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, entries: int = ENTRIES,
-        top_words: int = TOP_WORDS) -> tuple[Model, DataFrame]:
-    """The model, and the table (word, n) of the training words."""
-    counts = stage(gather(docs, text_col, depth), "ctw-counts")
-    levels, at = [], counts.filter("key IS NOT NULL").select("key", "n")
-    for d in range(depth, 0, -1):
-        if d < depth:
-            at = at.select(F.col("key").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
-        levels.append(at.select(F.lit(d).alias("d"), "key", "n"))
-    every = levels[0]
-    for x in levels[1:]:
-        every = every.unionAll(x)
-    context = F.shiftright("key", 8)
-    totals = every.groupBy("d", context.alias("c")).agg(F.sum("n").alias("seen"))
-    every = stage(every.withColumn("c", context).join(totals, ["d", "c"]).drop("c"), "ctw-entries")
-    kept = every.filter(F.col("seen") >= floor_for(every, "seen", entries)).select("d", "key", "n")
-    last = F.shiftright("key", 8).bitwiseAND(F.lit(255))
-    tree = kept.groupBy(last.alias("last")).applyInPandas(lambda pdf: subtree(pdf, depth), SUBTREE)
-    packed = tree.collect()  # at most depth + 2 rows for each last byte; ENTRIES bounds their size
-    root = every.filter("d = 1").select(F.col("key").bitwiseAND(F.lit(255)).alias("b"), "n").groupBy("b").agg(F.sum("n").alias("n")).collect()
+def finished(weighed: DataFrame, shared) -> DataFrame:
+    """(key, value): the log10 probability of each entry."""
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = Top(shared.value)
+        for batch in batches:
+            value = top.finish(batch.column(0).to_numpy().astype(np.uint64), lambda level: batch.column(1 + level).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value, pa.float64())], names=["key", "value"])
+
+    return weighed.select("key", *[f"q{x}" for x in range(8)]).mapInArrow(finish, "key long, value double")
+
+
+def learn(docs: DataFrame, text_col: str, depth: int, entries: int, top_words: int,
+          held: Column | None = None) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the table (word, n) of the training words, and the table (key, value) of the entries
+    of all rows beside those of the model."""
+    cut = min(CUT, depth)
+    counts = stage(gather(docs, text_col, depth, held), "ctw-counts")
+    weighed = stage(weigh_below(counts.filter("key IS NOT NULL"), depth, cut), "ctw-entries")
+    nodes = top_of_tree(weighed, cut)
+    shared = docs.sparkSession.sparkContext.broadcast(nodes)
+    own = weighed.filter("key IS NOT NULL")
+    floor = floor_for(own, "seen", entries)
+    common = finished(own.filter(F.col("seen") >= floor), shared).toArrow()
     words = counts.filter("word IS NOT NULL").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    common = words.filter(F.col("n") >= floor_for(words, "n", top_words)).toArrow().to_pydict()
-    model = Model(depth, with_root(packed, {r["b"]: r["n"] for r in root}, depth), _joined(packed, -1, "ids", "<u8"),
-                  common["word"], common["n"], total, distinct)
-    drop_staged(every)
-    return model, words
-
+    top = words.filter(F.col("n") >= floor_for(words, "n", top_words)).toArrow().to_pydict()
+    model = Model(depth, nodes, common["key"].to_numpy().astype(np.uint64), common["value"].to_numpy().astype(np.float64),
+                  top["word"], top["n"], total, distinct)
+    return model, words, finished(own.filter(F.col("seen") < floor), shared)
 
-def _joined(packed: list, d: int, column: str, kind: str) -> np.ndarray:
-    parts = [np.frombuffer(r[column], kind) for r in packed if r["d"] == d]
-    return np.concatenate(parts) if parts else np.zeros(0, kind)
 
-
-def with_root(packed: list, bytes_seen: dict[int, int], depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per depth (ids, probability of a 1), mixed with the root's estimates."""
-    zeros, ones, below = np.zeros(256), np.zeros(256), np.zeros(256)
-    for byte, n in bytes_seen.items():
-        for level in range(8):
-            node = (1 << level) | (byte >> (8 - level))
-            (ones if (byte >> (7 - level)) & 1 else zeros)[node] += n
-    np.add.at(below, _joined(packed, 0, "ids", "<u8").astype(np.int64), _joined(packed, 0, "p", "<f8"))
-    held = np.flatnonzero(zeros + ones)
-    kt = kt_log(zeros, ones)
-    share = 1 / (1 + np.exp(np.clip(below - kt, -700, 700)))
-    own = (ones + 0.5) / (zeros + ones + 1)
-    out = [(held.astype(np.uint64), share[held] * own[held] + (1 - share[held]) * 0.5)]
-    for d in range(1, depth + 1):
-        ids = _joined(packed, d, "ids", "<u8")
-        node = (ids & U(255)).astype(np.int64)
-        p = share[node] * own[node] + (1 - share[node]) * _joined(packed, d, "p", "<f8")
-        out.append((ids, p))
-    return out
+def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, entries: int = ENTRIES,
+        top_words: int = TOP_WORDS) -> tuple[Model, DataFrame]:
+    """The model, and the table (word, n) of the training words."""
+    return learn(docs, text_col, depth, entries, top_words)[:2]
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1,
@@ -344,19 +411,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     results = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     carry = [c for c in (docs.columns if carry is None else carry) if c not in results]
     out = id_remainder(id_col, folds) == held
-    model, words = fit(docs.filter(~out), text_col, depth, entries, top_words)
+    model, words, table = learn(docs, text_col, depth, entries, top_words, out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*[F.col(f"`{c}`") for c in carry], out.alias("held_out"), F.monotonically_increasing_id().alias("__row"),
                        F.col(text_col).cast("string").alias("__text"))
     last = len(carry) + 2
     rare = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
+    deep = pa.list_(pa.int64())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.ready()
         get = own.word_logs.get
         for batch in batches:
             found = [tokens(t) for t in batch.column(last).to_pylist()]
-            value = np.concatenate([own.scores(run) for run in blocks(found)] or [np.zeros(0)])
+            scored = [own.scores(run) for run in blocks(found)]
+            value = np.concatenate([x for x, _ in scored] or [np.zeros(0)])
+            beside = [x for _, run in scored for x in run]
+            lists = pa.array(np.cumsum([0] + [len(k) for k, _ in beside]), pa.int32())
+            keys, times = (pa.ListArray.from_arrays(lists, pa.array(np.concatenate([x[i] for x in beside] or [np.zeros(0)]), pa.int64())).cast(deep)
+                           for i in (0, 1))
             sums, n_known, others = [], [], []
             for d in found:
                 logs = list(map(get, d))
@@ -369,21 +442,27 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 others.append([{"word": w.decode("utf-8", "replace"), "n": n} for w, n in missing.items()])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:last], pa.array([len(d) + 1 for d in found], pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(sums, pa.float64()), pa.array(value, pa.float64()), pa.array(others, rare)],
-                names=[*carry, "held_out", "__row", "__n", "__top", "__sum", "__score", "__rare"])
+                 pa.array(sums, pa.float64()), pa.array(value, pa.float64()), pa.array(others, rare), keys, times],
+                names=[*carry, "held_out", "__row", "__n", "__top", "__sum", "__score", "__rare", "__keys", "__times"])
 
     schema = rows.drop("__text").schema.add("__n", "long").add("__top", "long").add("__sum", "double") \
         .add("__score", "double") \
-        .add("__rare", T.ArrayType(T.StructType().add("word", "string").add("n", "integer")))
+        .add("__rare", T.ArrayType(T.StructType().add("word", "string").add("n", "integer"))) \
+        .add("__keys", T.ArrayType(T.LongType())).add("__times", T.ArrayType(T.LongType()))
     scored = stage(rows.mapInArrow(score, schema), "ctw-scores")
     found = scored.select(F.col("__row").alias("__of"), F.explode("__rare").alias("r")).select("__of", "r.word", F.col("r.n").alias("m")) \
         .join(words, "word", "left")
     count = F.coalesce("n", F.lit(0))
     others = found.groupBy("__of").agg(F.sum(F.when(count > 0, F.col("m")).otherwise(0)).alias("__known"),
                                        F.sum(F.col("m") * F.log10(count + 0.5)).alias("__more"))
-    joined = scored.drop("__rare").join(others, F.col("__row") == F.col("__of"), "left")
+    deeper = scored.select(F.col("__row").alias("__in"), F.explode(F.arrays_zip("__keys", "__times")).alias("e")) \
+        .select("__in", F.col("e.__keys").alias("key"), F.col("e.__times").alias("m")).join(table, "key") \
+        .groupBy("__in").agg(F.sum(F.col("m") * F.col("value")).alias("__deep"))
+    joined = scored.drop("__rare", "__keys", "__times").join(others, F.col("__row") == F.col("__of"), "left") \
+        .join(deeper, F.col("__row") == F.col("__in"), "left")
     unit = math.log10(model.total + 0.5 * (model.distinct + 1))
     base = F.col("__sum") + F.coalesce("__more", F.lit(0.0)) - F.col("__n") * unit
     return attach(joined, {
         "held_out": F.col("held_out"), "n_tokens": F.col("__n"), "n_known": F.col("__top") + F.coalesce("__known", F.lit(0)),
-        "train_tokens": F.lit(model.total).cast("long"), "base_score": base, "score": F.col("__score")})
+        "train_tokens": F.lit(model.total).cast("long"), "base_score": base,
+        "score": F.col("__score") + F.coalesce("__deep", F.lit(0.0))})

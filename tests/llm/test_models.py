@@ -108,13 +108,20 @@ def test_context_tree_rare_words_join_through_a_shuffle(spark):
 
 
 def test_context_tree_keeps_the_smaller_side_of_a_decision_seen_often():
-    key = np.array([int.from_bytes(b"aaaaab", "big")], np.uint64)
-    entries = {d: (key & np.uint64((1 << (8 * (d + 1))) - 1), np.array([3e7])) for d in range(1, 6)}
-    packed = [r for _, r in context_tree.subtree(context_tree.pd.DataFrame(
-        [(d, int(k[0]), n[0]) for d, (k, n) in entries.items()], columns=["d", "key", "n"]), 5).iterrows()]
-    model = context_tree.Model(5, context_tree.with_root(packed, {98: 3e7}, 5), key, [], [], 0, 0).ready()
-    other = model.walk(np.array([int.from_bytes(b"aaaaac", "big")], np.uint64))[0]
-    assert -16 < other < -7 and model.walk(np.array([int.from_bytes(b"aaaaa!", "big")], np.uint64))[0] > -40
+    key = np.array([int.from_bytes(b"aaaaab", "big"), int.from_bytes(b"aaaaac", "big")], np.uint64)
+    tree = context_tree.weigh(key, np.array([3e7, 0.0]), 7, 5, 3)
+    one, zero = tree[5]["one"][0], tree[5]["zero"][0]  # b ends in a 0, c in a 1
+    assert zero == pytest.approx(1) and -9 < math.log10(one) < -7
+
+
+@pytest.mark.parametrize("entries", [1, 100])
+def test_context_tree_scores_do_not_depend_on_what_is_broadcast(spark, entries):
+    texts = [prose(i, 60) + f" only{i}" for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = [context_tree.tokens(t) for i, t in enumerate(texts) if fold(i, 5) != 1]
+    want = brute.context_tree(train, [context_tree.tokens(t) for t in texts], context_tree.DEPTH)
+    out = {r["doc_id"]: r["score"] for r in rows(context_tree.score_documents(df, entries=entries))}
+    assert [out[i] for i in range(30)] == pytest.approx(want, abs=1e-6)
 
 
 def test_context_tree_odd_rows(odd, odd_rows, empty):
