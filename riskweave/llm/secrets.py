@@ -19,6 +19,9 @@ points, end exclusive; weak parts that overlap a strong span are dropped.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +35,10 @@ SCOPE = 400
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
-WEAK_ID = r"(?i)(?<![a-z0-9_])(?:client_?id|access_?key_?id|account_?id|user_?name|login)[\"']? {0,8}[:=] {0,8}[\"']?[A-Za-z0-9_.@-]{4,128}"
-WEAK_KEY = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,64}[0-9])(?=[^A-Z]{0,64}[A-Z])(?=[^a-z]{0,64}[a-z])[A-Za-z0-9+/_-]{20,64}+={0,2}(?![A-Za-z0-9+/_=-])"
-ENDPOINT = r"(?<![A-Za-z])(?:https?|ftp|jdbc:[a-z]{2,16}|postgres|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._~:/?#@!$&'()*+,;=%-]{4,512}"
+WEAK_ID = r"(?i)(?<![a-z0-9_])(?:client_?id|access_?key_?id|account_?id|user_?name|login)[\"']? {0,8}[:=] {0,8}[\"']?[A-Za-z0-9_.@-]{4,}+"
+WEAK_KEY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])"
+WEAK_KEY_HAS = ("[0-9]", "[A-Z]", "[a-z]")
+ENDPOINT = r"(?<![A-Za-z])(?:https?|ftp|jdbc:[a-z]{2,16}|postgres|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._~:/?#@!$&'()*+,;=%-]{4,}+"
 
 
 def strong_matches(text: Column) -> dict[str, Column]:
@@ -51,7 +55,8 @@ def strong_matches(text: Column) -> dict[str, Column]:
 def weak_matches(text: Column) -> dict[str, Column]:
     return {
         "weak_id": F.when(F.contains(text, F.lit("=")) | F.contains(text, F.lit(":")), S.find(text, WEAK_ID)).otherwise(S.none()),
-        "weak_key": F.when(F.rlike(text, F.lit(r"[A-Za-z0-9+/_-]{20}")), S.find(text, WEAK_KEY)).otherwise(S.none()),
+        "weak_key": F.filter(F.when(F.rlike(text, F.lit(r"[A-Za-z0-9+/_-]{20}")), S.find(text, WEAK_KEY)).otherwise(S.none()),
+                             lambda s: reduce(and_, [F.rlike(s["value"], F.lit(p)) for p in WEAK_KEY_HAS])),
         "endpoint": F.when(F.contains(text, F.lit("://")), S.find(text, ENDPOINT)).otherwise(S.none()),
     }
 

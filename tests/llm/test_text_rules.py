@@ -153,6 +153,18 @@ def test_secret_spans_and_links(spark):
     assert "weak_id" not in out[9]["spans"]  # the two parts lie further apart than the scope
 
 
+def test_secret_parts_of_any_length(spark):
+    key, name, url = "aB3dEfGhIj" * 8 + "kLmNoP==", "user." * 60, "https://host.example/x?sig=" + "Ab9%2F" * 200
+    texts = [f"client_id=foobar12 {key} .", f"client_id={name} {key}", f"client_id=foobar12 {key} {url} .", "x" * 70 + " client_id=foobar12",
+             "login=foobar aB3" + "x" * 100_000]
+    out = {r["doc_id"]: r["spans"] for r in rows(secrets.scan_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))}
+    at = len("client_id=")
+    assert out[0] == "weak_id:0:18,weak_key:19:107"
+    assert out[1] == f"weak_id:0:{at + 300},weak_key:{at + 301}:{at + 389}"
+    assert out[2] == f"weak_id:0:18,weak_key:19:107,endpoint:108:{108 + len(url)}"
+    assert out[3] == "" and out[4] == "weak_id:0:12,weak_key:13:100016"
+
+
 @pytest.mark.parametrize("operator", [mixing.mix_documents, pii.find_personal_data, secrets.scan_documents, pii.redact_documents])
 def test_empty_table(empty, operator):
     assert operator(empty).count() == 0
