@@ -6,8 +6,10 @@ those of length 4 and, where none of them is known, of length 3, 2, 1. The
 language with the largest sum wins; the score is its share after normalising.
 
 Word counts are aggregated over all training documents with map-side sums; n-gram
-counts follow from the distinct words. The model holds the most frequent words
-and n-grams up to a fixed number each, so what is broadcast does not grow.
+counts follow from the distinct words. Both tables keep every entry. The most
+frequent words, a fixed number, are broadcast; the other words of a document join
+the word table through a shuffle, and those in no training row join the n-gram
+table, once for each distinct word.
 
 Defined cases: ``und`` with score 0 for null text, text without letters, and when
 there is nothing to learn from; a null language is not learnt from; ties go to
@@ -17,21 +19,21 @@ the first language by code point; equal rows get equal results.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskweave.llm.common import drop_staged, stage
+from riskweave.llm.common import attach, drop_staged, stage
 from riskweave.llm.learning import floor_for, id_remainder
 
 KNOWN_WORDS = 60_000
-KNOWN_GRAMS = 60_000
 LONGEST = 4
 SMOOTHING = 0.5
-MEMO = 400_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -39,42 +41,41 @@ def padded(word: str) -> str:
     return f"^{word}$"
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-          words: int = KNOWN_WORDS, grams: int = KNOWN_GRAMS) -> dict:
-    """The model: languages, and log frequencies by language of words and n-grams."""
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", words: int = KNOWN_WORDS) -> dict:
+    """The model: languages, the tables (word, v) of all words and n-grams, ``v`` the log frequencies by
+    language, and the most frequent ``words`` of the first."""
     found = docs.filter(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"),
         F.explode(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     counts = stage(found.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "lang-words")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    wide = F.concat(F.lit("^"), "word", F.lit("$"))
-    pieces = [F.transform(F.when(F.length(wide) >= k, F.sequence(F.lit(1), F.length(wide) - (k - 1)))
-                          .otherwise(F.array().cast("array<int>")), _piece(wide, k)) for k in range(1, LONGEST + 1)]
-    parts = stage(counts.select("lang", "n", F.explode(F.concat(*pieces)).alias("word"))
+    parts = stage(counts.select("lang", "n", F.explode(_grams("word")).alias("word"))
                   .groupBy("lang", "word").agg(F.sum("n").alias("n")), "lang-grams")
-    model = {"langs": langs, "words": _frequencies(counts, langs, words), "grams": _frequencies(parts, langs, grams)}
+    known, grams = (stage(_frequencies(x, langs), "lang-logs") for x in (counts, parts))
     for staged in (counts, parts):
         drop_staged(staged)
-    return model
+    common = known.filter(F.col("n") >= floor_for(known, "n", words)).select("word", "v").toArrow().to_pydict()
+    return {"langs": langs, "words": (common["word"], np.array(common["v"])), "known": known, "grams": grams}
+
+
+def _grams(word: str) -> Column:
+    """All n-grams of the padded word, as often as they occur."""
+    wide = F.concat(F.lit("^"), word, F.lit("$"))
+    return F.concat(*[F.transform(F.when(F.length(wide) >= k, F.sequence(F.lit(1), F.length(wide) - (k - 1)))
+                                  .otherwise(F.array().cast("array<int>")), _piece(wide, k)) for k in range(1, LONGEST + 1)])
 
 
 def _piece(wide, k: int):
     return lambda i: F.substr(wide, i, F.lit(k))
 
 
-def _frequencies(counts: DataFrame, langs: list[str], bound: int) -> tuple[list[str], np.ndarray]:
-    """The most frequent entries, ``bound`` at most, with smoothed log frequencies by language."""
+def _frequencies(counts: DataFrame, langs: list[str]) -> DataFrame:
+    """(word, n, v): the count of each entry and its smoothed log frequencies by language."""
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     both = counts.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    kept = both.filter(F.col("n") >= floor_for(counts.groupBy("word").agg(F.sum("n").alias("n")), "n", bound)).collect()
-    names = sorted(r["word"] for r in kept)
-    at = {w: i for i, w in enumerate(names)}
-    table = np.zeros((len(names), len(langs)))
-    for r in kept:
-        for lang, n in r["by"].items():
-            table[at[r["word"]], langs.index(lang)] = n
-    total = np.array([totals.get(x, 0) for x in langs], dtype=float)
-    return names, np.log((table + SMOOTHING) / (total + SMOOTHING * max(1, len(names))))
+    smooth = SMOOTHING * max(1, counts.select("word").distinct().count())
+    logs = [F.log((F.coalesce(F.try_element_at("by", F.lit(x)), F.lit(0)) + SMOOTHING) / (totals.get(x, 0) + smooth)) for x in langs]
+    return both.select("word", "n", F.array(*logs).cast("array<double>").alias("v"))
 
 
 class Identifier:
@@ -84,7 +85,7 @@ class Identifier:
         self.langs = model["langs"]
         self.words = dict(zip(model["words"][0], model["words"][1].tolist()))
         self.grams = dict(zip(model["grams"][0], model["grams"][1].tolist()))
-        self.seen = _Seen(self)
+        self.seen = _Seen(self.words, len(self.langs))
 
     def word_scores(self, word: str) -> list[float]:
         known = self.words.get(word)
@@ -97,63 +98,97 @@ class Identifier:
                 return [sum(column) / len(found) for column in zip(*found)]
         return [0.0] * len(self.langs)
 
-    def text_scores(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and score of each text."""
-        pred, score = ["und"] * len(texts), [0.0] * len(texts)
-        if not self.langs:
-            return pred, score
-        for k, text in enumerate(texts):
+    def text_sums(self, texts: list[str | None]) -> tuple[list[int], list[list[float]], list[Counter]]:
+        """Of each text the number of words, the summed scores of its common ones, and the others."""
+        sizes, sums, others = [], [], []
+        for text in texts:
             found = LETTERS.findall((text or "").lower())
-            if not found:
-                continue
-            if len(self.seen) > MEMO:
-                self.seen = _Seen(self)
             at = np.fromiter(map(self.seen.__getitem__, found), np.int64, len(found))
-            total = self.seen.table[at].sum(axis=0)
-            share = np.exp(total - total.max())
-            best = int(np.argmax(total))
-            pred[k], score[k] = self.langs[best], float(share[best] / share.sum())
-        return pred, score
+            sizes.append(len(found))
+            sums.append(self.seen.table[at].sum(axis=0).tolist())
+            others.append(Counter(found[k] for k in np.flatnonzero(at == 0).tolist()))
+        return sizes, sums, others
 
 
 class _Seen(dict):
-    """Word -> row of ``table``, filled as words come."""
+    """Common word -> row of ``table``; row 0, all zeros, stands for the others."""
 
-    def __init__(self, identifier: Identifier):
-        self.identifier, self.table = identifier, np.zeros((1 << 12, len(identifier.langs)))
+    def __init__(self, words: dict[str, list[float]], langs: int):
+        super().__init__(zip(words, range(1, len(words) + 1)))
+        self.table = np.array([[0.0] * langs, *words.values()]).reshape(len(words) + 1, langs)
 
     def __missing__(self, word: str) -> int:
-        self[word] = at = len(self)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = self.identifier.word_scores(word)
-        return at
+        return 0
+
+
+def other_scores(words: DataFrame, model: dict) -> DataFrame:
+    """(word, v): the scores of distinct words, from the word table or else from their n-grams."""
+    langs = model["langs"]
+    both = stage(words.join(model["known"].select("word", "v"), "word", "left"), "lang-others")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for word in batch.column(0).to_pylist():
+                wide = padded(word)
+                parts = list({wide[i : i + k] for k in range(1, LONGEST + 1) for i in range(len(wide) - k + 1)})
+                yield pa.RecordBatch.from_arrays([pa.array([word] * len(parts), pa.string()), pa.array(parts, pa.string())], names=["of", "word"])
+
+    grams = both.filter("v IS NULL").select("word").mapInArrow(cut, "of string, word string") \
+        .join(model["grams"].select("word", "v"), "word").groupBy("of").agg(F.collect_list(F.struct("word", "v")).alias("g"))
+
+    def back_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = []
+            for word, found in zip(*(c.to_pylist() for c in batch.columns)):
+                table = [g["word"] for g in found], np.array([g["v"] for g in found])
+                values.append(Identifier({"langs": langs, "words": ([], np.zeros((0, len(langs)))), "grams": table}).word_scores(word))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.list_(pa.float64()))], names=["word", "v"])
+
+    return both.filter("v IS NOT NULL").unionAll(grams.mapInArrow(back_off, "word string, v array<double>"))
 
 
 def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score``."""
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = len(keep)
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    langs = model["langs"]
+    own = [F.col(f"`{c}`") for c in keep if c != text_col]
+    rows = docs.select(*own, F.monotonically_increasing_id().alias("__row"), F.col(text_col).cast("string").alias("__text"))
+    if not langs:
+        return docs.select(*own, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    shared = docs.sparkSession.sparkContext.broadcast({"langs": langs, "words": model["words"], "grams": ([], np.zeros((0, len(langs))))})
+    at = len(own) + 1
+    names = [*rows.columns[:at], "__n", "__v", "__others"]
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         identifier = Identifier(shared.value)
         for batch in batches:
-            pred, score = identifier.text_scores(batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                                             names=[*keep, "lang_pred", "score"])
-
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(label, schema)
+            sizes, sums, others = identifier.text_sums(batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:at], pa.array(sizes, pa.int64()), pa.array(sums, pa.list_(pa.float64())),
+                 pa.array([list(x.items()) for x in others], pa.map_(pa.string(), pa.int64()))], names=names)
+
+    schema = rows.drop("__text").schema.add("__n", "long").add("__v", T.ArrayType(T.DoubleType())) \
+        .add("__others", T.MapType(T.StringType(), T.LongType()))
+    summed = stage(rows.mapInArrow(add_up, schema), "lang-sums")
+    others = summed.select(F.col("__row").alias("__of"), F.explode("__others").alias("word", "m"))
+    values = other_scores(others.select("word").distinct(), model)
+    more = others.join(values, "word").groupBy("__of").agg(
+        F.array(*[F.sum(F.col("m") * F.get("v", F.lit(k))) for k in range(len(langs))]).alias("__more"))
+    total = F.when(F.col("__more").isNull(), F.col("__v")).otherwise(F.zip_with("__v", "__more", lambda a, b: a + b))
+    every = summed.join(more, F.col("__row") == F.col("__of"), "left").withColumn("__total", total) \
+        .withColumn("__best", F.array_max("__total"))
+    share = F.aggregate("__total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("__best")))
+    name = F.element_at(F.array(*map(F.lit, langs)), F.array_position("__total", F.col("__best")).cast("int"))
+    return attach(every, {"lang_pred": F.when(F.col("__n") == 0, "und").otherwise(name),
+                          "score": F.when(F.col("__n") == 0, 0.0).otherwise(1 / share)})
 
 
 def identify_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                       folds: int = 4, held: int = 2, carry: list[str] | None = None) -> DataFrame:
+                       folds: int = 4, held: int = 2, carry: list[str] | None = None, words: int = KNOWN_WORDS) -> DataFrame:
     """Learns from the rows outside fold ``held`` and labels all rows; adds ``held_out``."""
     carry = docs.columns if carry is None else carry
     out = id_remainder(id_col, folds) == held
-    model = train(docs.filter(~out), text_col, lang_col)
+    model = train(docs.filter(~out), text_col, lang_col, words)
     rows = docs.withColumn("held_out", out).select(*[F.col(f"`{c}`") for c in carry if c != "held_out"], "held_out",
                                                    F.col(text_col).cast("string").alias("__t"))
-    return identify(rows, model, "__t").drop("__t")
+    return identify(rows, model, "__t")

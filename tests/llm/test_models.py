@@ -165,6 +165,16 @@ def test_language_held_out_and_odd_rows(spark, odd, empty):
     assert language_id.identify_documents(odd).count() == odd.count()
 
 
+def test_language_scores_do_not_depend_on_what_is_broadcast(spark):
+    big, small = [f"gro{chr(97 + k)}t" for k in range(20)], ["kleen", "woord", "taal"]
+    data = [(i, " ".join(random.Random(i).choices(big, k=60)), "aa") for i in range(60)]
+    data += [(1000 + i, " ".join(random.Random(i).choices(small, k=6)) + " kleener groxx", "bb") for i in range(20)] + [(2000, "woorden kleen zz", None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    few, every = ({r["doc_id"]: r for r in rows(language_id.identify_documents(df, words=n))} for n in (2, 1000))
+    assert all(few[i]["lang_pred"] == every[i]["lang_pred"] == (lang or "bb") for i, _, lang in data)
+    assert [few[i]["score"] for i in few] == pytest.approx([every[i]["score"] for i in few], abs=1e-9)
+
+
 def test_language_backs_off_to_shorter_grams():
     model = {"langs": ["a", "b"], "words": (["known"], np.array([[0.0, -5.0]])),
              "grams": (["^unk", "zz", "q"], np.array([[-3.0, -1.0], [-1.0, -4.0], [-2.0, -2.5]]))}
