@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import context_tree, cover_tree, language_id, mixing, packing, pii, quality_model, quality_rules, secrets, simhash
+from riskweave.llm import context_tree, cover_tree, divergence, language_id, mixing, packing, phrases, pii, quality_model, quality_rules, secrets, simhash, vector_search
 from riskweave.llm.common import table
 
 
@@ -52,8 +52,20 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {"op1_mix": op1_mix, "op2_pii": op2_pii, "op3_quality": op3_quality,
            "op4_simhash": op4_simhash, "op5_context_tree": op5_context_tree, "op6_quality_model": op6_quality_model,
            "op7_secrets": op7_secrets, "op8_language": op8_language,
-           "op9_cover_tree": op9_cover_tree, "op10_pack": op10_pack}
-ORACLES = {"op1_mix": mixing.ORACLE}
+           "op9_cover_tree": op9_cover_tree, "op10_pack": op10_pack, "op11_phrases": op11_phrases, "op12_divergence": op12_divergence, "op13_top_vectors": op13_top_vectors}
+ORACLES = {"op1_mix": mixing.ORACLE, "op11_phrases": phrases.ORACLE, "op12_divergence": divergence.ORACLE, "op13_top_vectors": vector_search.ORACLE}

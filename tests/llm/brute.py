@@ -158,3 +158,78 @@ def context_tree(train, tests, depth):
         return share * own + (1 - share) * predict(context, node, d + 1)
 
     return [sum(math.log10(p if bit else 1 - p) for c, n, bit in bits(w) for p in [predict(c, n, 0)]) for w in tests]
+
+
+def collocations(rows, support, contained=80, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of rows (lang, text)."""
+    count, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(words)
+            for k in range(1, 5):
+                for i in range(len(words) - k + 1):
+                    count[lang, tuple(words[i : i + k])] += 1
+    cands = {x: a for x, a in count.items() if len(x[1]) > 1 and a >= support}
+    dropped = set()
+    for (lang, p), a in cands.items():
+        for k in range(2, len(p)):
+            for i in range(len(p) - k + 1):
+                if 100 * a >= contained * cands[lang, p[i : i + k]]:
+                    dropped.add((lang, p[i : i + k]))
+    out = []
+    for lang in {x[0] for x in cands}:
+        scored = []
+        for (own, p), a in cands.items():
+            if own == lang and (lang, p) not in dropped:
+                cuts = [(2000000 * a // (count[lang, p[:k]] + count[lang, p[k:]]), k, count[lang, p[:k]], count[lang, p[k:]]) for k in range(1, len(p))]
+                score, _, l, r = min(cuts)
+                scored.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (s, a, p, l, r) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, l, r, total[lang], -s))
+    return sorted(out)
+
+
+def divergence(rows, min_docs, top):
+    """(lang, source, part, item, value, rank) of rows (lang, source, text)."""
+    docs, count = Counter(), Counter()
+    rows = [tuple(x or "" for x in r) for r in rows]
+    for lang, source, text in rows:
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower(text))
+        docs.update((lang, t) for t in set(terms))
+        count.update((lang, source, t) for t in terms)
+    out = []
+    groups = sorted({(lang, source) for lang, source, _ in rows})
+    for lang in {g[0] for g in groups}:
+        kept = [t for own, t in docs if own == lang and docs[own, t] >= min_docs]
+        sources = [s for own, s in groups if own == lang]
+        counts = {s: [count[lang, s, t] for t in kept] for s in sources}
+        whole = [sum(x) for x in zip(*counts.values())]
+
+        def shares(c):
+            return [1 + 10**9 * (x + 5) // (sum(c) + 5 * len(kept)) for x in c]
+
+        p, q = {s: shares(c) for s, c in counts.items()}, shares(whole)
+        for s in sources:
+            far = sorted((-sum(abs(a - b) for a, b in zip(p[s], p[o])), o.encode()) for o in sources if o != s)
+            out += [(lang, s, "pair", o.decode(), -v, r) for r, (v, o) in enumerate(far, 1)]
+            more = sorted((b - a, t.encode()) for t, c, a, b in zip(kept, counts[s], p[s], q) if c and a > b)[:top]
+            out += [(lang, s, "term", t.decode(), -v, r) for r, (v, t) in enumerate(more, 1)]
+    return sorted(out)
+
+
+def top_vectors(rows, k, every, scale=256):
+    """(query_id, rank, vec_id, score) of rows (id, vector)."""
+    def whole(v):
+        if not v or any(x is None or not math.isfinite(x) for x in v):
+            return None
+        return [math.floor(scale * x) for x in v]
+
+    rows = [(i, w) for i, v in rows if (w := whole(v)) is not None]
+    out = []
+    for n, (i, v) in enumerate(rows):
+        if i is not None and i % every == 0:
+            scores = [(-sum(a * b for a, b in zip(v, w)), j is None, j or 0, m) for m, (j, w) in enumerate(rows) if m != n and len(w) == len(v)]
+            out += [(i, r, None if none else j, -s) for r, (s, none, j, _) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=str)
