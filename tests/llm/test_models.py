@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from odd_tables import empty, odd, odd_rows, prose  # noqa: F401
 
-from riskweave.llm import context_tree, cover_tree, language_id, packing, quality_model, simhash
+from riskweave.llm import context_tree, cover_blocks, cover_tree, language_id, packing, quality_model, simhash
 from riskweave.llm.components import connected_components
 
 
@@ -202,7 +202,7 @@ def test_cover_tree_links(spark, block_rows):
     vectors += [[float("nan")] * 8, [0.0] * 8, None, [1.0, 2.0], [2.0, 4.0], [], [float("inf")] + [1.0] * 7, vectors[0], [1e300] * 8,
                 [1e-300] * 8, [None, 1.0]]
     df = spark.createDataFrame([(i * 7 % len(vectors), v, "x") for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, links string")
-    out = rows(cover_tree.link_vectors(df, block_rows=block_rows, pivots=5))
+    out = rows(cover_tree.link_vectors(df, block_rows=block_rows))
     links, component = brute_links([r["vec_id"] for r in out], [r["embedding"] for r in out])
     assert [r["n_links"] for r in out] == links
     assert [r["component_id"] for r in out] == component
@@ -219,7 +219,7 @@ def test_cover_tree_empty_and_unlinked(spark):
 def test_cover_tree_levels_nest_and_cover():
     x = np.random.default_rng(0).normal(size=(200, 6))
     x /= np.linalg.norm(x, axis=1)[:, None]
-    tree = cover_tree.Tree(x)
+    tree = cover_blocks.Tree(x, 0.01)
     assert sorted(tree.order) == list(range(200))
     for node, kids in enumerate(tree.kids):
         span = np.array(tree.order[tree.first[node] : tree.last[node]])
