@@ -409,7 +409,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Learns from the rows outside fold ``held`` and scores all: the columns of ``carry`` (all by default)
     with ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
     results = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in results]
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in results]
     out = id_remainder(id_col, folds) == held
     model, words, table = learn(docs, text_col, depth, entries, top_words, out)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -171,7 +171,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     label_col: str = "quality", folds: int = 4, held: int = 2, threshold: float = THRESHOLD,
                     carry: list[str] | None = None) -> DataFrame:
     """The columns of ``carry`` (all by default) with ``held_out``, ``score`` and ``predicted``."""
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in ("held_out", "score", "predicted")]
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ("held_out", "score", "predicted")]
     out = id_remainder(id_col, folds) == held
     machine = train(docs.filter(~out), labels, id_col=id_col, text_col=text_col, label_col=label_col)
     shared = docs.sparkSession.sparkContext.broadcast(machine)

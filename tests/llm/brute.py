@@ -233,3 +233,48 @@ def top_vectors(rows, k, every, scale=256):
             scores = [(-sum(a * b for a, b in zip(v, w)), j is None, j or 0, m) for m, (j, w) in enumerate(rows) if m != n and len(w) == len(v)]
             out += [(i, r, None if none else j, -s) for r, (s, none, j, _) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out, key=str)
+
+
+def language(train, texts, smoothing=0.5):
+    """(language, share) of each text, learnt from rows (lang, text)."""
+    def words(t):
+        return regex.findall(r"\p{L}+", (t or "").lower())
+
+    def grams(w):
+        w = f"^{w}$"
+        return [w[i : i + k] for k in range(1, 5) for i in range(len(w) - k + 1)]
+
+    langs = sorted({x for x, _ in train if x is not None})
+    one, two = Counter(), Counter()
+    for lang, t in train:
+        if lang is not None:
+            for w in words(t):
+                one[lang, w] += 1
+                two.update((lang, g) for g in grams(w))
+
+    def logs(count):
+        known = {x for _, x in count}
+        total = {lang: sum(n for (own, _), n in count.items() if own == lang) for lang in langs}
+        return {x: [math.log((count[lang, x] + smoothing) / (total[lang] + smoothing * len(known))) for lang in langs] for x in known}
+
+    by_word, by_gram = logs(one), logs(two)
+
+    def score(w):
+        if w in by_word:
+            return by_word[w]
+        for k in range(4, 0, -1):
+            found = [by_gram[g] for g in grams(w) if len(g) == k and g in by_gram]
+            if found:
+                return [sum(c) / len(found) for c in zip(*found)]
+        return [0.0] * len(langs)
+
+    out = []
+    for t in texts:
+        found = words(t)
+        if not found or not langs:
+            out.append(("und", 0.0))
+            continue
+        total = [sum(c) for c in zip(*map(score, found))]
+        best = max(total)
+        out.append((langs[total.index(best)], 1 / sum(math.exp(x - best) for x in total)))
+    return out

@@ -165,24 +165,35 @@ def test_language_held_out_and_odd_rows(spark, odd, empty):
     assert language_id.identify_documents(odd).count() == odd.count()
 
 
-def test_language_scores_do_not_depend_on_what_is_broadcast(spark):
-    big, small = [f"gro{chr(97 + k)}t" for k in range(20)], ["kleen", "woord", "taal"]
-    data = [(i, " ".join(random.Random(i).choices(big, k=60)), "aa") for i in range(60)]
-    data += [(1000 + i, " ".join(random.Random(i).choices(small, k=6)) + " kleener groxx", "bb") for i in range(20)] + [(2000, "woorden kleen zz", None)]
-    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
-    few, every = ({r["doc_id"]: r for r in rows(language_id.identify_documents(df, words=n))} for n in (2, 1000))
-    assert all(few[i]["lang_pred"] == every[i]["lang_pred"] == (lang or "bb") for i, _, lang in data)
-    assert [few[i]["score"] for i in few] == pytest.approx([every[i]["score"] for i in few], abs=1e-9)
-
-
-def test_language_backs_off_to_shorter_grams():
-    model = {"langs": ["a", "b"], "words": (["known"], np.array([[0.0, -5.0]])),
-             "grams": (["^unk", "zz", "q"], np.array([[-3.0, -1.0], [-1.0, -4.0], [-2.0, -2.5]]))}
-    own = language_id.Identifier(model)
-    assert list(own.word_scores("known")) == [0.0, -5.0]
-    assert list(own.word_scores("unkzz")) == [-3.0, -1.0]  # the longest grams known decide
-    assert list(own.word_scores("xzzx")) == [-1.0, -4.0]
-    assert list(own.word_scores("wqw")) == [-2.0, -2.5]
+@pytest.mark.parametrize("words,grams", [(2, 5), (2, 100_000), (100_000, 100_000)])
+def test_language_equals_its_definition(spark, odd_rows, words, grams):
+    """Whatever is broadcast."""
+    r = random.Random(3)
+    parts = {"aa": ["gro", "ta", "lin", "ößé", "ke"], "bb": ["kle", "wo", "rd", "ta", "ñu"], "cc": ["𝒳a", "zu", "kle", "ĳ"]}
+    data = [(i, " ".join("".join(r.choices(parts[lang], k=r.randrange(1, 4))) for _ in range(r.randrange(1, 12))), lang)
+            for i in range(240) for lang in [r.choice(list(parts))]]
+    data += [(300 + k, t, None) for k, t in enumerate(["½ ² Ⅷ", "٣ x२y", "q", "zzz qqq jj", "", None, "groñu-kleta ½", "𝒳𝒳", "İstanbul groTA"])]
+    data += [(r_[0], r_[1], r_[2]) for r_ in odd_rows]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)
+    got = sorted(((r["doc_id"] is None, r["doc_id"], r["lang_pred"], r["score"]) for r in rows(language_id.identify_documents(df, words=words, grams=grams))), key=str)
+    want = brute.language([(lang, t) for i, t, lang in data if fold(i, 4) != 2], [t for _, t, _ in data])
+    want = sorted(((i is None, i, lang, s) for (i, _, _), (lang, s) in zip(data, want)), key=str)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-3)
+
+
+@pytest.mark.parametrize("name", ["score_documents", "score", "identify"])
+def test_clashing_names_in_any_case(spark, odd, name):
+    """Results replace a caller's columns of their names; others stay."""
+    df = odd.withColumns({c: simhash.F.lit("mine") for c in ("Held_Out", "SCORE", "Predicted", "Lang_Pred", "N_Tokens", "other", "word", "key", "n", "v0")})
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, quality int")
+    out = {"score_documents": lambda: context_tree.score_documents(df), "score": lambda: quality_model.score_documents(df, labels),
+           "identify": lambda: language_id.identify_documents(df)}[name]()
+    names = [c.lower() for c in out.columns]
+    assert len(set(names)) == len(names) and {"held_out", "score", "other", "word", "key", "n", "v0"} <= set(out.columns)
+    got = rows(out)
+    assert len(got) == odd.count() and {r["other"] for r in got} == {r["key"] for r in got} == {"mine"}
+    assert all(isinstance(r["score"], float) for r in got)
 
 
 def brute_links(ids, vectors, threshold=0.9):
