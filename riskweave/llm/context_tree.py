@@ -41,10 +41,14 @@ from riskweave.llm.learning import floor_for, id_remainder
 
 DEPTH = 5
 CUT = 3
-ENTRIES = 1_000_000
+ENTRIES = 600_000
 CHUNK = 200_000
-TOP_WORDS = 150_000
-BLOCK = 1 << 21
+TOP_WORDS = 100_000
+BLOCK = 1 << 20
+HELD_KEYS = 800_000
+HELD_WORDS = 150_000
+#: Sums over shuffled rows are whole numbers of this unit, so their order does not matter.
+UNIT = 1 << 32
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END = 10
 END_WORD = ""
@@ -70,12 +74,12 @@ def stream(docs: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray,
     return key[at - depth], firsts, sizes
 
 
-def blocks(docs: list[list[bytes]]) -> Iterator[list[list[bytes]]]:
-    """Runs of documents of about ``BLOCK`` bytes; a longer document is a run of its own."""
+def runs(texts: Iterator[str | None]) -> Iterator[list[list[bytes]]]:
+    """The tokens of the texts, in runs of about ``BLOCK`` bytes; a longer text is a run of its own."""
     run, size = [], 0
-    for d in docs:
-        run.append(d)
-        size += sum(map(len, d)) + len(d)
+    for t in texts:
+        run.append(tokens(t))
+        size += len(t or "") + 1
         if size >= BLOCK:
             yield run
             run, size = [], 0
@@ -105,10 +109,9 @@ def gather(docs: DataFrame, text_col: str, depth: int, held: Column | None = Non
             return batch
 
         for batch in batches:
-            found = [tokens(t) for t in batch.column(0).to_pylist()]
-            apart = batch.column(1).to_pylist()
+            apart = batch.column(1)
             for learnt in (True, False):
-                for run in blocks([d for d, x in zip(found, apart) if x != learnt]):
+                for run in runs(t.as_py() for t, x in zip(batch.column(0), apart) if x.as_py() != learnt):
                     if learnt:
                         for d in run:
                             words.update(d)
@@ -118,10 +121,10 @@ def gather(docs: DataFrame, text_col: str, depth: int, held: Column | None = Non
                     times = np.bincount(inverse, np.concatenate([times, n * learnt]), len(both))
                     seen = np.bincount(inverse, np.concatenate([seen, n]), len(both))
                     keys = both
-                    if len(keys) > 2_000_000:
+                    if len(keys) > HELD_KEYS:
                         yield out_keys()
                         keys, times, seen = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
-                    if len(words) > 300_000:
+                    if len(words) > HELD_WORDS:
                         yield flush_words()
         if len(keys):
             yield out_keys()
@@ -407,8 +410,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     depth: int = DEPTH, entries: int = ENTRIES, top_words: int = TOP_WORDS,
                     carry: list[str] | None = None) -> DataFrame:
     """Learns from the rows outside fold ``held`` and scores all: the columns of ``carry`` (all by default)
-    with ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
-    results = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    with ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``n_bytes`` (those coded, the
+    end mark included) and ``bits_per_byte``, the code length."""
+    results = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
     carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in results]
     out = id_remainder(id_col, folds) == held
     model, words, table = learn(docs, text_col, depth, entries, top_words, out)
@@ -423,30 +427,32 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         own = shared.value.ready()
         get = own.word_logs.get
         for batch in batches:
-            found = [tokens(t) for t in batch.column(last).to_pylist()]
-            scored = [own.scores(run) for run in blocks(found)]
-            value = np.concatenate([x for x, _ in scored] or [np.zeros(0)])
-            beside = [x for _, run in scored for x in run]
-            lists = pa.array(np.cumsum([0] + [len(k) for k, _ in beside]), pa.int32())
-            keys, times = (pa.ListArray.from_arrays(lists, pa.array(np.concatenate([x[i] for x in beside] or [np.zeros(0)]), pa.int64())).cast(deep)
-                           for i in (0, 1))
-            sums, n_known, others = [], [], []
-            for d in found:
-                logs = list(map(get, d))
-                missing = Counter(w for w, x in zip(d, logs) if x is None)
-                end = get(b"")
-                if end is None:
-                    missing[b""] += 1
-                sums.append(math.fsum(x for x in logs if x is not None) + (end or 0.0))
-                n_known.append(len(d) + 1 - sum(missing.values()))
-                others.append([{"word": w.decode("utf-8", "replace"), "n": n} for w, n in missing.items()])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:last], pa.array([len(d) + 1 for d in found], pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(sums, pa.float64()), pa.array(value, pa.float64()), pa.array(others, rare), keys, times],
-                names=[*carry, "held_out", "__row", "__n", "__top", "__sum", "__score", "__rare", "__keys", "__times"])
+            at = 0
+            for run in runs(t.as_py() for t in batch.column(last)):
+                own_rows = batch.slice(at, len(run))
+                at += len(run)
+                value, beside = own.scores(run)
+                lists = pa.array(np.cumsum([0] + [len(k) for k, _ in beside]), pa.int32())
+                keys, times = (pa.ListArray.from_arrays(lists, pa.array(np.concatenate([x[i] for x in beside]), pa.int64())).cast(deep)
+                               for i in (0, 1))
+                sums, n_known, others = [], [], []
+                for d in run:
+                    logs = list(map(get, d))
+                    missing = Counter(w for w, x in zip(d, logs) if x is None)
+                    end = get(b"")
+                    if end is None:
+                        missing[b""] += 1
+                    sums.append(math.fsum(x for x in logs if x is not None) + (end or 0.0))
+                    n_known.append(len(d) + 1 - sum(missing.values()))
+                    others.append([{"word": w.decode("utf-8", "replace"), "n": n} for w, n in missing.items()])
+                yield pa.RecordBatch.from_arrays(
+                    [*own_rows.columns[:last], pa.array([len(d) + 1 for d in run], pa.int64()), pa.array(n_known, pa.int64()),
+                     pa.array(sums, pa.float64()), pa.array(value, pa.float64()),
+                     pa.array([sum(map(len, d)) + max(1, len(d)) for d in run], pa.int64()), pa.array(others, rare), keys, times],
+                    names=[*carry, "held_out", "__row", "__n", "__top", "__sum", "__score", "__bytes", "__rare", "__keys", "__times"])
 
     schema = rows.drop("__text").schema.add("__n", "long").add("__top", "long").add("__sum", "double") \
-        .add("__score", "double") \
+        .add("__score", "double").add("__bytes", "long") \
         .add("__rare", T.ArrayType(T.StructType().add("word", "string").add("n", "integer"))) \
         .add("__keys", T.ArrayType(T.LongType())).add("__times", T.ArrayType(T.LongType()))
     scored = stage(rows.mapInArrow(score, schema), "ctw-scores")
@@ -454,15 +460,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(words, "word", "left")
     count = F.coalesce("n", F.lit(0))
     others = found.groupBy("__of").agg(F.sum(F.when(count > 0, F.col("m")).otherwise(0)).alias("__known"),
-                                       F.sum(F.col("m") * F.log10(count + 0.5)).alias("__more"))
+                                       (F.sum(F.col("m") * F.round(F.log10(count + 0.5) * UNIT).cast("long")) / UNIT).alias("__more"))
     deeper = scored.select(F.col("__row").alias("__in"), F.explode(F.arrays_zip("__keys", "__times")).alias("e")) \
         .select("__in", F.col("e.__keys").alias("key"), F.col("e.__times").alias("m")).join(table, "key") \
-        .groupBy("__in").agg(F.sum(F.col("m") * F.col("value")).alias("__deep"))
+        .groupBy("__in").agg((F.sum(F.col("m") * F.round(F.col("value") * UNIT).cast("long")) / UNIT).alias("__deep"))
     joined = scored.drop("__rare", "__keys", "__times").join(others, F.col("__row") == F.col("__of"), "left") \
         .join(deeper, F.col("__row") == F.col("__in"), "left")
     unit = math.log10(model.total + 0.5 * (model.distinct + 1))
     base = F.col("__sum") + F.coalesce("__more", F.lit(0.0)) - F.col("__n") * unit
+    score_of = F.col("__score") + F.coalesce("__deep", F.lit(0.0))
     return attach(joined, {
         "held_out": F.col("held_out"), "n_tokens": F.col("__n"), "n_known": F.col("__top") + F.coalesce("__known", F.lit(0)),
         "train_tokens": F.lit(model.total).cast("long"), "base_score": base,
-        "score": F.col("__score") + F.coalesce("__deep", F.lit(0.0))})
+        "score": score_of, "n_bytes": F.col("__bytes"), "bits_per_byte": -score_of / (F.col("__bytes") * math.log10(2))})

@@ -87,6 +87,15 @@ def test_context_tree_equals_its_definition(spark):
         assert out[i]["base_score"] == pytest.approx(base)
         assert (out[i]["n_tokens"], out[i]["n_known"], out[i]["train_tokens"]) == (len(own), sum(counts[w] > 0 for w in own), n)
         assert out[i]["held_out"] == (fold(i, 5) == 1)
+        size = len(b" ".join(own[:-1])) + 1
+        assert out[i]["n_bytes"] == size and out[i]["bits_per_byte"] == pytest.approx(-score / math.log10(2) / size, abs=1e-6)
+
+
+def test_context_tree_runs_are_bounded():
+    texts = ["word " * n for n in [3] * 5000 + [300_000, 3, 400_000] + [20_000] * 30] + [None, ""]
+    found = list(context_tree.runs(texts))
+    assert [d for run in found for d in run] == [context_tree.tokens(t) for t in texts]
+    assert all(sum(5 * len(d) for d in run[:-1]) < context_tree.BLOCK for run in found)
 
 
 def test_context_tree_probabilities_sum_to_one_with_a_small_tree(spark):
