@@ -13,7 +13,6 @@ at job commit), and task retries after a lost executor are Spark's own.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -24,9 +23,18 @@ from pyspark.sql import types as T
 
 from riskweave.operators.upsert import DuplicateKeyError, duplicate_source_keys, upsert
 from riskweave.session import scratch_path
+from riskweave.sources.schema import (
+    UNKNOWN,
+    Versions,
+    begin_change,
+    cast_to,
+    end_change,
+    resolve,
+    save_schema,
+    saved_schema,
+)
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
-SCHEMA_FILE = "_schema.json"  # Spark's readers skip names that start with an underscore
 
 
 def _fs(spark: SparkSession, path: str):
@@ -57,9 +65,32 @@ def ordered(values: Iterable[str | None]) -> list[str | None]:
     return sorted(set(values), key=lambda v: (v is None, v or ""))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read with an explicit schema: partition values keep their type and an empty table still reads."""
-    return spark.read.schema(schema).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None) -> DataFrame:
+    """Read with an explicit schema: partition values keep their type and an empty table still reads.
+    ``partition_by`` is needed for a table whose column types have changed."""
+    versions = Versions.load(spark, path)
+    if not versions.schemas:
+        return spark.read.schema(schema).parquet(path)
+    if partition_by is None:
+        partition_by = partition_column(spark, path)
+    return read_partitions(spark, path, schema, partition_by, partition_values(spark, path, partition_by))
+
+
+def partition_column(spark: SparkSession, path: str) -> str | None:
+    """The column a table is partitioned by, from the name of a folder."""
+    fs, p = _fs(spark, path)
+    names = (st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return next((n.partition("=")[0] for n in names if "=" in n and not n.startswith(("_", "."))), None)
+
+
+def partition_values(spark: SparkSession, path: str, partition_by: str) -> list[str | None]:
+    """The partition values of a table: one listing of its folder."""
+    fs, p = _fs(spark, path)
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    lead = f"{partition_by}="
+    found = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    values = [unescape(n[len(lead):]) for n in found if n.startswith(lead)]
+    return ordered(None if v == HIVE_NULL else v for v in values)
 
 
 def read_partitions(spark: SparkSession, path: str, schema: T.StructType, partition_by: str,
@@ -68,33 +99,41 @@ def read_partitions(spark: SparkSession, path: str, schema: T.StructType, partit
 
     The file index then lists just those directories instead of every partition
     of a table that grows by one directory a day; missing partitions are skipped
-    and an empty result keeps the schema.
+    and an empty result keeps the schema. Partitions written under an earlier
+    version of the schema are read with that version's types and cast.
     """
-    dirs = [d for d in (partition_dir(spark, path, partition_by, v) for v in ordered(values)) if table_exists(spark, d)]
-    if not dirs:
+    named = [(v, d) for v in ordered(values) if table_exists(spark, d := partition_dir(spark, path, partition_by, v))]
+    if not named:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*dirs)
-
-
-def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Keep the table's schema beside its files: a file written before a column was added lacks it."""
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    out = fs.create(p, True)
-    out.write(bytearray(schema.json().encode()))
-    out.close()
+    versions = Versions.load(spark, path)
+    if not versions.schemas:
+        return spark.read.schema(schema).option("basePath", path).parquet(*[d for _, d in named])
+    of = {v: versions.of(v) for v, _ in named}
+    out = None
+    for version in sorted(set(of.values())):
+        dirs = [d for v, d in named if of[v] == version]
+        if version == UNKNOWN:  # left by an interrupted commit: each partition as its files say
+            parts = [_as_written(spark, path, d, schema, partition_by) for d in dirs]
+        else:
+            own = T.StructType([*versions.schemas[version], *(f for f in schema if f.name not in versions.schemas[version].names)])
+            parts = [spark.read.schema(own).option("basePath", path).parquet(*dirs)]
+        for part in parts:
+            out = cast_to(part, schema) if out is None else out.unionAll(cast_to(part, schema))
+    return out
+
+
+def _as_written(spark: SparkSession, path: str, folder: str, schema: T.StructType, partition_by: str) -> DataFrame:
+    found = spark.read.option("mergeSchema", "true").parquet(folder).schema
+    own = T.StructType([*found, *(f for f in schema if f.name == partition_by)])
+    return spark.read.schema(own).option("basePath", path).parquet(folder)
 
 
 def stored_schema(spark: SparkSession, path: str, like: T.StructType) -> T.StructType:
     """The schema of a table; for one written by other means, that of all its files with the
     partition column typed as in ``like``."""
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    if fs.exists(p):
-        stream = fs.open(p)
-        try:
-            text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return T.StructType.fromJson(json.loads(text))
+    saved = saved_schema(spark, path)
+    if saved is not None:
+        return saved
     found = spark.read.option("mergeSchema", "true").parquet(path).schema
     types = {f.name: f.dataType for f in like}
     return T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found])
@@ -160,12 +199,6 @@ class CommitResult:
             delete_path(self.staged.sparkSession, self.staging_path)
 
 
-def _widened(target: T.StructType, source: T.StructType) -> T.StructType:
-    """The target's columns, then the source's new ones."""
-    known = {f.name for f in target}
-    return T.StructType(list(target) + [f for f in source if f.name not in known])
-
-
 def commit(
     spark: SparkSession,
     path: str,
@@ -183,8 +216,9 @@ def commit(
     rows the source matches (a matched row may move to another partition; with
     the partition column among the keys it cannot, so nothing is searched).
     Only they are read, merged and rewritten; a touched partition left with no
-    row is deleted. The table's schema becomes the union of both; matched rows
-    keep the columns that only the target has. Rows without a partition value
+    row is deleted. The table's schema becomes the union of both, wider types
+    winning; types that do not go together raise before anything is written.
+    Matched rows keep the columns that only the target has. Rows without a partition value
     live in the default partition. The touched list (one value per partition) is
     the only data brought to the driver. ``cluster_by`` sorts the written files
     by those columns within each partition (see ``optimized_write``).
@@ -197,6 +231,8 @@ def commit(
         from riskweave.operators.dedup import keep_latest
 
         source = keep_latest(source, keys, list(order_by))
+    if table_exists(spark, path):
+        resolve(stored_schema(spark, path, source.schema), source.schema)
     staging = scratch_path(spark, "commit")
     obs = Observation(f"source_{uuid.uuid4().hex}")
     source.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(staging)
@@ -222,16 +258,21 @@ def _merge(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
         return True, written, set(), rows
 
     schema = stored_schema(spark, path, source.schema)
+    wider = resolve(schema, source.schema)
+    source = cast_to(source, T.StructType([f for f in wider if f.name.lower() in {c.lower() for c in source.columns}]))
     part = F.col(partition_by).cast("string").alias("_part")
     touched_rows = source.select(part).distinct()
     if partition_by not in keys:
-        touched_rows = touched_rows.unionAll(_matched(read_table(spark, path, schema), source, keys).select(part)).distinct()
+        touched_rows = touched_rows.unionAll(_matched(read_table(spark, path, schema, partition_by), source, keys).select(part)).distinct()
     touched = {r["_part"] for r in touched_rows.collect()}
     if not touched:
         return False, set(), set(), 0
-    merged = upsert(read_partitions(spark, path, schema, partition_by, touched), source, keys, on_duplicate="allow")
+    held = cast_to(read_partitions(spark, path, schema, partition_by, touched), T.StructType([f for f in wider if f.name in schema.names]))
+    merged = upsert(held, source, keys, on_duplicate="allow")
+    versions = begin_change(spark, path, schema, wider, touched)
     _, emptied, rows = _replace_partitions(spark, merged, path, partition_by, touched, cluster_by)
-    save_schema(spark, path, _widened(schema, source.schema))
+    save_schema(spark, path, wider)
+    end_change(spark, path, versions, touched)
     return False, touched, emptied, rows
 
 
@@ -249,7 +290,7 @@ def write_partition(spark: SparkSession, df: DataFrame, path: str, partition_by:
 
     Reruns for the same run date give the same table, unlike an append.
     """
-    return _replace_partitions(spark, df, path, partition_by, {value})[2]
+    return replace_partitions(spark, df, path, partition_by, [value]).rows_written
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: str, values: Iterable[str | None],
@@ -259,7 +300,13 @@ def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_
     if created:
         written, rows = _write_observed(spark, df, path, partition_by, dynamic=False, cluster_by=cluster_by)
         emptied = set()
+        save_schema(spark, path, df.schema)
     else:
-        written, emptied, rows = _replace_partitions(spark, df, path, partition_by, set(values), cluster_by)
-    save_schema(spark, path, df.schema)
+        schema = stored_schema(spark, path, df.schema)
+        wider = resolve(schema, df.schema)
+        out = cast_to(df, wider)
+        versions = begin_change(spark, path, schema, wider, set(values))
+        written, emptied, rows = _replace_partitions(spark, out, path, partition_by, set(values), cluster_by)
+        save_schema(spark, path, wider)
+        end_change(spark, path, versions, set(values) | written)
     return CommitResult(created, tuple(ordered(written | emptied)), tuple(ordered(emptied)), rows)

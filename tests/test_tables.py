@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 from riskweave.operators.upsert import DuplicateKeyError, upsert
+from riskweave.sources.schema import IncompatibleTypes, widen
 from riskweave.sources.tables import commit, read_table, stored_schema, write_partition
 
 SCHEMA = "id string, d date, v int"
@@ -159,3 +163,82 @@ def test_late_event_recomputes_its_whole_day(spark, tmp_root):
         build_fraud_signals(spark, zones, [day], RiskSettings(velocity_max_count=3))
     got = {r.signal_date: (r.txn_count, r.sar_threshold_count, r.velocity_breach_count) for r in spark.read.parquet(zones.fraud_signals).collect()}
     assert got == {D1: (6, 1, 3), None: (1, 0, 0)}
+
+
+def test_merge_widens_types_and_reads_every_version(spark, tmp_root):
+    path = f"{tmp_root}/w"
+    commit(spark, path, spark.createDataFrame([("a", D1, 1, 1.5), ("b", D2, 2, None)], "id string, d date, v int, f float"), ["id"], "d")
+    commit(spark, path, spark.createDataFrame([("c", D2, 5_000_000_000)], "id string, d date, v long"), ["id"], "d")
+    commit(spark, path, spark.createDataFrame([("d", D3, 7, 0.25)], "id string, d date, v int, f double"), ["id"], "d")
+    schema = stored_schema(spark, path, T.StructType())
+    assert [f.dataType.simpleString() for f in schema] == ["string", "date", "bigint", "double"]
+    rows = sorted((r.id, r.d, r.v, r.f) for r in read_table(spark, path, schema).collect())
+    assert rows == [("a", D1, 1, 1.5), ("b", D2, 2, None), ("c", D2, 5_000_000_000, None), ("d", D3, 7, 0.25)]
+    commit(spark, path, spark.createDataFrame([("a", D3, Decimal("2.50"))], "id string, d date, v decimal(12,2)"), ["id"], "d")
+    schema = stored_schema(spark, path, T.StructType())
+    assert schema["v"].dataType == T.DecimalType(22, 2)
+    rows = {r.id: (r.d, float(r.v), r.f) for r in read_table(spark, path, schema).collect()}
+    assert rows == {"a": (D3, 2.5, 1.5), "b": (D2, 2.0, None), "c": (D2, 5e9, None), "d": (D3, 7.0, 0.25)}
+    commit(spark, path, spark.createDataFrame([("e", D1, 0.125)], "id string, d date, v double"), ["id"], "d")
+    schema = stored_schema(spark, path, T.StructType())
+    rows = {r.id: r.v for r in read_table(spark, path, schema).collect()}
+    assert rows == {"a": 2.5, "b": 2.0, "c": 5e9, "d": 7.0, "e": 0.125}
+
+
+def test_refused_type_leaves_the_table_as_it_was(spark, tmp_root):
+    path = f"{tmp_root}/r"
+    commit(spark, path, spark.createDataFrame([("a", D1, D1)], "id string, d date, x date"), ["id"], "d")
+    before = sorted(os.path.join(p, f) for p, _, fs in os.walk(path) for f in fs)
+    for other in ("string", "timestamp_ntz", "int"):
+        batch = spark.createDataFrame([("a", D1, None)], f"id string, d date, x {other}")
+        with pytest.raises(IncompatibleTypes):
+            commit(spark, path, batch, ["id"], "d")
+        with pytest.raises(IncompatibleTypes):
+            write_partition(spark, batch, path, "d", "2024-01-01")
+    assert sorted(os.path.join(p, f) for p, _, fs in os.walk(path) for f in fs) == before
+    assert [(r.id, r.x) for r in read_table(spark, path, stored_schema(spark, path, T.StructType())).collect()] == [("a", D1)]
+
+
+def test_interrupted_type_change_still_reads(spark, tmp_root, monkeypatch):
+    """The driver is lost after the files were replaced, and before: both read, and the batch commits again."""
+    from riskweave.sources import tables
+
+    for stage in ("_replace_partitions", "end_change"):
+        path = f"{tmp_root}/{stage}"
+        commit(spark, path, spark.createDataFrame([("a", D1, 1), ("b", D2, 2)], "id string, d date, v int"), ["id"], "d")
+        batch = spark.createDataFrame([("a", D2, 2**40)], "id string, d date, v long")
+        with monkeypatch.context() as m:
+            m.setattr(tables, stage, lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+            with pytest.raises(KeyboardInterrupt):
+                commit(spark, path, batch, ["id"], "d")
+        read = read_table(spark, path, T.StructType.fromDDL("id string, v long, d date"))
+        assert read.filter("id = 'b'").first().v == 2
+        commit(spark, path, batch, ["id"], "d")
+        assert sorted((r.id, r.d, r.v) for r in read_table(spark, path, stored_schema(spark, path, T.StructType())).collect()) == [("a", D2, 2**40), ("b", D2, 2)]
+
+
+def test_emptied_partition_left_behind_goes_with_the_next_commit(spark, tmp_root, monkeypatch):
+    """The driver is lost between the overwrite and the deletion of an emptied partition."""
+    from riskweave.sources import tables
+
+    path = f"{tmp_root}/lost"
+    commit(spark, path, _df(spark, [("a", D1, 1), ("b", D2, 1)]), ["id"], "d")
+    batch = _df(spark, [("a", D3, 2)])
+    with monkeypatch.context() as m:
+        m.setattr(tables, "delete_path", lambda s, p: (_ for _ in ()).throw(KeyboardInterrupt) if "d=" in p else True)
+        with pytest.raises(KeyboardInterrupt):
+            commit(spark, path, batch, ["id"], "d")
+    commit(spark, path, batch, ["id"], "d")
+    assert sorted((r.id, r.d, r.v) for r in read_table(spark, path, T.StructType.fromDDL(SCHEMA)).collect()) == [("a", D3, 2), ("b", D2, 1)]
+
+
+def test_widening_lattice():
+    dec, t = T.DecimalType, T
+    for a, b, want in [(t.IntegerType(), t.LongType(), t.LongType()), (t.LongType(), dec(10, 2), dec(22, 2)), (dec(38, 0), t.DoubleType(), t.DoubleType()),
+                       (t.ByteType(), t.IntegerType(), t.IntegerType()), (t.FloatType(), t.DoubleType(), t.DoubleType()), (dec(5, 4), dec(6, 1), dec(9, 4)),
+                       (t.ArrayType(t.IntegerType()), t.ArrayType(t.LongType()), t.ArrayType(t.LongType()))]:
+        assert widen(a, b) == widen(b, a) == want
+    for a, b in [(t.DateType(), t.StringType()), (t.LongType(), t.StringType()), (t.TimestampType(), t.TimestampNTZType()), (t.LongType(), t.FloatType()),
+                 (dec(38, 0), dec(38, 10)), (t.BooleanType(), t.IntegerType())]:
+        with pytest.raises(IncompatibleTypes):
+            widen(a, b)
