@@ -92,7 +92,9 @@ def q_layout_run(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "layout")
     cur = silver(spark, sf).withColumn("year", F.year("transaction_date"))
     good = f"{root}/transactions"
-    cur.repartition(4).write.partitionBy("year").parquet(good)
+    source = f"{sf}/lineitem.parquet"
+    tasks = max(2, file_count(spark, max(1, _target_bytes(spark, source) // 4), source))
+    cur.repartition(tasks).write.partitionBy("year").parquet(good)
     specs = [LayoutSpec(good, ("account_number", "transaction_date"), "year", cur.schema, min_files=2),
              LayoutSpec(f"{root}/missing", ("account_number",), "year", cur.schema)]
     report = run_layout(spark, specs, raise_on_failure=False)

@@ -202,6 +202,12 @@ def _merge_existing() -> str:
     return with_steps(body, upto="valid", extra=extra)
 
 
+MERGE_WIDENED = f"""SELECT transaction_id, {MONTH} AS month, true AS refused,
+      CASE WHEN load_seq % 3 <> 0 THEN account_number END AS account_number,
+      CAST(CASE WHEN load_seq % 5 = 0 THEN load_seq + 0.25 WHEN load_seq % 2 = 0 THEN load_seq + 5000000000 ELSE load_seq END AS DOUBLE) AS units
+      FROM latest WHERE load_seq % 3 <> 0 OR load_seq % 2 = 0 OR load_seq % 5 = 0"""
+
+
 def _chain_two_days() -> str:
     """Both landings in plain SQL: bronze replaces matched ids, cleansing takes the days touched."""
     fold = "DATE '1998-03-27' + CAST((transaction_date - DATE '1992-01-01') % 96 AS INTEGER)"
@@ -230,6 +236,7 @@ def _audit(name: str, count: str, threshold: int, severity: str, text: str) -> s
 
 ORACLE.update({
     "merge_existing": _merge_existing(),
+    "merge_widened": with_steps(MERGE_WIDENED, upto="latest"),
     "chain_two_days": _chain_two_days(),
     "quarantine_table": ORACLE["landing_quarantine"],
     "dq_raising_rule": with_steps("\nUNION ALL\n".join([

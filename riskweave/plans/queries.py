@@ -12,7 +12,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskweave.operators import cleanse as CL
 from riskweave.operators.cleanse import cleanse
@@ -66,19 +65,12 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return cleanse(latest, SETTINGS)
 
 
-_STORED: dict[tuple[str, str], tuple[str, T.StructType]] = {}
-
-
 def stored_silver(spark: SparkSession, sf: str, first: dt.date, last: dt.date) -> DataFrame:
-    """The days ``first`` to ``last`` of the curated table, stored by transaction date once a session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORED:
-        path, cur = scratch_path(spark, "silver-by-date"), silver(spark, sf)
-        optimized_write(cur, "transaction_date", ("account_number",)).write.partitionBy("transaction_date").parquet(path)
-        _STORED[key] = (path, cur.schema)
-    path, schema = _STORED[key]
+    """The days ``first`` to ``last`` of the curated table, stored by transaction date in each call."""
+    path, cur = scratch_path(spark, "silver-by-date"), silver(spark, sf)
+    optimized_write(cur, "transaction_date", ("account_number",)).write.partitionBy("transaction_date").parquet(path)
     days = [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
-    return read_partitions(spark, path, schema, "transaction_date", days)
+    return read_partitions(spark, path, cur.schema, "transaction_date", days)
 
 
 def lookback(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,7 +16,7 @@ from riskweave.session import scratch_path
 from riskweave.settings import RiskSettings, Zones
 from riskweave.sources import adapters
 from riskweave.sources.tables import stored_schema
-from riskweave.streaming.events import event_source, land_events, parse_events, prescreen, use_rocksdb_state
+from riskweave.streaming.events import event_source, land_events, parse_events, prescreen, read_landed, use_rocksdb_state
 
 # The driver's event times carry no zone, so the payload is parsed as TIMESTAMP_NTZ.
 PAYLOAD_NTZ = with_timestamp_type(EVENT_PAYLOAD_SCHEMA, T.TimestampNTZType())
@@ -57,7 +57,7 @@ def _land(spark: SparkSession, envelopes: DataFrame, deliveries: int, dedup: boo
     query = land_events(raw, f"{root}/sink", f"{root}/checkpoint", payload_schema=PAYLOAD_NTZ,
                         dedup=dedup, available_now=True)
     query.awaitTermination()
-    return spark.read.parquet(f"{root}/sink")
+    return read_landed(spark, f"{root}/sink")
 
 
 def q_stream_landing(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,11 +72,12 @@ def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_fraud_signals_job(spark: SparkSession, sf: str) -> DataFrame:
-    """N3 job in two runs over a landed stream: every tenth event arrives a day late."""
+    """N3 job in three runs over a landed stream: every tenth event lands three days late, another tenth four days early."""
     zones = Zones(scratch_path(spark, "fraud"))
     landed = prescreen(adapters.event_transactions(spark, sf))
-    day, late = F.to_date("transaction_datetime"), F.col("event_sequence_num") % 10 == 0
-    for rows, ingested in ((landed.filter(~late), day), (landed.filter(late), F.date_add(day, 1))):
+    day, turn = F.to_date("transaction_datetime"), F.col("event_sequence_num") % 10
+    late, early = landed.filter(turn == 0), landed.filter(turn == 1)
+    for rows, ingested in ((landed.filter(turn > 1), day), (early, F.date_sub(day, 4)), (late, F.date_add(day, 3))):
         batch = rows.withColumn("ingestion_date", ingested)
         batch.write.mode("append").partitionBy("ingestion_date").parquet(zones.transactions_stream)
         days = [r["d"] for r in batch.select(F.col("ingestion_date").cast("string").alias("d")).distinct().collect()]

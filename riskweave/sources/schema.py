@@ -88,7 +88,7 @@ def _path(spark: SparkSession, path: str, name: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _load(spark: SparkSession, path: str, name: str):
+def load_json(spark: SparkSession, path: str, name: str):
     fs, p = _path(spark, path, name)
     if not fs.exists(p):
         return None
@@ -99,7 +99,7 @@ def _load(spark: SparkSession, path: str, name: str):
         stream.close()
 
 
-def _save(spark: SparkSession, path: str, name: str, value) -> None:
+def save_json(spark: SparkSession, path: str, name: str, value) -> None:
     fs, p = _path(spark, path, name)
     out = fs.create(p, True)
     out.write(bytearray(json.dumps(value).encode()))
@@ -108,11 +108,11 @@ def _save(spark: SparkSession, path: str, name: str, value) -> None:
 
 def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Keep the table's schema beside its files: a file written before a column was added lacks it."""
-    _save(spark, path, SCHEMA_FILE, schema.jsonValue())
+    save_json(spark, path, SCHEMA_FILE, schema.jsonValue())
 
 
 def saved_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    found = _load(spark, path, SCHEMA_FILE)
+    found = load_json(spark, path, SCHEMA_FILE)
     return None if found is None else T.StructType.fromJson(found)
 
 
@@ -124,11 +124,11 @@ class Versions:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Versions:
-        found = _load(spark, path, VERSIONS_FILE)
+        found = load_json(spark, path, VERSIONS_FILE)
         return cls() if found is None else cls([T.StructType.fromJson(s) for s in found["schemas"]], found["at"])
 
     def save(self, spark: SparkSession, path: str) -> None:
-        _save(spark, path, VERSIONS_FILE, {"schemas": [s.jsonValue() for s in self.schemas], "at": self.at})
+        save_json(spark, path, VERSIONS_FILE, {"schemas": [s.jsonValue() for s in self.schemas], "at": self.at})
 
     @staticmethod
     def key(value: str | None) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import types as T
 
 from riskweave.schemas import EVENT_PAYLOAD_SCHEMA, with_timestamp_type
@@ -96,3 +97,27 @@ def test_dedup_within_watermark_and_late_rows(spark, tmp_root):
     assert land(False) == ["E1", "E2", "E3", "E3", "E4", "E5", "E6"]
     # With dedup: the re-sent E3 and the late E4 are dropped.
     assert land(True) == ["E1", "E2", "E3", "E5", "E6"]
+
+
+def test_new_payload_field_between_two_runs(spark, tmp_root):
+    """A6: rows landed before a field existed read as NULL; another type is refused before the query starts."""
+    from riskweave.sources.schema import IncompatibleTypes
+    from riskweave.streaming.events import read_landed
+
+    old = T.StructType.fromDDL("transaction_id string, account_number string, amount_usd double, is_international boolean, "
+                               "transaction_channel string, ip_country string, originating_country string, transaction_datetime timestamp")
+    envelope = "body binary, enqueuedTime timestamp, sequenceNumber long, offset string"
+    t0 = dt.datetime(2024, 1, 1, 10)
+
+    def run(k, body, schema):
+        spark.createDataFrame([(body.encode(), t0, k, str(k))], envelope).write.mode("append").parquet(f"{tmp_root}/feed")
+        raw = event_source(spark, "parquet", {}, T.StructType.fromDDL(envelope), f"{tmp_root}/feed")
+        land_events(raw, f"{tmp_root}/sink", f"{tmp_root}/ck", payload_schema=schema, available_now=True).awaitTermination()
+
+    run(1, '{"transaction_id": "E1", "account_number": "A", "amount_usd": 5.0}', old)
+    run(2, '{"transaction_id": "E2", "account_number": "A", "amount_usd": 6.0, "device": "phone"}', old.add("device", "string"))
+    got = read_landed(spark, f"{tmp_root}/sink")
+    assert sorted((r.transaction_id, r.device) for r in got.collect()) == [("E1", None), ("E2", "phone")]
+    with pytest.raises(IncompatibleTypes):
+        run(3, '{"transaction_id": "E3", "device": 1}', T.StructType([f for f in old if f.name != "device"]).add("device", T.IntegerType()))
+    assert read_landed(spark, f"{tmp_root}/sink").count() == 2
