@@ -238,6 +238,7 @@ ORACLE.update({
     "merge_existing": _merge_existing(),
     "merge_widened": with_steps(MERGE_WIDENED, upto="latest"),
     "chain_two_days": _chain_two_days(),
+    "features_incremental": O.features_sql(),
     "quarantine_table": ORACLE["landing_quarantine"],
     "dq_raising_rule": with_steps("\nUNION ALL\n".join([
         _audit("missing_amount", "count(*) FILTER (WHERE amount_usd IS NULL)", 0, "WARNING", "Rows without an amount."),

@@ -109,6 +109,10 @@ class Zones:
     def transactions_clean(self) -> str:
         return self.silver("financial", "transactions_clean")
 
+    @property
+    def account_days(self) -> str:
+        return self.gold("risk", "account_days")
+
     @property
     def credit_risk_features(self) -> str:
         return self.gold("risk", "credit_risk_features")
