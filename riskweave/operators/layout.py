@@ -10,7 +10,8 @@ These are rewrites of a Parquet table's files, so they are ordinary Spark jobs:
   partitions. Files then hold narrow ranges of every clustering column, so
   Parquet min/max statistics let lookups skip them. The row hash lets one hot
   Z-value (a hot account) spread over several files instead of one oversized task.
-* ``compact`` rewrites a table into files of about a target size.
+* ``compact`` joins the small files of each folder (first-fit decreasing over the
+  listing), one task a group, without a shuffle; other files are not touched.
 * File counts and sizes come from a listing (one row per file), never from rows.
 * In-place rewrites replace whole partitions with dynamic partition overwrite
   (staged, moved at job commit), so a failed job leaves the table unchanged.
@@ -20,14 +21,19 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.sources.schema import Versions, load_json, save_json
+
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 SAMPLE_ROWS = 50_000
 
@@ -105,12 +111,6 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int, partition_by: str
     )
 
 
-def balanced(df: DataFrame, files: int, partition_by: str | None = None) -> DataFrame:
-    """Rows range-partitioned into ``files`` even tasks (by partition column, then row hash)."""
-    lead = [partition_by] if partition_by else []
-    return df.withColumn("_h", row_hash(df)).repartitionByRange(files, *lead, "_h").drop("_h")
-
-
 def file_count(spark: SparkSession, target_bytes: int, *paths: str) -> int:
     """Files of about ``target_bytes`` that hold what is under the folders now."""
     size = files(spark, *paths).agg(F.sum("file_size")).first()[0] or 0
@@ -126,28 +126,106 @@ def _write(df: DataFrame, path: str, partition_by: str | None, in_place: bool) -
     w.parquet(path)
 
 
+JOB_GROUPS = 200
+JOURNAL = "_compaction.json"
+
+
+def first_fit(sizes: Sequence[int], capacity: int) -> list[list[int]]:
+    """First-fit decreasing: positions of the sizes in groups of at most ``capacity`` (a larger one is a group of its own)."""
+    groups, room = [], []
+    for i in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        at = next((g for g, left in enumerate(room) if sizes[i] <= left), None)
+        if at is None:
+            groups.append([])
+            room.append(capacity)
+            at = len(groups) - 1
+        groups[at].append(i)
+        room[at] -= sizes[i]
+    return [sorted(g) for g in groups]
+
+
+def file_groups(spark: SparkSession, path: str, target_file_bytes: int) -> DataFrame:
+    """(folder, file_paths, n): the files of each folder grouped to about the target size; ``n`` files in the group.
+    Only listings are looked at; the files of one folder are grouped in one task."""
+    listed = files(spark, path).select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1).alias("folder"), "file_path", "file_size")
+
+    def group(pdf):
+        pdf = pdf.sort_values("file_path")
+        names, found = pdf["file_path"].tolist(), first_fit(pdf["file_size"].tolist(), target_file_bytes)
+        return pd.DataFrame({"folder": pdf["folder"].iloc[0].rpartition("/")[2], "file_paths": [[names[i] for i in g] for g in found], "n": [len(g) for g in found]})
+
+    return listed.groupBy("folder").applyInPandas(group, "folder string, file_paths array<string>, n int")
+
+
+def _merged(spark: SparkSession, path: str, schema: T.StructType, groups: Sequence[Sequence[str]]) -> DataFrame:
+    """The rows of each group in a task of its own: no shuffle, and the rows of a file stay together in their order."""
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reduce(DataFrame.unionAll, [reader.parquet(*g).coalesce(1) for g in groups])
+
+
 def compact(spark: SparkSession, path: str, schema: T.StructType, out_path: str | None = None,
             partition_by: str | None = None, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """L1: rewrite into about ``size / target`` files; returns the file count asked for.
+    """L1: join small files, folder by folder, into files of about the target size; returns the files written.
 
-    ``out_path=None`` rewrites a partitioned table in place (dynamic partition
-    overwrite); an unpartitioned table needs a new ``out_path``.
+    In place (``out_path=None``) only groups of two files at least are read; files that are
+    large enough, or alone, keep their name and time. With ``out_path`` every row is copied.
+    Rows are not shuffled, so a clustered table stays clustered. Joined files are staged in a
+    hidden folder first, and a journal says which files they replace: a run that is lost while
+    it replaces them is completed by the next one (``finish_compaction``).
     """
-    if out_path is None and not partition_by:
-        raise ValueError("in-place compaction needs a partitioned table")
-    wanted = file_count(spark, target_file_bytes, path)
-    df = spark.read.schema(schema).parquet(path)
-    _write(balanced(df, wanted, partition_by), out_path or path, partition_by, out_path is None)
-    return wanted
+    finish_compaction(spark, path)
+    groups = file_groups(spark, path, target_file_bytes)
+    versions = Versions.load(spark, path)
+    if versions.schemas and partition_by:  # files of an earlier type wait until a merge rewrites them
+        from riskweave.sources.tables import partition_dir, partition_values
+
+        now = [v for v in partition_values(spark, path, partition_by) if versions.of(v) == len(versions.schemas) - 1]
+        groups = groups.filter(F.col("folder").isin([partition_dir(spark, path, partition_by, v).rpartition("/")[2] for v in now]))
+    todo = [list(r["file_paths"]) for r in (groups if out_path else groups.filter("n > 1")).toLocalIterator()]
+    for at in range(0, len(todo), JOB_GROUPS):
+        some = todo[at : at + JOB_GROUPS]
+        staged = None if out_path else f"{path.rstrip('/')}/_compacted-{uuid.uuid4().hex[:12]}"
+        writer = _merged(spark, path, schema, some).write.mode("append")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(out_path or staged)
+        if staged:
+            save_json(spark, path, JOURNAL, {"staged": staged, "replaced": [f for g in some for f in g]})
+            finish_compaction(spark, path)
+    return len(todo)
+
+
+def finish_compaction(spark: SparkSession, path: str) -> bool:
+    """Carry out what the journal of a compaction says: replaced files go, staged ones take their place."""
+    found = load_json(spark, path, JOURNAL)
+    if found is None:
+        return False
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    here = hadoop.Path(path)
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    staged = hadoop.Path(found["staged"])
+    for f in found["replaced"]:
+        fs.delete(hadoop.Path(f), False)
+    if fs.exists(staged):
+        lead = fs.makeQualified(staged).toString()
+        each = fs.listFiles(staged, True)
+        while each.hasNext():
+            f = each.next().getPath()
+            if f.getName().endswith(".parquet"):
+                to = hadoop.Path(here, f.toString()[len(lead) + 1 :])
+                fs.mkdirs(to.getParent())
+                fs.rename(f, to)
+        fs.delete(staged, True)
+    fs.delete(hadoop.Path(here, JOURNAL), False)
+    return True
 
 
 def fragmented_partitions(spark: SparkSession, path: str, partition_by: str, min_files: int,
                           values: Sequence[str | None] | None = None) -> list[str | None]:
     """Partition values stored in at least ``min_files`` files (one value per partition to the driver).
     ``values`` limits the listing to those partitions."""
-    from riskweave.sources.tables import HIVE_NULL, partition_dir, table_exists
+    from riskweave.sources.tables import HIVE_NULL, partition_dir, partition_values
 
-    roots = [path] if values is None else [d for d in (partition_dir(spark, path, partition_by, v) for v in values) if table_exists(spark, d)]
+    there = set() if values is None else set(partition_values(spark, path, partition_by))
+    roots = [path] if values is None else [partition_dir(spark, path, partition_by, v) for v in values if v in there]
     if not roots:
         return []
     folder = F.regexp_extract("file_path", f"/{re.escape(partition_by)}=([^/]*)/[^/]*$", 1)

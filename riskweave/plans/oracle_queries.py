@@ -173,7 +173,7 @@ ORACLE.update({
 
 
 ORACLE.update({
-    "compacted": with_steps("SELECT * FROM silver"),
+    "compacted": with_steps("SELECT *, true AS untouched_when_done FROM silver"),
     "clustered": with_steps("SELECT * FROM silver"),
     "daily_chain": O.features_sql(),
     "table_detail": with_steps("SELECT count(*) AS num_rows, true AS fragmented, true AS has_bytes, true AS has_change FROM silver"),

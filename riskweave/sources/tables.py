@@ -13,6 +13,7 @@ at job commit), and task retries after a lost executor are Spark's own.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -54,8 +55,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
+
+
 def partition_dir(spark: SparkSession, path: str, column: str, value: str | None) -> str:
     """The folder of a partition value, escaped as Spark writes it (None: the default partition)."""
+    if value is not None and PLAIN.fullmatch(value) and PLAIN.fullmatch(column):
+        return f"{path.rstrip('/')}/{column}={value}"
     names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     return f"{path.rstrip('/')}/{names.getPartitionPathString(column, value)}"
 
@@ -76,21 +82,24 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, partition_b
     return read_partitions(spark, path, schema, partition_by, partition_values(spark, path, partition_by))
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a table's folder: one listing."""
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    return [x.getName() for x in jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p))]
+
+
 def partition_column(spark: SparkSession, path: str) -> str | None:
     """The column a table is partitioned by, from the name of a folder."""
-    fs, p = _fs(spark, path)
-    names = (st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
-    return next((n.partition("=")[0] for n in names if "=" in n and not n.startswith(("_", "."))), None)
+    return next((n.partition("=")[0] for n in _folders(spark, path) if "=" in n and not n.startswith(("_", "."))), None)
 
 
 def partition_values(spark: SparkSession, path: str, partition_by: str) -> list[str | None]:
     """The partition values of a table: one listing of its folder."""
-    fs, p = _fs(spark, path)
     unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     lead = f"{partition_by}="
-    found = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    values = [unescape(n[len(lead):]) for n in found if n.startswith(lead)]
-    return ordered(None if v == HIVE_NULL else v for v in values)
+    values = [n[len(lead):] for n in _folders(spark, path) if n.startswith(lead)]
+    return ordered(None if v == HIVE_NULL else unescape(v) if "%" in v else v for v in values)
 
 
 def read_partitions(spark: SparkSession, path: str, schema: T.StructType, partition_by: str,
@@ -102,7 +111,8 @@ def read_partitions(spark: SparkSession, path: str, schema: T.StructType, partit
     and an empty result keeps the schema. Partitions written under an earlier
     version of the schema are read with that version's types and cast.
     """
-    named = [(v, d) for v in ordered(values) if table_exists(spark, d := partition_dir(spark, path, partition_by, v))]
+    there = set(partition_values(spark, path, partition_by)) if table_exists(spark, path) else set()
+    named = [(v, partition_dir(spark, path, partition_by, v)) for v in ordered(values) if v in there]
     if not named:
         return spark.createDataFrame([], schema)
     versions = Versions.load(spark, path)

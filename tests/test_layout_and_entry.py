@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from conftest import SF001
 
-from riskweave.operators.layout import cluster, compact, run_layout, skipping_report, table_detail, LayoutSpec
+from riskweave.operators.layout import cluster, compact, files, finish_compaction, first_fit, run_layout, skipping_report, table_detail, LayoutSpec
 
 
 def test_cluster_keeps_rows_and_skips_files(spark, tmp_root):
@@ -24,6 +24,59 @@ def test_cluster_keeps_rows_and_skips_files(spark, tmp_root):
     assert table_detail(spark, clustered).first().num_files == after.files_total
 
 
+def test_first_fit_groups():
+    assert first_fit([5, 9, 3, 7, 1, 20], 10) == [[5], [1, 4], [2, 3], [0]]
+    assert first_fit([], 10) == [] and first_fit([30, 30], 10) == [[0], [1]]
+
+
+def test_compaction_reads_small_files_only(spark, tmp_root):
+    """Files of the wanted size keep name and time, order within files stays, rows are not shuffled."""
+    src = f"{tmp_root}/t"
+    big = spark.range(0, 60_000, numPartitions=1).selectExpr("id", "uuid() as v", "'a b%=c' as p")
+    small = spark.range(100_000, 101_200, numPartitions=12).selectExpr("id", "uuid() as v", "CASE WHEN id % 2 = 0 THEN 'a b%=c' END as p")
+    big.write.partitionBy("p").parquet(src)
+    small.write.mode("append").partitionBy("p").parquet(src)
+    schema = spark.read.parquet(src).schema
+    def rows():
+        return {(r.id, r.v, r.p) for r in spark.read.schema(schema).parquet(src).collect()}
+
+    def listed():
+        return {r.file_path: (r.file_size, r.modified) for r in files(spark, src).collect()}
+
+    want, before = rows(), listed()
+    assert compact(spark, src, schema, partition_by="p", target_file_bytes=500_000) == 2
+    after = listed()
+    assert len(before) == 25 and len(after) == 3 and rows() == want
+    kept = set(before) & set(after)
+    assert len(kept) == 1 and all(before[f] == after[f] and before[f][0] > 500_000 for f in kept)
+    assert compact(spark, src, schema, partition_by="p", target_file_bytes=500_000) == 0 and listed() == after
+
+
+def test_interrupted_compaction_is_completed(spark, tmp_root, monkeypatch):
+    from riskweave.operators import layout
+
+    src = f"{tmp_root}/t"
+    spark.range(0, 500, numPartitions=6).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(src)
+    schema = spark.read.parquet(src).schema
+    calls = []
+
+    def lost(s, p):
+        calls.append(p)
+        if len(calls) > 1:
+            raise KeyboardInterrupt
+        return finish_compaction(s, p)
+
+    with monkeypatch.context() as m:
+        m.setattr(layout, "finish_compaction", lost)
+        try:
+            compact(spark, src, schema, partition_by="p")
+        except KeyboardInterrupt:
+            pass
+    assert finish_compaction(spark, src) and not finish_compaction(spark, src)
+    assert table_detail(spark, src).first().num_files == 2
+    assert sorted(r.id for r in spark.read.schema(schema).parquet(src).collect()) == list(range(500))
+
+
 def test_compact_and_runner(spark, tmp_root):
     df = spark.range(0, 2000).selectExpr("id", "cast(id % 5 as string) as p")
     src = f"{tmp_root}/src"
