@@ -247,4 +247,6 @@ ORACLE.update({
         _audit("all_rows", "count(*)", 0, "CRITICAL", "Every row counts."),
     ]), upto="txn"),
     "fraud_signals_job": ORACLE["fraud_signals"],
+    "fraud_signals_stream": ORACLE["fraud_signals"],
+    "velocity_stream": ORACLE["velocity_breach"],
 })

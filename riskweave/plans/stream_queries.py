@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.operators.features import account_features
-from riskweave.operators.signals import fraud_signals, route_by_score, velocity_breach
+from riskweave.operators.signals import event_micros, fraud_signals, route_by_score, velocity_breach
 from riskweave.plans.oracle import FEATURE_DATE
 from riskweave.plans.pipelines import build_fraud_signals
 from riskweave.plans.queries import lookback
@@ -17,6 +17,7 @@ from riskweave.settings import RiskSettings, Zones
 from riskweave.sources import adapters
 from riskweave.sources.tables import stored_schema
 from riskweave.streaming.events import event_source, land_events, parse_events, prescreen, read_landed, use_rocksdb_state
+from riskweave.streaming.live import start_signals, start_velocity, velocity_counts
 
 # The driver's event times carry no zone, so the payload is parsed as TIMESTAMP_NTZ.
 PAYLOAD_NTZ = with_timestamp_type(EVENT_PAYLOAD_SCHEMA, T.TimestampNTZType())
@@ -92,6 +93,38 @@ def q_velocity_breach(spark: SparkSession, sf: str) -> DataFrame:
                       "_flag_velocity_breach")
 
 
+def _feed(spark: SparkSession, sf: str, root: str, parts: int, part: int) -> DataFrame:
+    """A stream over the envelopes, of which this call adds the ``part``-th of ``parts`` shares; shares interleave in
+    time, so all but the first bring late events."""
+    envelopes = adapters.event_envelopes(spark, sf)
+    envelopes.filter(F.pmod("sequenceNumber", F.lit(parts)) == part).write.mode("append").parquet(f"{root}/feed")
+    raw = event_source(spark, "parquet", {}, envelopes.schema, f"{root}/feed")
+    return prescreen(parse_events(raw, PAYLOAD_NTZ))
+
+
+def q_velocity_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """N1 live: three deliveries, each a restarted query that corrects earlier counts; equals the batch."""
+    root = scratch_path(spark, "velocity")
+    for part in range(3):
+        events = _feed(spark, sf, root, 3, part)
+        start_velocity(events, f"{root}/counts", f"{root}/checkpoint", delay="3650 days", available_now=True).awaitTermination()
+    ev = adapters.event_transactions(spark, sf)
+    timed = ev.withColumn("ref", event_micros(ev, "transaction_datetime"))
+    out = timed.join(velocity_counts(spark, f"{root}/counts"), ["account_number", "ref"], "left")
+    return out.select("transaction_id", "account_number", "transaction_datetime", "velocity_count",
+                      F.coalesce(F.col("velocity_count") > VELOCITY_MAX, F.lit(False)).alias("_flag_velocity_breach"))
+
+
+def q_fraud_signals_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """N3 live: landing and signals in one query, restarted between two deliveries; equals the batch."""
+    root = scratch_path(spark, "signals")
+    zones = Zones(root)
+    for part in range(2):
+        start_signals(_feed(spark, sf, root, 2, part), zones, f"{root}/checkpoint", RiskSettings(velocity_max_count=VELOCITY_MAX),
+                      available_now=True).awaitTermination()
+    return spark.read.schema(stored_schema(spark, zones.fraud_signals, T.StructType())).parquet(zones.fraud_signals)
+
+
 def q_route_by_score(spark: SparkSession, sf: str) -> DataFrame:
     feats = account_features(lookback(spark, sf), FEATURE_DATE)
     routed, _ = route_by_score(feats, "online_txn_ratio_30d", 0.75)
@@ -111,4 +144,6 @@ STREAM_QUERIES = {
     "route_by_score": q_route_by_score,
     "fraud_signals": q_fraud_signals,
     "fraud_signals_job": q_fraud_signals_job,
+    "velocity_stream": q_velocity_stream,
+    "fraud_signals_stream": q_fraud_signals_stream,
 }
