@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from riskweave.operators.upsert import DuplicateKeyError, duplicate_source_keys, upsert
 from riskweave.session import scratch_path
+from riskweave.sources import key_filter
 from riskweave.sources.schema import (
     UNKNOWN,
     Versions,
@@ -265,6 +266,7 @@ def _merge(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
     if not table_exists(spark, path):
         written, rows = _write_observed(spark, source, path, partition_by, dynamic=False, cluster_by=cluster_by)
         save_schema(spark, path, source.schema)
+        _remember(spark, path, source.schema, keys, partition_by, written)
         return True, written, set(), rows
 
     schema = stored_schema(spark, path, source.schema)
@@ -273,19 +275,32 @@ def _merge(spark: SparkSession, path: str, source: DataFrame, keys: list[str], p
     part = F.col(partition_by).cast("string").alias("_part")
     touched_rows = source.select(part).distinct()
     if partition_by not in keys:
-        touched_rows = touched_rows.unionAll(_matched(read_table(spark, path, schema, partition_by), source, keys).select(part)).distinct()
+        # Only partitions that may hold a key of the batch are listed and read.
+        near = key_filter.possible(spark, path, source, keys, partition_values(spark, path, partition_by))
+        target = read_partitions(spark, path, schema, partition_by, near)
+        touched_rows = touched_rows.unionAll(_matched(target, source, keys).select(part)).distinct()
     touched = {r["_part"] for r in touched_rows.collect()}
     if not touched:
         return False, set(), set(), 0
     held = cast_to(read_partitions(spark, path, schema, partition_by, touched), T.StructType([f for f in wider if f.name in schema.names]))
     merged = upsert(held, source, keys, on_duplicate="allow")
     versions = begin_change(spark, path, schema, wider, touched)
-    _, emptied, rows = _replace_partitions(spark, merged, path, partition_by, touched, cluster_by)
+    # A key of another type hashes to another number.
+    retyped_key = any(schema[k].dataType != wider[k].dataType for k in keys if k in schema.names)
+    key_filter.forget(spark, path, None if retyped_key else touched)
+    written, emptied, rows = _replace_partitions(spark, merged, path, partition_by, touched, cluster_by)
     save_schema(spark, path, wider)
     end_change(spark, path, versions, touched)
+    _remember(spark, path, wider, keys, partition_by, written)
     return False, touched, emptied, rows
 
 
+def _remember(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], partition_by: str, written: set) -> None:
+    """Key filters for the partitions just written; a key that holds the partition column needs none."""
+    if partition_by not in keys and written:
+        key_filter.remember(spark, path, read_partitions(spark, path, schema, partition_by, list(written)), keys, partition_by, written)
+
+
 def _matched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows whose key the source has. The source's key range goes to the scan as a
     filter, so row groups outside it are neither read nor shuffled."""
@@ -316,6 +331,8 @@ def replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition_
         wider = resolve(schema, df.schema)
         out = cast_to(df, wider)
         versions = begin_change(spark, path, schema, wider, set(values))
+        key_filter.forget(spark, path, set(values) | {r[0] for r in out.select(F.col(partition_by).cast("string")).distinct().collect()}
+                          if key_filter.held(spark, path) else ())
         written, emptied, rows = _replace_partitions(spark, out, path, partition_by, set(values), cluster_by)
         save_schema(spark, path, wider)
         end_change(spark, path, versions, set(values) | written)
