@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskweave.operators.layout import (
     TARGET_FILE_BYTES,
     LayoutSpec,
+    cluster,
     compact,
     file_count,
     files,
@@ -26,6 +27,7 @@ from riskweave.plans.queries import raw_txn, silver, stable
 from riskweave.session import scratch_path
 from riskweave.settings import Zones
 from riskweave.sources import adapters
+from riskweave.sources.file_index import lookup, refresh, skipping_by_index
 from riskweave.sources.landing import landing_path
 
 LOOKUP_ACCOUNT = "A42"
@@ -91,6 +93,25 @@ def q_skipping_report(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(b).select("layout", "rows_found", (F.col("skipped_share") >= 0.5).alias("skips_half"))
 
 
+def q_skipping_index(spark: SparkSession, sf: str) -> DataFrame:
+    """L5 by file statistics: two thirds of the curated table clustered and indexed, the rest appended (its files alone
+    are scanned then), and an account lookup through the statistics, whose figures equal those of a scan."""
+    path, cur = scratch_path(spark, "indexed"), silver(spark, sf)
+    late = F.col("load_seq") % 3 == 0
+    target = max(1, _target_bytes(spark, f"{sf}/lineitem.parquet") // 2)
+    tasks = file_count(spark, target, f"{sf}/lineitem.parquet")
+    lookup_by = {"account_number": (LOOKUP_ACCOUNT, LOOKUP_ACCOUNT)}
+    cluster(cur.filter(~late), ["account_number", "transaction_date"], tasks).write.parquet(path)
+    _, all_files = refresh(spark, path, cur.schema, list(lookup_by))
+    cluster(cur.filter(late), ["account_number", "transaction_date"], tasks).write.mode("append").parquet(path)
+    stats, new_files = refresh(spark, path, cur.schema, list(lookup_by))
+    index, scan = skipping_by_index(spark, path, cur.schema, lookup_by).first(), skipping_report(spark, path, lookup_by).first()
+    same = (index["files_total"], index["files_read"]) == (scan["files_total"], scan["files_read"])
+    return stable(lookup(spark, path, cur.schema, lookup_by)).withColumns({
+        "same_as_scan": F.lit(same), "only_new_scanned": F.lit(all_files + new_files == stats.count()),
+        "skips_half": F.lit(index["skipped_share"] >= 0.5)})
+
+
 def q_layout_run(spark: SparkSession, sf: str) -> DataFrame:
     """L4: the runner over a fragmented partitioned table and one that does not exist."""
     root = scratch_path(spark, "layout")
@@ -129,6 +150,7 @@ LAYOUT_QUERIES = {
     "compacted": q_compacted,
     "clustered": q_clustered,
     "skipping_report": q_skipping_report,
+    "skipping_index": q_skipping_index,
     "layout_run": q_layout_run,
     "daily_chain": q_daily_chain,
 }

@@ -180,6 +180,7 @@ ORACLE.update({
     "skipping_report": with_steps(
         "SELECT 'unclustered' AS layout, count(*) AS rows_found, false AS skips_half FROM silver WHERE account_number = 'A42'\n"
         "UNION ALL SELECT 'clustered', count(*), true FROM silver WHERE account_number = 'A42'"),
+    "skipping_index": with_steps("SELECT *, true AS same_as_scan, true AS only_new_scanned, true AS skips_half FROM silver WHERE account_number = 'A42'"),
     "layout_run": with_steps(
         "SELECT 'transactions' AS table_name, 'success' AS status, true AS has_files, CAST(NULL AS BOOLEAN) AS has_error, "
         "count(*) AS num_rows FROM silver UNION ALL SELECT 'missing', 'failed', false, true, NULL"),
