@@ -209,12 +209,14 @@ MERGE_WIDENED = f"""SELECT transaction_id, {MONTH} AS month, true AS refused,
       FROM latest WHERE load_seq % 3 <> 0 OR load_seq % 2 = 0 OR load_seq % 5 = 0"""
 
 
+FOLD = "DATE '1998-03-27' + CAST((transaction_date - DATE '1992-01-01') % 96 AS INTEGER)"
+
+
 def _chain_two_days() -> str:
     """Both landings in plain SQL: bronze replaces matched ids, cleansing takes the days touched."""
-    fold = "DATE '1998-03-27' + CAST((transaction_date - DATE '1992-01-01') % 96 AS INTEGER)"
     gone = "transaction_id IN (SELECT transaction_id FROM land2)"
     extra = {
-        "folded": f"SELECT * REPLACE ({fold} AS transaction_date) FROM valid",
+        "folded": f"SELECT * REPLACE ({FOLD} AS transaction_date) FROM valid",
         "land1": "SELECT * FROM folded WHERE load_seq % 3 <> 0",
         "land2": "SELECT * FROM folded WHERE load_seq % 3 = 0",
         "days2": f"SELECT transaction_date FROM land2 UNION SELECT transaction_date FROM land1 WHERE {gone}",
@@ -229,6 +231,34 @@ def _chain_two_days() -> str:
     return with_steps("SELECT * FROM feat", upto="valid", extra=extra)
 
 
+def _row_counts() -> str:
+    """Both landings in plain SQL: a landed id replaces its stored copies, and the days touched are cleansed again."""
+    gone = "transaction_id IN (SELECT transaction_id FROM land2)"
+    lookback = f"transaction_date BETWEEN {_d(O.FEATURE_DATE)} - INTERVAL 95 DAY AND {_d(O.FEATURE_DATE)}"
+    extra = {
+        "folded": f"SELECT * REPLACE ({FOLD} AS transaction_date) FROM valid",
+        "land1": "SELECT * FROM folded WHERE load_seq % 3 <> 0",
+        "land2": "SELECT * FROM folded WHERE load_seq % 3 = 0",
+        "kept1": f"SELECT * FROM land1 {LATEST}",
+        "days2": f"SELECT transaction_date FROM land2 UNION SELECT transaction_date FROM land1 WHERE {gone}",
+        "batch2": f"""SELECT * FROM (SELECT * FROM land1 WHERE NOT ({gone}) UNION ALL SELECT * FROM land2)
+                      WHERE transaction_date IN (SELECT transaction_date FROM days2)""",
+        "kept2": f"SELECT * FROM batch2 {LATEST}",
+        "silver2": """SELECT * FROM kept1 WHERE transaction_id NOT IN (SELECT transaction_id FROM kept2)
+                      UNION ALL SELECT * FROM kept2""",
+    }
+    out = []
+    for run, rows, mine, read, kept, clean in (("DATE '1998-07-01'", "load_seq % 3 <> 0", "land1", "land1", "kept1", "kept1"),
+                                               ("DATE '1998-07-02'", "load_seq % 3 = 0", "land2", "batch2", "kept2", "silver2")):
+        n = {("landing", "landed"): f"SELECT count(*) FROM txn WHERE {rows}", ("landing", "valid"): f"SELECT count(*) FROM {mine}",
+             ("landing", "quarantined"): f"SELECT (SELECT count(*) FROM txn WHERE {rows}) - (SELECT count(*) FROM {mine})",
+             ("cleansing", "read"): f"SELECT count(*) FROM {read}", ("cleansing", "kept"): f"SELECT count(*) FROM {kept}",
+             ("cleansing", "duplicates"): f"SELECT (SELECT count(*) FROM {read}) - (SELECT count(*) FROM {kept})",
+             ("features", "lookback"): f"SELECT count(*) FROM {clean} WHERE {lookback}"}
+        out += [f"SELECT '{step}' AS step, '{name}' AS count_name, ({sql}) AS row_count, {run} AS run_date" for (step, name), sql in n.items()]
+    return with_steps("\nUNION ALL\n".join(out), upto="valid", extra=extra)
+
+
 def _audit(name: str, count: str, threshold: int, severity: str, text: str) -> str:
     return (f"SELECT 'bronze/financial/transactions' AS table_path, '{name}' AS check_name, '{text}' AS description, "
             f"CAST({count} AS BIGINT) AS failing_count, CAST({threshold} AS BIGINT) AS threshold, '{severity}' AS severity, "
@@ -240,6 +270,7 @@ ORACLE.update({
     "merge_widened": with_steps(MERGE_WIDENED, upto="latest"),
     "chain_two_days": _chain_two_days(),
     "features_incremental": O.features_sql(),
+    "row_counts": _row_counts(),
     "quarantine_table": ORACLE["landing_quarantine"],
     "dq_raising_rule": with_steps("\nUNION ALL\n".join([
         _audit("missing_amount", "count(*) FILTER (WHERE amount_usd IS NULL)", 0, "WARNING", "Rows without an amount."),
@@ -250,4 +281,5 @@ ORACLE.update({
     "fraud_signals_job": ORACLE["fraud_signals"],
     "fraud_signals_stream": ORACLE["fraud_signals"],
     "velocity_stream": ORACLE["velocity_breach"],
+    "stream_landing_once": ORACLE["stream_dedup"],
 })

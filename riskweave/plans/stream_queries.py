@@ -17,7 +17,7 @@ from riskweave.settings import RiskSettings, Zones
 from riskweave.sources import adapters
 from riskweave.sources.tables import stored_schema
 from riskweave.streaming.events import event_source, land_events, parse_events, prescreen, read_landed, use_rocksdb_state
-from riskweave.streaming.live import start_signals, start_velocity, velocity_counts
+from riskweave.streaming.live import start_landing_once, start_signals, start_velocity, velocity_counts
 
 # The driver's event times carry no zone, so the payload is parsed as TIMESTAMP_NTZ.
 PAYLOAD_NTZ = with_timestamp_type(EVENT_PAYLOAD_SCHEMA, T.TimestampNTZType())
@@ -72,6 +72,18 @@ def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return _land(spark, adapters.faulty_envelopes(spark, sf), deliveries=3, dedup=True)
 
 
+def q_stream_landing_once(spark: SparkSession, sf: str) -> DataFrame:
+    """I6 beyond the watermark: a feed with corrupt and id-less events delivered three times, each by a restarted query
+    of its own; what comes again is years behind the newest event landed by then."""
+    root = scratch_path(spark, "once")
+    envelopes = adapters.faulty_envelopes(spark, sf)
+    for _ in range(3):
+        write_feed(envelopes, f"{root}/feed", ranges=2)
+        raw = event_source(spark, "parquet", {}, envelopes.schema, f"{root}/feed")
+        start_landing_once(prescreen(parse_events(raw, PAYLOAD_NTZ)), f"{root}/sink", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return read_landed(spark, f"{root}/sink").drop("landing_batch")
+
+
 def q_fraud_signals_job(spark: SparkSession, sf: str) -> DataFrame:
     """N3 job in three runs over a landed stream: every tenth event lands three days late, another tenth four days early."""
     zones = Zones(scratch_path(spark, "fraud"))
@@ -140,6 +152,7 @@ STREAM_QUERIES = {
     "event_parse_flags": q_event_parse_flags,
     "stream_landing": q_stream_landing,
     "stream_dedup": q_stream_dedup,
+    "stream_landing_once": q_stream_landing_once,
     "velocity_breach": q_velocity_breach,
     "route_by_score": q_route_by_score,
     "fraud_signals": q_fraud_signals,

@@ -195,7 +195,8 @@ def _replace_partitions(spark: SparkSession, df: DataFrame, path: str, partition
 
 @dataclass(frozen=True)
 class CommitResult:
-    """``staged``: the committed batch, if it was asked to be kept; ``release`` deletes its files."""
+    """``staged``: the committed batch, if it was asked to be kept; ``release`` deletes its files. ``source_rows``: the
+    rows of the batch; ``read_rows``: the rows the job read to make it, where the job counts them."""
 
     created: bool
     touched_partitions: tuple[str | None, ...]
@@ -204,6 +205,7 @@ class CommitResult:
     staged: DataFrame | None = None
     staging_path: str | None = None
     source_rows: int = 0
+    read_rows: int = 0
 
     def release(self) -> None:
         if self.staged is not None and self.staging_path:

@@ -14,16 +14,21 @@ Landing. ``foreachBatch`` writes a micro-batch to partitions of its own number
 (dynamic overwrite), then rebuilds the signals of the event days it touched. Both
 replace what they wrote before, so a micro-batch that is replayed after a crash
 changes nothing; a fence file with the last finished number skips finished ones.
+
+Re-sent events. State within a watermark forgets, and drops what is older. ``start_landing_once``
+keeps no state: a micro-batch lands its first copies less those that earlier micro-batches
+landed, found by an anti join with the ids in the ingestion partitions whose zone holds
+the batch's event days. However late, an event lands once and no first copy is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -32,7 +37,9 @@ from riskweave.operators.signals import MICROS_PER_HOUR, event_micros
 from riskweave.plans.pipelines import build_fraud_signals
 from riskweave.settings import DEFAULT_SETTINGS, RiskSettings, Zones
 from riskweave.sources.schema import load_json, save_json
-from riskweave.streaming.events import EVENT_TIME, note_schema, use_rocksdb_state, with_event_watermark
+from riskweave.sources.tables import table_exists
+from riskweave.sources.zone_map import update_zones
+from riskweave.streaming.events import EVENT_TIME, note_schema, read_landed, use_rocksdb_state, with_event_watermark
 
 FENCE_FILE = "_fence.json"
 COUNTS = "account_number string, ref long, velocity_count long"
@@ -155,3 +162,44 @@ def start_signals(events: DataFrame, zones: Zones, checkpoint: str, settings: Ri
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(_once(spark, path, step))
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
+
+
+def first_copies(batch: DataFrame, key: str = "transaction_id", day_of: str = "transaction_datetime") -> DataFrame:
+    """One row per id and event day, the one enqueued first; rows without an id are no copies of each other and all stay."""
+    order = Window.partitionBy(key, F.to_date(day_of)).orderBy(
+        F.col("_event_ingested_at").asc_nulls_last(), F.xxhash64(*[F.col(c) for c in batch.columns]))
+    first = batch.filter(F.col(key).isNotNull()).withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").drop("_copy")
+    return first.unionByName(batch.filter(F.col(key).isNull()))
+
+
+def not_landed(batch: DataFrame, landed: DataFrame, held: Iterable[str | None], key: str = "transaction_id",
+               day_of: str = "transaction_datetime") -> DataFrame:
+    """Rows of ``batch`` whose id and event day no row of ``landed`` in the ingestion partitions ``held`` has."""
+    part, held = F.col("ingestion_date").cast("string"), set(held)
+    near = part.isin(sorted(v for v in held if v is not None)) | (part.isNull() if None in held else F.lit(False))
+    there = landed.filter(near & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.to_date(day_of).alias("_day"))
+    return batch.join(there, (F.col(key) == F.col("_id")) & F.to_date(day_of).eqNullSafe(F.col("_day")), "left_anti")
+
+
+def start_landing_once(events: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+                       trigger: str = "10 seconds") -> StreamingQuery:
+    """I6 beyond any watermark: land each event (its id within its event day) once, however late it is sent again.
+
+    Events without an id land with every delivery; events without a time are a day of their own. A replayed
+    micro-batch is compared with what others landed, not with its own former write, which it replaces. The driver
+    holds one line an ingestion partition and the event days of a micro-batch.
+    """
+    spark = events.sparkSession
+    events = events.drop(EVENT_TIME).withColumn("ingestion_date", F.to_date("_event_ingested_at"))
+    note_schema(events.withColumn("landing_batch", F.lit(0).cast("long")), path)
+
+    def step(batch: DataFrame, number: int) -> None:
+        fresh, day = first_copies(batch), F.to_date("transaction_datetime")
+        if table_exists(spark, path) and (zones := update_zones(spark, path, landed := read_landed(spark, path), day)):
+            days = {r["d"] for r in batch.select(day.alias("d")).distinct().collect()}
+            held = [v for v, zone in zones.items() if zone.holds(days - {None}, None in days)]
+            fresh = not_landed(fresh, landed.filter(F.col("landing_batch") != number), held)
+        _write_batch(fresh, number, path, "ingestion_date")
+
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(_once(spark, path, step))
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
