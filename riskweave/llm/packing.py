@@ -7,9 +7,14 @@ tokens is open. A piece goes into the fullest open sequence that still takes it
 (lowest set bit at or above its length); when a new sequence would exceed the
 bound, the fullest open one is closed first.
 
-Each partition packs its own rows in one pass (no shuffle, memory bounded by the
-caches and ``open_bins``), so a lost executor only repeats its partitions, with
-the same result. Sequence ids carry the partition number in their upper bits.
+Two rounds. In the first each partition packs its own rows in one pass (no shuffle,
+memory bounded by the caches and the pieces of ``open_bins`` sequences), and writes a
+sequence's pieces once it is closed; the pieces of those still open at its end are
+marked. The first round is staged. The marked pieces, numbers without texts, make the
+second: dealt by hash into tasks of about ``ROUND_PIECES`` pieces and packed there,
+longest first, with room for all their sequences open, so part-filled sequences do not
+grow with the number of partitions. A lost executor only repeats its partitions, with
+the same result. Sequence ids carry the partition number and the round in their upper bits.
 
 Defined cases: null text is empty; an empty document is the single end id; equal
 rows are separate documents; long texts are cut into pieces and never truncated;
@@ -19,6 +24,7 @@ extra columns of the input do not matter.
 from __future__ import annotations
 
 import base64
+import math
 import os
 import zlib
 from array import array
@@ -29,8 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import stage
+
 SEQUENCE_TOKENS = 2048
 OPEN_BINS = 1024
+ROUND_PIECES = 500_000
+SECOND_ROUND = 1 << 62
+BATCH_ROWS = 10_000
 END_ID = 0
 CACHE_ENTRIES = 500_000
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -135,10 +146,12 @@ def encoder(path: str) -> Encoder:
 
 
 class OpenBins:
-    """The open sequences: a bitset over free space and, per free space, a stack of ids."""
+    """The open sequences: a bitset over free space and, per free space, a stack of ids.
+    ``closed`` lists the sequences closed since the caller last emptied it."""
 
     def __init__(self, capacity: int, bound: int, first_id: int):
         self.capacity, self.bound, self.next_id = capacity, bound, first_id
+        self.closed: list[int] = []
         self.bits, self.count = 0, 0
         self.ids: list[list[int]] = [[] for _ in range(capacity + 1)]
 
@@ -152,12 +165,14 @@ class OpenBins:
             free, sequence = self.capacity, self.next_id
             self.next_id += 1
             if length < free and self.count >= self.bound:
-                self._take((self.bits & -self.bits).bit_length() - 1)  # close the fullest
+                self.closed.append(self._take((self.bits & -self.bits).bit_length() - 1))  # the fullest
         left = free - length
         if left:
             self.ids[left].append(sequence)
             self.bits |= 1 << left
             self.count += 1
+        else:
+            self.closed.append(sequence)
         return sequence, self.capacity - free
 
     def _take(self, free: int) -> int:
@@ -174,28 +189,58 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
+def _second_round(marked: DataFrame, capacity: int) -> DataFrame:
+    """The marked pieces placed anew: best fit, longest first, over as few tasks as hold them."""
+    tasks = max(1, math.ceil(marked.count() / ROUND_PIECES))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins = OpenBins(capacity, 2 * ROUND_PIECES, SECOND_ROUND + (TaskContext.get().partitionId() << 40))
+        for batch in batches:
+            places = [bins.place(n) for n in batch.column("length").to_pylist()]
+            bins.closed.clear()
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-2], *[pa.array(x, pa.int64()) for x in zip(*places)]] if places else batch.columns, names=names)
+
+    dealt = marked.repartition(tasks, "sequence_id", "offset").sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
+    return dealt.mapInArrow(pack, marked.schema)
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = SEQUENCE_TOKENS,
                    open_bins: int = OPEN_BINS, end_id: int = END_ID, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """One row per piece: where it starts in its document and where it lies in which sequence."""
     path = tokenizer_path or default_tokenizer()
     end = int(end_id).to_bytes(4, "little")
-    schema = PIECES.format(id=docs.schema[id_col].dataType.simpleString())
+    schema = PIECES.format(id=docs.schema[id_col].dataType.simpleString()) + ", still_open boolean"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode, id_type = encoder(path), pa.null()
         bins = OpenBins(capacity, open_bins, TaskContext.get().partitionId() << 40)
+        held: dict[int, list[tuple]] = {}
+
+        def table(found: list[tuple], still_open: bool) -> pa.RecordBatch:
+            ids, piece, *numbers = zip(*found) if found else [()] * 7
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, id_type), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in numbers],
+                 pa.array([still_open] * len(found), pa.bool_())],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "still_open"])
+
         for batch in batches:
-            row, piece, start, length, crc, sequence, offset = out = [[] for _ in range(7)]
-            for k, text in enumerate(batch.column(1).to_pylist()):
+            id_type, out = batch.schema.field(0).type, []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encode(text or "") + end
                 for p, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    seq, at = bins.place(n)
-                    for column, value in zip(out, (k, p, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)]), seq, at)):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int32())), pa.array(piece, pa.int32()),
-                 *[pa.array(x, pa.int64()) for x in (start, length, crc, sequence, offset)]],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
-
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(pack, schema)
+                    sequence, at = bins.place(n)
+                    held.setdefault(sequence, []).append((doc_id, p, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)]), sequence, at))
+                    for done in bins.closed:
+                        out += held.pop(done)
+                    bins.closed.clear()
+            yield table(out, False)
+        rest = [row for found in held.values() for row in found]
+        for at in range(0, len(rest), BATCH_ROWS):
+            yield table(rest[at : at + BATCH_ROWS], True)
+
+    placed = stage(docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(pack, schema), "pack")
+    done, marked = (placed.filter(which).drop("still_open") for which in ("NOT still_open", "still_open"))
+    return done.unionAll(_second_round(marked, capacity))

@@ -299,6 +299,48 @@ def test_open_bins_close_the_fullest_first():
     assert bins.place(3)[0] == 3 and bins.place(10) == (4, 0)
 
 
+@pytest.mark.parametrize("bound", [1, 3, 17, 10**6])
+def test_open_bins_equal_a_list_of_bins(bound):
+    """Best fit by search over all open bins: the least free space that takes the piece, else the fullest closes."""
+    r = random.Random(bound)
+    bins, free, held, closed = packing.OpenBins(50, bound, 0), {}, {}, set()
+    for _ in range(3000):
+        n = r.choice([r.randint(1, 50), r.randint(1, 12), 50])
+        sequence, at = bins.place(n)
+        shut = set(bins.closed)
+        bins.closed.clear()
+        fits = [f for f in free.values() if f >= n]
+        if fits:
+            assert free[sequence] == min(fits)
+        else:
+            assert sequence not in held
+            if n < 50 and len(free) >= bound:
+                gone = next(s for s in shut if s in free)
+                room = free.pop(gone)
+                assert room <= min([*free.values(), 50])
+                closed.add(gone)
+        assert at == held.get(sequence, 0) and sequence not in closed
+        held[sequence] = at + n
+        free[sequence] = 50 - held[sequence]
+        if not free[sequence]:
+            del free[sequence]
+            closed.add(sequence)
+        assert shut <= closed and len(free) <= bound
+
+
+def test_packing_many_partitions_uses_no_more_sequences(spark):
+    """Part-filled last sequences of 64 partitions go through a second round: within 2 % of one partition."""
+    r = random.Random(7)
+    texts = [prose(i, r.choice([3, 40, 150, 400])) for i in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    used = []
+    for parts in (1, 64):
+        out = rows(packing.pack_documents(df.repartition(parts, "doc_id"), capacity=512))
+        used.append(check_packing(out, texts, 512))
+    least = math.ceil(sum(x["length"] for x in out) / 512)
+    assert used[1] <= 1.02 * used[0] + 1 and used[1] <= 1.05 * least + 1
+
+
 def test_cut_only_shortens_the_first_piece():
     assert packing.cut(5, 4) == [(0, 1), (1, 4)] and packing.cut(8, 4) == [(0, 4), (4, 4)] and packing.cut(1, 4) == [(0, 1)]
 
