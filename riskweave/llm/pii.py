@@ -7,12 +7,16 @@ cards). Four labelers vote +1, -1 or 0 on each: the pattern with its validity
 test, a gazetteer of domains, ranges, issuers and area codes, cue words before
 the span, and the characters around it. Expectation-maximisation over the counts
 of vote patterns estimates each labeler's reliability per kind and the posterior
-of each pattern; a logistic classifier over votes, kind and length is fitted to
-the posteriors and decides which of the loose candidates are added.
+of each pattern; a logistic classifier is fitted to the posteriors and decides
+which of the loose candidates are added. It sees the votes, kind and length, and
+hashed features that no labeler reads: the span's shape (runs of digits and letters),
+its first and last characters and the words around it.
 
 Everything that touches documents is a row-local JVM expression. What comes to
-the driver is the table of vote patterns with their counts, whose size is bounded
-by the number of patterns (kinds x 3^4 votes x 3 lengths x 2 forms).
+the driver is the table of vote patterns with their counts over all documents, whose
+size is bounded by the number of patterns (kinds x 3^4 votes x 3 lengths), and the
+distinct feature rows that the classifier is fitted on: about ``TRAIN_SPANS``, taken
+by their hash, so that copies count once and reruns agree.
 
 Defined cases: null text is empty; equal rows are treated alike; spans count code
 points, end exclusive; no candidates leave the classifier without additions.
@@ -20,8 +24,7 @@ points, end exclusive; no candidates leave the classifier without additions.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,9 @@ LABELERS = ("form", "gazetteer", "context", "bounds")
 THRESHOLD = 0.9
 ROUNDS = 25
 CONTEXT = 40
+#: Hash buckets of the classifier's features, and the distinct candidates it is fitted on.
+BUCKETS = 1 << 12
+TRAIN_SPANS = 20_000
 
 # Private-use characters stand in for a dot between two label characters and for a
 # single separator between two digits, one for one, so that every pattern below
@@ -119,12 +125,25 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit(1)).when(no, F.lit(-1)).otherwise(F.lit(0))
 
 
+def _hashed(kind: str, value: Column, before: Column, after: Column) -> Column:
+    """Buckets of the features that labelers do not read."""
+    shape = F.regexp_replace(F.regexp_replace(value, r"[0-9]++", "9"), r"\p{L}++", "a")
+    size = F.length(value)
+    word = F.lit(r"\p{L}{2,}+")
+    near = [F.transform(F.slice(F.reverse(F.regexp_extract_all(before, word, F.lit(0))), 1, 3), lambda w: F.concat(F.lit("before "), w)),
+            F.transform(F.slice(F.regexp_extract_all(after, word, F.lit(0)), 1, 2), lambda w: F.concat(F.lit("after "), w))]
+    own = F.array(F.concat(F.lit("shape "), shape), F.concat(F.lit("first "), F.substr(value, F.lit(1), F.lit(2))),
+                  F.concat(F.lit("last "), F.substr(value, F.greatest(F.lit(1), size - 2), F.lit(3))))
+    return F.array_distinct(F.transform(F.concat(own, *near), lambda f: F.pmod(F.xxhash64(F.lit(kind), f), F.lit(BUCKETS)).cast("int")))
+
+
 def _candidate(kind: str, text: Column, s: Column, form: Column) -> Column:
     """A candidate with its votes."""
     value = F.translate(s["value"], DOT + GAP, ". ")
     before = F.lower(F.substr(text, F.greatest(F.lit(1), s["start"] - CONTEXT + 1), F.least(s["start"], F.lit(CONTEXT))))
     sides = F.concat(F.when(s["start"] > 0, F.substr(text, s["start"], F.lit(1))).otherwise(F.lit(" ")),
                      F.substr(text, s["end"] + 1, F.lit(1)))
+    after = F.lower(F.substr(text, s["end"] + 1, F.lit(CONTEXT)))
     size = s["end"] - s["start"]
     return F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), form.alias("form"),
@@ -132,6 +151,7 @@ def _candidate(kind: str, text: Column, s: Column, form: Column) -> Column:
         _vote(F.rlike(before, F.lit(CUES[kind][0])), F.rlike(before, F.lit(CUES[kind][1]))).alias("context"),
         F.when(F.rlike(sides, F.lit(r"[\p{L}\p{N}]")), F.lit(-1)).otherwise(F.lit(1)).alias("bounds"),
         F.when(size < 12, 0).when(size < 24, 1).otherwise(2).alias("length"),
+        _hashed(kind, value, before, after).alias("hashed"),
     )
 
 
@@ -193,25 +213,44 @@ def _features(kind: str, votes: tuple, length: int) -> list[str]:
     return ["bias", f"kind={kind}", f"length={length}"] + [f"{n}={v}" for n, v in zip(LABELERS, votes) if v]
 
 
-def fit_classifier(rows: list[tuple]) -> dict[str, float]:
-    """Logistic weights by feature, fitted to the EM posteriors of (kind, votes, length, count) rows."""
-    data = []
+def posteriors(counts: list[tuple]) -> dict[tuple, float]:
+    """EM's posterior of each (kind, votes) among (kind, votes, count) rows, each pair once."""
+    out = {}
     for kind in KINDS:
-        own = [r for r in rows if r[0] == kind]
-        for (_, votes, length, n), q in zip(own, reliabilities([(r[3], r[1]) for r in own]) if own else []):
-            data.append((_features(kind, votes, length), n, q))
-    total, weights = sum(n for _, n, _ in data), {}
-    for names, _, _ in data:
-        weights.update(dict.fromkeys(names, 0.0))
-    for _ in range(400):
-        slope = dict.fromkeys(weights, 0.0)
-        for names, n, q in data:
-            p = 1 / (1 + math.exp(-sum(weights[f] for f in names)))
-            for f in names:
-                slope[f] += n * (q - p)
-        for f in weights:
-            weights[f] += 1.0 * (slope[f] / total - 1e-4 * weights[f])
-    return weights
+        own = [(n, votes) for k, votes, n in counts if k == kind]
+        out.update({(kind, votes): q for (_, votes), q in zip(own, reliabilities(own) if own else [])})
+    return out
+
+
+def fit_classifier(rows: list[tuple], post: dict[tuple, float], steps: int = 300, rate: float = 4.0,
+                   shrink: float = 1e-3) -> tuple[dict[str, float], list[float]]:
+    """Logistic weights (by name, by bucket) fitted to the posteriors of (kind, votes, length, buckets) rows."""
+    names = [_features(kind, votes, length) for kind, votes, length, _ in rows]
+    place = {f: BUCKETS + i for i, f in enumerate(sorted({f for own in names for f in own}))}
+    at = [[place[f] for f in own] + list(r[3]) for own, r in zip(names, rows)]
+    size = np.array([len(x) for x in at], dtype=np.int64)
+    row, col = np.repeat(np.arange(len(at)), size), np.array([i for x in at for i in x], dtype=np.int64)
+    value = 1.0 / np.sqrt(size)[row]  # rows of equal length, so that one step size suits all
+    want, weights = np.array([post[r[0], r[1]] for r in rows]), np.zeros(BUCKETS + len(place))
+    for _ in range(steps if rows else 0):
+        z = np.bincount(row, value * weights[col], minlength=len(at))
+        error = want - 1 / (1 + np.exp(-z))
+        weights += rate * (np.bincount(col, value * error[row], minlength=len(weights)) / len(at) - shrink * weights)
+    return {f: float(weights[i]) for f, i in place.items()}, [float(w) for w in weights[:BUCKETS]]
+
+
+def _score(v: Column, named: dict[str, float], buckets: list[float]) -> Column:
+    """The classifier's probability of a candidate."""
+    table = F.split(F.lit(",".join(map(repr, buckets))), ",").cast("array<double>")
+    z, size = F.lit(named.get("bias", 0.0)), F.lit(3) + F.size(v["hashed"])
+    for f, w in sorted(named.items()):
+        if f != "bias":
+            name, value = f.split("=")
+            z = z + F.when(v[name] == (value if name == "kind" else int(value)), w).otherwise(0.0)
+    for n in LABELERS:
+        size = size + F.abs(v[n])
+    z = F.aggregate(v["hashed"], z, lambda total, b: total + F.get(table, b))
+    return 1 / (1 + F.exp(-z / F.sqrt(size)))
 
 
 def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, text_col: str = "text",
@@ -220,21 +259,16 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, text_col:
     ``spans`` (all, as kind:start:end) and ``found`` (array of kind, start, end, sorted by start)."""
     carry = docs.columns if carry is None else carry
     rows = stage(_annotated(docs, text_col, carry), "pii-votes")
-    counts = rows.select(F.explode("__votes").alias("v")).groupBy("v.kind", *[f"v.{n}" for n in LABELERS], "v.length") \
-        .count().collect()  # one row per vote pattern
-    seen = sorted((r["kind"], tuple(r[n] for n in LABELERS), r["length"], r["count"]) for r in counts)
-    weights = fit_classifier(seen)
-
-    def score(v):
-        z = F.lit(weights.get("bias", 0.0))
-        for f, w in sorted(weights.items()):
-            if f != "bias":
-                name, value = f.split("=")
-                z = z + F.when(v[name] == (value if name == "kind" else int(value)), w).otherwise(0.0)
-        return 1 / (1 + F.exp(-z))
-
-    if weights:
-        added = F.filter("__votes", lambda v: (v["form"] == 0) & (score(v) >= threshold))
+    seen = rows.select(F.explode("__votes").alias("v")).select("v.kind", *[f"v.{n}" for n in LABELERS], "v.length", "v.hashed")
+    counts = seen.groupBy("kind", *LABELERS).count().collect()  # one row per vote pattern
+    counts = sorted((r["kind"], tuple(r[n] for n in LABELERS), r["count"]) for r in counts)
+    total = sum(n for *_, n in counts)
+    if total:
+        share = int(min(1.0, TRAIN_SPANS / total) * (1 << 30))
+        fit_on = seen.filter(F.pmod(F.xxhash64(*seen.columns), F.lit(1 << 30)) < share).distinct().collect()  # about TRAIN_SPANS at most
+        fit_on = sorted((r["kind"], tuple(r[n] for n in LABELERS), r["length"], tuple(r["hashed"])) for r in fit_on)
+        named, buckets = fit_classifier(fit_on, posteriors(counts))
+        added = F.filter("__votes", lambda v: (v["form"] == 0) & (_score(v, named, buckets) >= threshold))
     else:
         added = F.filter("__votes", lambda v: F.lit(False))
     rows = rows.withColumn("__added", added)
@@ -245,10 +279,10 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, text_col:
 
     every = {k: F.sort_array(F.concat(F.col(f"__{k}"), own(k))) for k in KINDS}
 
-    def named(kind, spans):
+    def labelled(kind, spans):
         return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind")))
 
-    found = F.sort_array(F.concat(*[named(k, s) for k, s in every.items()]))
+    found = F.sort_array(F.concat(*[labelled(k, s) for k, s in every.items()]))
     return attach(rows, {
         **{f"n_{k}": F.size(f"__{k}").cast("long") for k in KINDS},
         "base_sha256": F.sha2(S.listing({k: F.col(f"__{k}") for k in KINDS}), 256),

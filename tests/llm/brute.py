@@ -278,3 +278,22 @@ def language(train, texts, smoothing=0.5):
         best = max(total)
         out.append((langs[total.index(best)], 1 / sum(math.exp(x - best) for x in total)))
     return out
+
+
+def plain_em(votes, start, rounds, smooth):
+    """Two-class EM over single candidates: ``votes`` lists each candidate's votes, ``start[j][y][v]`` the first (and prior)
+    distributions. Returns the share of class 1 and each candidate's posterior."""
+    theta, share, post = start, 0.5, []
+    for _ in range(rounds):
+        post = []
+        for row in votes:
+            like = [1 - share, share]
+            for y in (0, 1):
+                for j, v in enumerate(row):
+                    like[y] *= theta[j][y][v]
+            post.append(like[1] / sum(like))
+        share = (sum(post) + 1) / (len(post) + 2)
+        theta = [{y: {v: (smooth * start[j][y][v] + sum((q if y else 1 - q) for row, q in zip(votes, post) if row[j] == v))
+                      / (smooth + sum(q if y else 1 - q for q in post)) for v in (-1, 0, 1)} for y in (0, 1)}
+                 for j in range(len(start))]
+    return share, post

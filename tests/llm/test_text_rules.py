@@ -103,6 +103,98 @@ def test_personal_data_adds_supported_loose_forms(spark):
     assert out[901]["spans"] == "" and out[902]["spans"] == ""
 
 
+def test_reliabilities_equal_a_plain_em():
+    import random
+
+    draw = random.Random(5)
+    right = {"form": 0.9, "gazetteer": 0.75, "context": 0.7, "bounds": 0.6}
+    votes, truth = [], []
+    for _ in range(1500):
+        y = draw.random() < 0.4
+        truth.append(y)
+        votes.append(tuple(0 if draw.random() < 0.2 else (1 if (draw.random() < right[n]) == y else -1) for n in pii.LABELERS))
+    first = {"form": 0.95, "gazetteer": 0.8, "context": 0.8, "bounds": 0.6}
+    start = [{y: {v: 0.5 if v == 0 else 0.5 * (first[n] if (v > 0) == bool(y) else 1 - first[n]) for v in (-1, 0, 1)} for y in (0, 1)}
+             for n in pii.LABELERS]
+    _, want = brute.plain_em(votes, start, pii.ROUNDS, 20.0)
+    got = pii.posteriors([("card", v, n) for v, n in sorted(Counter(votes).items())])
+    for v, q in zip(votes, want):
+        assert got["card", v] == pytest.approx(q, rel=1e-9)
+    by_form = sum((v[0] > 0) == y for v, y in zip(votes, truth))
+    by_em = sum((q > 0.5) == y for q, y in zip(want, truth))
+    assert by_em >= by_form  # weighing four labelers beats the best one
+
+
+def _planted(seed, count):
+    """Texts with base forms, loose forms of real data, and look-alikes; (doc_id, text, kind or None, start, end)."""
+    import random
+
+    draw = random.Random(seed)
+
+    def digits(n):
+        return "".join(draw.choice("0123456789") for _ in range(n))
+
+    def luhn(first, n):
+        body = first + digits(n - len(first) - 1)
+        total = sum(int(c) if i % 2 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(body)))
+        return body + str(-total % 10)
+
+    def octet(low=1):
+        return str(draw.randint(low, 223))
+
+    names, hosts = ["jane", "omar", "li", "petra", "joao", "kim"], ["mailhost", "example-inc", "postfach", "uni", "shop"]
+    filler = ["the report was late", "we met on monday", "rain is likely", "the train left early", "nobody knew why", "a new plan is ready"]
+    real = {
+        "email": (["mail me at", "please contact", "write to"], lambda: f"{draw.choice(names)}{digits(2)}@{draw.choice(hosts)}.com",
+                  lambda: f"{draw.choice(names)}.{digits(2)} [at] {draw.choice(hosts)} [dot] {draw.choice(['com', 'org'])}"),
+        "ip": (["server address", "login from client", "host ip"], lambda: ".".join(octet() for _ in range(4)),
+               lambda: "2001:" + ":".join(f"{draw.randint(4096, 65535):x}" for _ in range(7))),
+        "card": (["paid with card", "my visa card is", "credit card"], lambda: luhn("4", 16), lambda: luhn("37", 15)),
+        "phone": (["call me on", "my phone is", "tel."], lambda: f"+1 (9{digits(2)}) 555-{digits(4)}",
+                  lambda: f"({draw.randint(201, 989)}) {draw.randint(201, 989)}-{digits(4)}"),
+    }
+    fake = [lambda: f"serial order {draw.randint(100, 199)}-{digits(3)}-{digits(4)}", lambda: f"invoice tracking {luhn('37', 15)}",
+            lambda: f"version 0.{octet()}.{octet()}.{octet()}", lambda: f"section 0001:{':'.join(digits(4) for _ in range(7))} of the release",
+            lambda: f"invoice tracking {int(luhn('4', 16)) ^ 1}", lambda: f"order serial +{digits(5)}", lambda: f"version {draw.randint(256, 999)}.{octet()}.0.{octet()}"]
+    out = []
+    for i in range(count):
+        lead, tail = draw.choice(filler), draw.choice(filler)
+        kind = draw.choice(list(real))
+        cue, base, loose = real[kind]
+        sort = draw.random()
+        if sort < 0.5:
+            out.append((i, f"{lead}. {draw.choice(cue)} {base()} and {tail}", None, 0, 0))
+        elif sort < 0.75:
+            head, value = f"{lead}. {draw.choice(cue)} ", loose()
+            out.append((i, f"{head}{value} and {tail}", kind, len(head), len(head) + len(value)))
+        else:
+            out.append((i, f"{lead}. {draw.choice(fake)()} and {tail}", None, 0, 0))
+    return out
+
+
+def test_added_spans_are_precise_and_complete_for_every_kind(spark):
+    planted = _planted(11, 1200)
+    df = spark.createDataFrame([(i, t) for i, t, *_ in planted], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows(pii.find_personal_data(df))}
+    for kind in pii.KINDS:
+        right = wrong = missed = 0
+        for i, text, planted_kind, start, end in planted:
+            base = {f"{k}:{s}:{e}" for k, s, e in brute.personal(text)}
+            added = {x for x in got[i]["spans"].split(",") if x.startswith(kind + ":")} - base
+            want = {f"{kind}:{start}:{end}"} if planted_kind == kind else set()
+            right, wrong, missed = right + len(added & want), wrong + len(added - want), missed + len(want - added)
+        assert right >= 0.9 * (right + wrong) and right >= 0.9 * (right + missed), (kind, right, wrong, missed)
+
+
+def test_the_classifier_sees_more_than_votes(spark):
+    """Loose numbers without a cue word: what stands around the confident ones tells them from the others."""
+    sure = [(i, f"call me on (415) 555-{i:04d} thanks") for i in range(1000, 1200)]
+    fake = [(i, f"serial order 155-155-{i:04d} shipped") for i in range(2000, 2200)]
+    plain = [(1, "then (415) 555-0199 thanks"), (2, "then 155-155-0199 shipped")]
+    out = {r["doc_id"]: r["spans"] for r in rows(pii.find_personal_data(spark.createDataFrame(sure + fake + plain, "doc_id long, text string")))}
+    assert out[1] == "phone:5:19" and out[2] == ""
+
+
 def test_redaction_removes_base_spans(spark):
     df = spark.createDataFrame([(1, "x a@b.co y 1.2.3.4é", "l", "s", 0), (2, None, "l", "s", None), (3, "clean", "l", "s", 5)],
                                "doc_id long, text string, lang string, source string, n_chars long")
