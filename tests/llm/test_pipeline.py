@@ -66,6 +66,29 @@ def test_stages_and_run(spark, corpus):
     check_packing(out, [t for i, t in texts.items() for _ in range(times[i])], 2048)
 
 
+def test_stages_pass_columns_of_any_name_and_rows_with_nulls(spark, corpus):
+    path, rows = corpus
+    from pyspark.sql import functions as F
+
+    names = ["kept", "First", "size", "Taken", "component_id", "spans", "found", "a.b", "payload"]
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, path)
+        assert out.columns == docs.columns, name
+        got = out.select("doc_id", *[F.col(f"`{n}`") for n in names]).collect()
+        assert got
+        for r in got:
+            assert list(r[1:]) == [None if r[0] is None else f"{n} {r[0]}" for n in names], name
+    assert dict(corpus_pipeline.STAGES)["best-fit packing"](spark, docs, path).count() > 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_every_operator_has_its_query():
     names = sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
