@@ -33,6 +33,7 @@ from riskweave.sources.landing import landing_path
 LOOKUP_ACCOUNT = "A42"
 SMALL_BYTES = 64 * 1024
 PARTS = 16
+YEARS = 7
 
 
 def _target_bytes(spark: SparkSession, path: str) -> int:
@@ -41,13 +42,21 @@ def _target_bytes(spark: SparkSession, path: str) -> int:
     return min(TARGET_FILE_BYTES, max(SMALL_BYTES, size // PARTS))
 
 
+def _small_files(spark: SparkSession, sf: str, pieces: int = 1) -> tuple[int, int]:
+    """The wanted file size, and the rows that cut the table into files of about a quarter of it (or of 1 / ``pieces`` of that).
+    Rows are counted from the source's file footers; the writer cuts the files, so rows are not shuffled for it."""
+    source = f"{sf}/lineitem.parquet"
+    target = _target_bytes(spark, source)
+    small = file_count(spark, max(1, target // 4), source)
+    return target, max(1, adapters.table(spark, sf, "lineitem").count() // (max(2, small) * pieces))
+
+
 def _fragmented_silver(spark: SparkSession, sf: str) -> tuple[str, DataFrame, int]:
     """The curated table as files a quarter of the wanted size (the layout to fix)."""
     path = scratch_path(spark, "silver")
     cur = silver(spark, sf)
-    source = f"{sf}/lineitem.parquet"
-    target = _target_bytes(spark, source)
-    cur.repartition(file_count(spark, max(1, target // 4), source)).write.parquet(path)
+    target, rows = _small_files(spark, sf)
+    cur.write.option("maxRecordsPerFile", rows).parquet(path)
     return path, cur, target
 
 
@@ -96,7 +105,10 @@ def q_skipping_report(spark: SparkSession, sf: str) -> DataFrame:
 def q_skipping_index(spark: SparkSession, sf: str) -> DataFrame:
     """L5 by file statistics: two thirds of the curated table clustered and indexed, the rest appended (its files alone
     are scanned then), and an account lookup through the statistics, whose figures equal those of a scan."""
-    path, cur = scratch_path(spark, "indexed"), silver(spark, sf)
+    path, plain = scratch_path(spark, "indexed"), scratch_path(spark, "silver")
+    made = silver(spark, sf)
+    made.write.parquet(plain)  # both parts are read several times (bounds, ranges, rows)
+    cur = spark.read.schema(made.schema).parquet(plain)
     late = F.col("load_seq") % 3 == 0
     target = max(1, _target_bytes(spark, f"{sf}/lineitem.parquet") // 2)
     tasks = file_count(spark, target, f"{sf}/lineitem.parquet")
@@ -117,9 +129,8 @@ def q_layout_run(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "layout")
     cur = silver(spark, sf).withColumn("year", F.year("transaction_date"))
     good = f"{root}/transactions"
-    source = f"{sf}/lineitem.parquet"
-    tasks = max(2, file_count(spark, max(1, _target_bytes(spark, source) // 4), source))
-    cur.repartition(tasks).write.partitionBy("year").parquet(good)
+    _, rows = _small_files(spark, sf, pieces=YEARS)
+    cur.write.option("maxRecordsPerFile", rows).partitionBy("year").parquet(good)
     specs = [LayoutSpec(good, ("account_number", "transaction_date"), "year", cur.schema, min_files=2),
              LayoutSpec(f"{root}/missing", ("account_number",), "year", cur.schema)]
     report = run_layout(spark, specs, raise_on_failure=False)

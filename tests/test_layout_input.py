@@ -1,0 +1,28 @@
+"""The layout queries make and cluster their tables without shuffles and passes that the work does not need."""
+
+from __future__ import annotations
+
+from conftest import SF001
+from pyspark.sql import functions as F
+
+from riskweave.operators.layout import bounds, cluster
+from riskweave.plans import layout_queries as L
+
+
+def test_small_files_are_cut_by_the_writer(spark, monkeypatch):
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "repartition", lambda *a: (_ for _ in ()).throw(AssertionError("shuffled for the file count")))
+    path, cur, _ = L._fragmented_silver(spark, SF001)
+    assert len(spark.read.parquet(path).inputFiles()) > 1 and spark.read.parquet(path).count() == cur.count()
+
+
+def test_cluster_counts_and_samples_once(spark, monkeypatch):
+    df = spark.range(200).select("id", F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("id")).alias("v"))
+    frame, counts = type(df), []
+    whole = frame.count
+    monkeypatch.setattr(frame, "count", lambda self: counts.append(1) or whole(self))
+    out = cluster(df, ["id", "v"], 4)
+    assert len(counts) == 1
+    assert out.columns == ["id", "v"] and out.select("id").distinct().collect().__len__() == 200
+    edges = bounds(df, ["id", "v"], 4)
+    assert edges == [[50, 100, 150], [51.0, 101.0, 151.0]]
