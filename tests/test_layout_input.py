@@ -5,7 +5,7 @@ from __future__ import annotations
 from conftest import SF001
 from pyspark.sql import functions as F
 
-from riskweave.operators.layout import bounds, cluster
+from riskweave.operators.layout import bounds, cluster, compact, file_groups, files
 from riskweave.plans import layout_queries as L
 
 
@@ -26,3 +26,18 @@ def test_cluster_counts_and_samples_once(spark, monkeypatch):
     assert out.columns == ["id", "v"] and out.select("id").distinct().collect().__len__() == 200
     edges = bounds(df, ["id", "v"], 4)
     assert edges == [[50, 100, 150], [51.0, 101.0, 151.0]]
+
+
+def test_compaction_joins_each_group_in_a_task_of_its_own(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    rows = spark.range(40_000).withColumn("x", F.xxhash64("id"))
+    rows.repartition(12).write.parquet(path)
+    sizes = [r["file_size"] for r in files(spark, path).collect()]
+    target = 3 * max(sizes)
+    groups = file_groups(spark, path, target).count()
+    assert groups == 4
+    assert compact(spark, path, rows.schema, target_file_bytes=target) == groups
+    after = files(spark, path).collect()
+    assert len(after) == groups and max(r["file_size"] for r in after) < 2 * target  # one file for all before
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(40_000))
+    assert spark.conf.get("spark.sql.unionOutputPartitioning", "true") == "true"
