@@ -242,3 +242,67 @@ def test_widening_lattice():
                  (dec(38, 0), dec(38, 10)), (t.BooleanType(), t.IntegerType())]:
         with pytest.raises(IncompatibleTypes):
             widen(a, b)
+
+
+MERGED = "id string, part string, v int, extra string"
+
+
+@pytest.mark.parametrize("lacks", [False, True])
+def test_merge_equals_upsert_and_shuffles_rows_once(spark, tmp_root, monkeypatch, lacks):
+    """Copies of a key in several partitions, moved keys, NULL keys and partitions, one partition in several tasks;
+    the target's rows are not shuffled by key."""
+    from collections import Counter
+
+    from riskweave.operators.upsert import upsert
+    from riskweave.sources import tables
+
+    def some(seed, n, keys):
+        h = [(seed * 7919 + i * 104729) % 1009 for i in range(n)]
+        return spark.createDataFrame([(None if x % 37 == 0 else f"k{x % keys}", [None, "a", "b c", "d"][x % 4], i, f"e{x}") for i, x in enumerate(h)], MERGED)
+
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 50)
+    path, old, new = f"{tmp_root}/t", some(1, 400, 150), some(2, 120, 200)
+    new = new.drop("extra") if lacks else new
+    commit(spark, path, old, ["id"], "part", on_duplicate="allow")
+    plans, plain = [], tables._write_observed
+    monkeypatch.setattr(tables, "_write_observed", lambda s, df, *a, **k: plans.append(df) or plain(s, df, *a, **k))
+    commit(spark, path, new, ["id"], "part", on_duplicate="allow")
+    columns = ["id", "part", "v", "extra"]
+    want = Counter(tuple(r) for r in upsert(old, new, ["id"], on_duplicate="allow").select(*columns).collect())
+    assert Counter(tuple(r) for r in read_table(spark, path, old.schema).select(*columns).collect()) == want
+    shuffles = [x for x in plans[0]._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 1 and "part#" in shuffles[0] and "_bucket#" in shuffles[0]
+
+
+def test_partitions_that_a_batch_replaces_whole_are_not_read(spark, tmp_root, monkeypatch):
+    from riskweave.sources import tables
+
+    path = f"{tmp_root}/t"
+    commit(spark, path, _df(spark, [("a", D1, 1), ("b", D1, 1), ("c", D2, 1), ("d", D2, 1)]), ["id"], "d")
+    inputs, plain = [], tables._write_observed
+    monkeypatch.setattr(tables, "_write_observed", lambda s, df, *a, **k: inputs.append(df.inputFiles()) or plain(s, df, *a, **k))
+    commit(spark, path, _df(spark, [("a", D1, 2), ("b", D3, 2), ("c", D2, 2)]), ["id"], "d")
+    own = {f.split("/d=")[1][:10] for f in inputs[0] if f"{path}/d=" in f}
+    assert own == {"2024-01-02"}
+    commit(spark, path, _df(spark, [("a", D1, 3), ("b", D3, 3)]), ["id"], "d")
+    assert not [f for f in inputs[1] if f"{path}/d=" in f]
+    rows = sorted((r.id, r.d, r.v) for r in read_table(spark, path, T.StructType.fromDDL(SCHEMA)).collect())
+    assert rows == [("a", D1, 3), ("b", D3, 3), ("c", D2, 2), ("d", D2, 1)]
+
+
+def test_new_table_is_written_once(spark, tmp_root, monkeypatch):
+    """Rows of a first batch are neither staged nor shuffled again; a batch with doubled keys leaves nothing behind."""
+    import os
+
+    from riskweave.operators.upsert import DuplicateKeyError
+    from riskweave.sources import tables
+
+    monkeypatch.setattr(tables, "scratch_path", lambda *a: pytest.fail("staged beside the table"))
+    kept = commit(spark, f"{tmp_root}/x/t", _df(spark, [("a", D1, 1), ("b", None, 2)]), ["id"], "d", keep_staged=True)
+    assert sorted(r.id for r in kept.staged.collect()) == ["a", "b"] and kept.staged.columns == _df(spark, []).columns
+    kept.release()
+    assert kept.source_rows == kept.rows_written == 2 and kept.touched_partitions == ("2024-01-01", None)
+    assert read_table(spark, f"{tmp_root}/x/t", _df(spark, []).schema).count() == 2
+    with pytest.raises(DuplicateKeyError):
+        commit(spark, f"{tmp_root}/x/u", _df(spark, [("a", D1, 1), ("a", D1, 2)]), ["id"], "d")
+    assert os.listdir(f"{tmp_root}/x") == ["t"]
