@@ -30,7 +30,8 @@ def crowded_buckets(df: DataFrame, keys: Sequence[str], crowded: int = CROWDED)
     return counts.crossJoin(F.broadcast(usual)).filter(F.col("n") > F.col("usual") + F.lit(crowded)).select("_bucket")
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLike], crowded: int = CROWDED) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLike], crowded: int = CROWDED,
+                whole: bool = False) -> DataFrame:
     """One row per key: the first by ``order_by`` (names mean "descending").
 
     Rows that tie on every ``order_by`` column are ordered by a hash of the whole
@@ -41,12 +42,18 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLik
     larger than the files they read, on disk. Only keys with very many copies pay for that: rows of
     ``crowded_buckets`` take ``row_number() == 1``, for which Catalyst inserts a partial
     WindowGroupLimit, so a key with millions of copies sends at most one row per map task.
+
+    The hash of a row is made before the shuffle, so that columns the caller drops afterwards are not
+    sent. With ``whole`` (the caller keeps every column) it is made behind it, as its eight bytes do
+    not compress; the rows are the same.
     """
     tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
     w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in order_by], tiebreak.desc())
     hot = F.broadcast(crowded_buckets(df, keys, crowded))
     rows = df.withColumn("_bucket", _bucket(keys))
     usual, copied = (rows.join(hot, "_bucket", how).select(*df.columns) for how in ("left_anti", "left_semi"))
+    if whole:
+        usual = usual.repartition(*[F.col(k) for k in keys])
     # The first row of a key has none before it; no limit is inferred from that.
     first = usual.withColumn("_before", F.lag(F.lit(1)).over(w)).filter(F.col("_before").isNull()).drop("_before")
     cut = copied.withColumn("_row_num", F.row_number().over(w)).filter(F.col("_row_num") == 1).drop("_row_num")
