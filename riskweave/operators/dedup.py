@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnLike = str | Column
 
@@ -16,6 +18,7 @@ def _desc(c: ColumnLike) -> Column:
 
 BUCKETS = 1 << 16
 CROWDED = 100_000
+PIECE_ROWS = 500_000
 
 
 def _bucket(keys: Sequence[str]) -> Column:
@@ -31,7 +34,7 @@ def crowded_buckets(df: DataFrame, keys: Sequence[str], crowded: int = CROWDED)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLike], crowded: int = CROWDED,
-                whole: bool = False) -> DataFrame:
+                place: Sequence[str] | None = None, whole: bool = False) -> DataFrame:
     """One row per key: the first by ``order_by`` (names mean "descending").
 
     Rows that tie on every ``order_by`` column are ordered by a hash of the whole
@@ -46,7 +49,12 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLik
     The hash of a row is made before the shuffle, so that columns the caller drops afterwards are not
     sent. With ``whole`` (the caller keeps every column) it is made behind it, as its eight bytes do
     not compress; the rows are the same.
+
+    With ``place`` (the columns a table is stored and sorted by) whole rows move once, to their place: see
+    ``latest_in_place``. The rows are the same.
     """
+    if place is not None:
+        return latest_in_place(df, keys, order_by, place, crowded)
     tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
     w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in order_by], tiebreak.desc())
     hot = F.broadcast(crowded_buckets(df, keys, crowded))
@@ -60,6 +68,48 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLik
     return first.unionAll(cut)
 
 
+def latest_in_place(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], place: Sequence[str],
+                    crowded: int = CROWDED, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Keep-latest for rows that a table stores by ``place[0]`` and sorts by ``place``: no whole row is sent by key.
+
+    Key, place, order and hash of every row are sent by key. Where a key has rows in other places than its first
+    row's, a mark (key and place) is made. Whole rows and marks are sent by ``place[0]``, and a key with a mark has
+    no row in that place. The one sort there also is the table's. A value of ``place[0]`` ends in one partition,
+    one with more than ``piece_rows`` rows in several, by key. Rows of crowded keys are cut to one per key and place
+    before either shuffle.
+
+    ``df`` is read four times and must give the same rows each time. Two counts run at once; what reaches the driver
+    is the numbers of crowded buckets and the values with more than ``piece_rows`` rows.
+    """
+    order, tie = [_desc(c) for c in order_by], F.xxhash64(*[F.col(c) for c in df.columns])
+    key_hash = F.xxhash64(*[F.col(k) for k in keys])
+    rows, hot = df, [r["_bucket"] for r in crowded_buckets(df, keys, crowded).collect()]
+    if hot:
+        here = Window.partitionBy(*keys, *place).orderBy(*order, tie.desc())
+        cut = df.filter(_bucket(keys).isin(hot)).withColumn("_row_num", F.row_number().over(here))
+        rows = df.filter(~_bucket(keys).isin(hot)).unionAll(cut.filter(F.col("_row_num") == 1).drop("_row_num"))
+
+    by_key = Window.partitionBy(*keys).orderBy(*order, F.col("_tie").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    narrow = rows.select(*dict.fromkeys([*keys, *place, *order_by]), tie.alias("_tie"))
+    # A column each: a struct of them would be made, and sent, beside them.
+    narrow = narrow.select("*", *[F.first(c).over(by_key).alias(f"_first{i}") for i, c in enumerate(place)])
+    there = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_first{i}")) for i, c in enumerate(place)])
+    own = {*keys, *place}
+    marks = narrow.filter(~there).select(
+        *[F.col(f.name) if f.name in own else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+
+    both, to = rows.withColumn("_mark", F.lit(False)).unionAll(marks.withColumn("_mark", F.lit(True))), [place[0]]
+    large = [(r[0], -(-r[1] // piece_rows)) for r in df.groupBy(place[0]).count().filter(F.col("count") > piece_rows).collect()]
+    if large:
+        value = T.StructField("_value", df.schema[place[0]].dataType)
+        pieces = df.sparkSession.createDataFrame(large, T.StructType([value, T.StructField("_pieces", T.LongType())]))
+        both = both.join(F.broadcast(pieces), F.col(place[0]).eqNullSafe(F.col("_value")), "left")
+        both, to = both.withColumn("_piece", F.pmod(key_hash, F.col("_pieces"))).drop("_value", "_pieces"), [place[0], "_piece"]
+    w = Window.partitionBy(*place, *keys, *to[1:]).orderBy(F.col("_mark").desc(), *order, tie.desc())
+    first = both.repartition(*[F.col(c) for c in to]).withColumn("_before", F.lag(F.lit(1)).over(w))
+    return first.filter(F.col("_before").isNull() & ~F.col("_mark")).select(*df.columns)
+
+
 def duplicate_key_count(key: ColumnLike) -> Column:
     """Aggregate: rows minus distinct keys, NULL counting as one key; 0 on empty input."""
     k = F.col(key) if isinstance(key, str) else key

@@ -9,13 +9,14 @@ output, since no oracle can reproduce a clock.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import cleanse as CL
 from riskweave.operators.cleanse import cleanse
-from riskweave.operators.dedup import duplicate_keys, keep_latest
+from riskweave.operators.dedup import CROWDED, duplicate_keys, keep_latest
 from riskweave.operators.features import (
     account_features,
     day_slice,
@@ -66,9 +67,10 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
 def stored_silver(spark: SparkSession, sf: str, first: dt.date, last: dt.date) -> DataFrame:
     """The days ``first`` to ``last`` of the curated table, stored by transaction date in each call."""
     path = scratch_path(spark, "silver-by-date")
-    # Rows move to their day before cleansing, which adds columns (a token of 64 digits) but changes neither day nor account.
-    cur = cleanse(latest(spark, sf, whole=True).hint("rebalance", "transaction_date"), SETTINGS)
-    cur.sortWithinPartitions("transaction_date", "account_number").write.partitionBy("transaction_date").parquet(path)
+    # Rows move to their day and are sorted before cleansing, which adds columns (a token of 64 digits) but changes neither day nor account.
+    place = ("transaction_date", "account_number")
+    cur = cleanse(latest(spark, sf, whole=True, place=place).sortWithinPartitions(*place), SETTINGS)
+    cur.write.partitionBy("transaction_date").parquet(path)
     days = [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
     return read_partitions(spark, path, cur.schema, "transaction_date", days)
 
@@ -77,9 +79,9 @@ def lookback(spark: SparkSession, sf: str) -> DataFrame:
     return stored_silver(spark, sf, FEATURE_DATE - dt.timedelta(days=95), FEATURE_DATE)
 
 
-def latest(spark: SparkSession, sf: str, whole: bool = False) -> DataFrame:
+def latest(spark: SparkSession, sf: str, whole: bool = False, place: Sequence[str] | None = None) -> DataFrame:
     valid, _ = split_invalid(raw_txn(spark, sf))
-    return keep_latest(valid, ["transaction_id"], adapters.TXN_LOAD_ORDER, whole=whole)
+    return keep_latest(valid, ["transaction_id"], adapters.TXN_LOAD_ORDER, CROWDED, place, whole=whole)
 
 
 def q_landing_valid(spark: SparkSession, sf: str) -> DataFrame:
