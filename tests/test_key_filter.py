@@ -96,3 +96,16 @@ def test_generations_are_joined(spark, tmp_root, monkeypatch):
     values = partition_values(spark, path, "d")
     assert [key_filter.possible(spark, path, rows(spark, [k], 1), ["id"], values) for k in range(6)] == [[v] for v in values]
     assert len(set(key_filter._list(spark, path).values())) <= 3
+
+
+def test_filters_are_made_where_rows_are_read(spark, tmp_root):
+    """No shuffle; a partition read by several tasks has several filters, also one without a value."""
+    some = rows(spark, range(600), 1, lambda i: i % 3).repartition(4)
+    plan = key_filter.make_filters(some, ["id"], some["d"].cast("string"), 1)
+    made = plan.collect()
+    assert "hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()  # before: by partition and segment
+    assert len(made) == 12 and {r["part"] for r in made} == {"2024-01-01", "2024-01-02", "2024-01-03"}
+    path = f"{tmp_root}/n"
+    commit(spark, path, spark.createDataFrame([("a", None, 1), ("b", FIRST, 1), (None, FIRST, 1)], SCHEMA), ["id"], "d")
+    found = [key_filter.possible(spark, path, spark.createDataFrame([(k, FIRST, 2)], SCHEMA), ["id"], ["2024-01-01", None]) for k in ("a", "b", "c")]
+    assert found == [[None], ["2024-01-01"], []]
