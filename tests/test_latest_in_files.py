@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from riskweave.operators import dedup
 from riskweave.operators.dedup import keep_latest, latest_in_files
 from riskweave.plans import pipelines as P
-from riskweave.session import FREE_SHUFFLES
+from riskweave.session import FREE_SHUFFLES, setting
 from riskweave.settings import Zones
 from riskweave.sources import tables
 from riskweave.sources.landing import landing_path
@@ -103,3 +103,38 @@ def test_jobs_leave_no_shuffle_files(spark, tmp_root, monkeypatch):
     while left() - before and time.time() < deadline:  # files are deleted beside the job
         time.sleep(0.2)
     assert not left() - before and keep and set(during) == {"true"} and spark.conf.get(FREE_SHUFFLES) == "false"
+
+
+def test_landed_rows_get_their_metadata_behind_the_shuffle(spark, tmp_root, monkeypatch):
+    zones, written, plain = Zones(tmp_root), [], tables._write_observed
+    monkeypatch.setattr(tables, "_write_observed", lambda s, df, path, *a, **k: written.append((path, df)) or plain(s, df, path, *a, **k))
+    rows = [txn(f"t{i}", None if i % 10 == 0 else "A", f"2024-03-{1 + i % 9:02d}", float(i)) for i in range(100)]
+    landing = _land(spark, zones, RUN, rows)
+    assert (landing.quarantined_rows, landing.landed_rows) == (10, 100)
+    bronze = next(df for path, df in written if "transactions" in path and "quarantine" not in path)
+    shuffles = _whole_row_shuffles(bronze)
+    assert len(shuffles) == 1 and "_pipeline_version" not in shuffles[0] and "_ingestion_timestamp" not in shuffles[0]
+    got = spark.read.parquet(zones.transactions)
+    assert got.count() == 90 and got.filter("_ingestion_date = '2024-04-01' AND _ingestion_timestamp IS NOT NULL").count() == 90
+
+
+def test_a_busy_first_landing_leaves_one_file_a_day(spark, tmp_root):
+    """Tasks above the advisory size: days are not cut, so the layout step has nothing to join."""
+    zones, advisory = Zones(tmp_root), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = [txn(f"t{i}", f"A{i % 7}", f"2024-03-{1 + i % 9:02d}", float(i)) for i in range(3000)]
+    schema = spark.createDataFrame([], TXN_COLUMNS).schema
+    with setting(spark, advisory, "2k"):
+        spark.createDataFrame(rows, TXN_COLUMNS).repartition(8).write.parquet(landing_path(zones, RUN))
+        landing = P.land_batch(spark, zones, RUN, schema)
+        P.cleanse_days(spark, zones, landing.bronze.touched_partitions, schema, settings=SALTED)
+    for path in (zones.transactions, zones.transactions_clean):
+        assert len(spark.read.parquet(path).inputFiles()) == 9 and spark.read.parquet(path).count() == 3000  # several a day before
+
+
+def test_a_large_partition_is_dealt_by_key(spark, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 100)
+    df = spark.range(1000).selectExpr("concat('k', id) AS k", "if(id < 900, 'big', if(id < 950, 'small', NULL)) AS d")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        parts = tables.dealt_by_partition(df, ["k"], "d").rdd.glom().collect()
+    assert sum(map(len, parts)) == 1000 and sum(any(r.d == "big" for r in p) for p in parts) > 1
+    assert sum(any(r.d == "small" for r in p) for p in parts) == sum(any(r.d is None for r in p) for p in parts) == 1
