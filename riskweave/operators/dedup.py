@@ -35,7 +35,7 @@ def crowded_buckets(df: DataFrame, keys: Sequence[str], crowded: int = CROWDED)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLike], crowded: int = CROWDED,
-                place: Sequence[str] | None = None, whole: bool = False) -> DataFrame:
+                place: Sequence[str] | None = None, whole: bool = False, tie: Column | None = None) -> DataFrame:
     """One row per key: the first by ``order_by`` (names mean "descending").
 
     Rows that tie on every ``order_by`` column are ordered by a hash of the whole
@@ -53,10 +53,12 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLik
 
     With ``place`` (the columns a table is stored and sorted by) whole rows move once, to their place: see
     ``latest_in_place``. The rows are the same.
+
+    ``tie``: what settles ties instead of the hash of the whole row.
     """
     if place is not None:
         return latest_in_place(df, keys, order_by, place, crowded)
-    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]) if tie is None else tie
     w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in order_by], tiebreak.desc())
     hot = F.broadcast(crowded_buckets(df, keys, crowded))
     rows = df.withColumn("_bucket", _bucket(keys))
@@ -117,6 +119,8 @@ MASK_BYTES = 128 << 20
 
 def with_position(df: DataFrame) -> DataFrame | None:
     """``df`` with the file (``_file``) of each row and its number there (``_row``); None where rows are not those of files."""
+    if {"_file", "_row"} <= set(df.columns):
+        return df
     try:
         return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     except AnalysisException:
@@ -136,25 +140,25 @@ def latest_in_files(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     Key, order, hash and position (file, number in it) of every row are sent by key. The positions of the first rows
     become bitmaps of 32,768 rows, stored at ``path``; a second scan keeps the rows whose bit is set. The bitmaps are
     broadcast, a bit a row of the files: None is returned where they would pass ``MASK_BYTES``, or where ``df`` is not
-    rows as files hold them. The caller deletes ``path`` when the rows are written. Ties are settled as by ``keep_latest``.
+    rows as files hold them (``with_position``; its columns may be there already, and are not returned). The caller deletes ``path`` when the rows are written. Ties are settled as by ``keep_latest``.
     ``count`` gets the rows of ``df`` as ``rows``.
     """
-    spark, placed = df.sparkSession, with_position(df)
+    spark, placed, columns = df.sparkSession, with_position(df), [c for c in df.columns if c not in ("_file", "_row")]
     if placed is None or mask_bytes(placed) > MASK_BYTES:
         return None
-    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
+    tie = F.xxhash64(*[F.col(c) for c in columns]).alias("_tie")
     narrow = placed.select(*dict.fromkeys([*keys, *order_by]), tie, "_file", "_row")
     if count is not None:
         narrow = narrow.observe(count, F.count(F.lit(1)).alias("rows"))
-    first = keep_latest(narrow, keys, [*order_by, "_tie"], crowded, whole=True)
+    first = keep_latest(narrow, keys, order_by, crowded, tie=F.col("_tie"))
     block, bit = F.expr(f"_row div {MASK_ROWS}").alias("_block"), (F.col("_row") % MASK_ROWS).alias("_bit")
-    bits = first.select("_file", block, bit).repartition("_file", "_block").groupBy("_file", "_block").agg(
+    bits = first.select("_file", block, bit).hint("repartition", "_file", "_block").groupBy("_file", "_block").agg(
         F.bitmap_construct_agg("_bit").alias("_bits"))
     bits.write.parquet(path)
     masks = F.broadcast(spark.read.schema(bits.schema).parquet(path))
     rows = placed.select("*", block, bit).join(masks, ["_file", "_block"])
     byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return rows.filter(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*df.columns)
+    return rows.filter(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*columns)
 
 
 def duplicate_key_count(key: ColumnLike) -> Column:

@@ -23,8 +23,8 @@ from riskweave.operators.layout import (
 )
 from riskweave.plans.oracle import FEATURE_DATE, RUN_DATE, SETTINGS
 from riskweave.plans.pipelines import daily_chain
-from riskweave.plans.queries import raw_txn, silver, stable
-from riskweave.session import scratch_path
+from riskweave.plans.queries import raw_txn, silver, silver_in_files, stable
+from riskweave.session import frees_shuffles, scratch_path
 from riskweave.settings import Zones
 from riskweave.sources import adapters
 from riskweave.sources.file_index import lookup, refresh, skipping_by_index
@@ -51,13 +51,14 @@ def _small_files(spark: SparkSession, sf: str, pieces: int = 1) -> tuple[int, in
     return target, max(1, adapters.table(spark, sf, "lineitem").count() // (max(2, small) * pieces))
 
 
+@frees_shuffles
 def _fragmented_silver(spark: SparkSession, sf: str) -> tuple[str, DataFrame, int]:
     """The curated table as files a quarter of the wanted size (the layout to fix)."""
     path = scratch_path(spark, "silver")
-    cur = silver(spark, sf)
     target, rows = _small_files(spark, sf)
-    cur.write.option("maxRecordsPerFile", rows).parquet(path)
-    return path, cur, target
+    with silver_in_files(spark, sf) as cur:
+        cur.write.option("maxRecordsPerFile", rows).parquet(path)
+    return path, silver(spark, sf), target
 
 
 def q_table_detail(spark: SparkSession, sf: str) -> DataFrame:

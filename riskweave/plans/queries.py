@@ -9,14 +9,15 @@ output, since no oracle can reproduce a clock.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import cleanse as CL
 from riskweave.operators.cleanse import cleanse
-from riskweave.operators.dedup import CROWDED, duplicate_keys, keep_latest
+from riskweave.operators.dedup import CROWDED, duplicate_keys, keep_latest, latest_in_files
 from riskweave.operators.features import (
     account_features,
     day_slice,
@@ -42,7 +43,7 @@ from riskweave.session import scratch_path, shared_dir
 from riskweave.settings import CHANNEL_ALIASES, Zones
 from riskweave.sources import adapters
 from riskweave.sources.landing import with_metadata
-from riskweave.sources.tables import read_partitions
+from riskweave.sources.tables import delete_path, read_partitions
 
 
 VOLATILE = ("_ingestion_timestamp", "_silver_processed_at", "_feature_created_at")
@@ -64,6 +65,19 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return cleanse(latest(spark, sf), SETTINGS)
 
 
+@contextmanager
+def silver_in_files(spark: SparkSession, sf: str) -> Iterator[DataFrame]:
+    """``silver`` for a query that stores it: its whole rows are not shuffled, but stay in the tasks that read the table. To be
+    written within the context, which holds the bitmaps that say which rows stay."""
+    masks = scratch_path(spark, "latest")
+    valid, _ = split_invalid(adapters.transactions(spark, sf, placed=True))
+    try:
+        rows = latest_in_files(valid, ["transaction_id"], adapters.TXN_LOAD_ORDER, masks, CROWDED)
+        yield silver(spark, sf) if rows is None else cleanse(rows, SETTINGS)
+    finally:
+        delete_path(spark, masks)
+
+
 def stored_silver(spark: SparkSession, sf: str, first: dt.date, last: dt.date) -> DataFrame:
     """The days ``first`` to ``last`` of the curated table, stored by transaction date in each call."""
     path = scratch_path(spark, "silver-by-date")

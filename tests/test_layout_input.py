@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
+import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
 
 from riskweave.operators.layout import bounds, cluster, compact, file_groups, files
 from riskweave.plans import layout_queries as L
+from riskweave.plans import queries as Q
+from riskweave.session import FREE_SHUFFLES
 
 
 def test_small_files_are_cut_by_the_writer(spark, monkeypatch):
@@ -41,3 +46,22 @@ def test_compaction_joins_each_group_in_a_task_of_its_own(spark, tmp_root):
     assert len(after) == groups and max(r["file_size"] for r in after) < 2 * target  # one file for all before
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(40_000))
     assert spark.conf.get("spark.sql.unionOutputPartitioning", "true") == "true"
+
+
+def _whole_row_shuffles(df) -> list[str]:
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [x for x in re.findall(r"^\(\d+\) Exchange\n(.*?)\n\n", plan, re.M | re.S) if "merchant_name#" in x]
+
+
+def test_the_curated_table_is_stored_without_shuffling_whole_rows(spark):
+    with Q.silver_in_files(spark, SF001) as cur:
+        assert not _whole_row_shuffles(cur) and _whole_row_shuffles(Q.silver(spark, SF001))
+        assert sorted(map(str, Q.stable(cur).collect())) == sorted(map(str, Q.stable(Q.silver(spark, SF001)).collect()))
+
+
+@pytest.mark.parametrize("query", [L.q_clustered])
+def test_layout_queries_store_it_so_and_free_their_shuffles(spark, monkeypatch, query):
+    seen, plain = [], L.silver_in_files
+    monkeypatch.setattr(L, "silver_in_files", lambda s, sf: seen.append(s.conf.get(FREE_SHUFFLES)) or plain(s, sf))
+    assert query(spark, SF001).count() > 0
+    assert seen == ["true"] and spark.conf.get(FREE_SHUFFLES) == "false"
