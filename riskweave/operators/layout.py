@@ -38,6 +38,7 @@ from riskweave.sources.schema import Versions, load_json, save_json
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 SAMPLE_ROWS = 50_000
+SORT_ROWS = 2_000_000
 
 
 def files(spark: SparkSession, *paths: str) -> DataFrame:
@@ -60,11 +61,11 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
-def bounds(df: DataFrame, columns: Sequence[str], buckets: int, sample_rows: int = SAMPLE_ROWS) -> list[list]:
+def bounds(df: DataFrame, columns: Sequence[str], buckets: int, sample_rows: int = SAMPLE_ROWS, count: int | None = None) -> list[list]:
     """For each column, distinct upper quantiles of a bounded sample of its values (at most ``buckets - 1``).
-    All columns come from one count and one sample, however many there are."""
+    All columns come from one count (``count``, if it is known) and one sample, however many there are."""
     rows = df.select(*columns)
-    share = min(1.0, sample_rows / max(1, rows.count()))
+    share = min(1.0, sample_rows / max(1, rows.count() if count is None else count))
     sample = (rows if share == 1.0 else rows.sample(share, 17)).collect()
     out = []
     for at in range(len(columns)):
@@ -89,14 +90,14 @@ def _bucket(edges: list, column: Column) -> Column:
     return F.when(column.isNull(), F.lit(0).cast("bigint")).otherwise(search(0, len(edges)))
 
 
-def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str = "_z") -> DataFrame:
+def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str = "_z", count: int | None = None) -> DataFrame:
     """``df`` with the interleaved bucket bits of ``columns`` (``2**bits`` buckets each).
 
     The bucket numbers are computed in a projection of their own, once per row;
     spreading their bits takes a few shifts.
     """
     numbers = [f"_zb{i}" for i in range(len(columns))]
-    edges = bounds(df, columns, 2**bits)
+    edges = bounds(df, columns, 2**bits, count=count)
     out = df.withColumns({b: _bucket(e, F.col(c)) for b, e, c in zip(numbers, edges, columns)})
     z = F.lit(0).cast("bigint")
     for j, b in enumerate(numbers):
@@ -107,11 +108,13 @@ def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str
 
 def cluster(df: DataFrame, columns: Sequence[str], files: int, partition_by: str | None = None,
             bits: int = 8) -> DataFrame:
-    """L2: rows range-partitioned into about ``files`` tasks by Z-order of ``columns``."""
-    lead = [partition_by] if partition_by else []
+    """L2: rows range-partitioned into about ``files`` tasks by Z-order of ``columns``; more, if a task would have more
+    than ``SORT_ROWS`` rows, as each task sorts its rows in memory and file sizes do not tell how many there are."""
+    lead, count = [partition_by] if partition_by else [], df.select(*columns).count()
+    files = max(files, math.ceil(count / SORT_ROWS))
     # The row hash decides the range only; it is not sent with the row.
     return (
-        with_z_value(df, columns, bits)
+        with_z_value(df, columns, bits, count=count)
         .repartitionByRange(files, *lead, "_z", row_hash(df))
         .sortWithinPartitions(*lead, "_z", *columns)
         .drop("_z")

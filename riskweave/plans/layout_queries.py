@@ -125,13 +125,15 @@ def q_skipping_index(spark: SparkSession, sf: str) -> DataFrame:
         "skips_half": F.lit(index["skipped_share"] >= 0.5)})
 
 
+@frees_shuffles
 def q_layout_run(spark: SparkSession, sf: str) -> DataFrame:
     """L4: the runner over a fragmented partitioned table and one that does not exist."""
     root = scratch_path(spark, "layout")
-    cur = silver(spark, sf).withColumn("year", F.year("transaction_date"))
     good = f"{root}/transactions"
     _, rows = _small_files(spark, sf, pieces=YEARS)
-    cur.write.option("maxRecordsPerFile", rows).partitionBy("year").parquet(good)
+    with silver_in_files(spark, sf) as made:
+        cur = made.withColumn("year", F.year("transaction_date"))
+        cur.write.option("maxRecordsPerFile", rows).partitionBy("year").parquet(good)
     specs = [LayoutSpec(good, ("account_number", "transaction_date"), "year", cur.schema, min_files=2),
              LayoutSpec(f"{root}/missing", ("account_number",), "year", cur.schema)]
     report = run_layout(spark, specs, raise_on_failure=False)

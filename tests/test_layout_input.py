@@ -8,6 +8,7 @@ import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
 
+from riskweave.operators import layout
 from riskweave.operators.layout import bounds, cluster, compact, file_groups, files
 from riskweave.plans import layout_queries as L
 from riskweave.plans import queries as Q
@@ -59,9 +60,16 @@ def test_the_curated_table_is_stored_without_shuffling_whole_rows(spark):
         assert sorted(map(str, Q.stable(cur).collect())) == sorted(map(str, Q.stable(Q.silver(spark, SF001)).collect()))
 
 
-@pytest.mark.parametrize("query", [L.q_clustered])
+@pytest.mark.parametrize("query", [L.q_clustered, L.q_layout_run])
 def test_layout_queries_store_it_so_and_free_their_shuffles(spark, monkeypatch, query):
     seen, plain = [], L.silver_in_files
     monkeypatch.setattr(L, "silver_in_files", lambda s, sf: seen.append(s.conf.get(FREE_SHUFFLES)) or plain(s, sf))
     assert query(spark, SF001).count() > 0
     assert seen == ["true"] and spark.conf.get(FREE_SHUFFLES) == "false"
+
+
+def test_a_large_table_that_packs_well_is_clustered_in_tasks_that_fit(spark, monkeypatch):
+    monkeypatch.setattr(layout, "SORT_ROWS", 100)
+    out = cluster(spark.range(1000).withColumn("v", F.lit(1)), ["id"], 1)
+    assert sorted(r.id for r in out.collect()) == list(range(1000))
+    assert "rangepartitioning" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", 10)" in plan  # one task before
