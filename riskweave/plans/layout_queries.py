@@ -103,12 +103,13 @@ def q_skipping_report(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(b).select("layout", "rows_found", (F.col("skipped_share") >= 0.5).alias("skips_half"))
 
 
+@frees_shuffles
 def q_skipping_index(spark: SparkSession, sf: str) -> DataFrame:
     """L5 by file statistics: two thirds of the curated table clustered and indexed, the rest appended (its files alone
     are scanned then), and an account lookup through the statistics, whose figures equal those of a scan."""
     path, plain = scratch_path(spark, "indexed"), scratch_path(spark, "silver")
-    made = silver(spark, sf)
-    made.write.parquet(plain)  # both parts are read several times (bounds, ranges, rows)
+    with silver_in_files(spark, sf) as made:
+        made.write.parquet(plain)  # both parts are read several times (bounds, ranges, rows)
     cur = spark.read.schema(made.schema).parquet(plain)
     late = F.col("load_seq") % 3 == 0
     target = max(1, _target_bytes(spark, f"{sf}/lineitem.parquet") // 2)

@@ -60,7 +60,7 @@ def test_the_curated_table_is_stored_without_shuffling_whole_rows(spark):
         assert sorted(map(str, Q.stable(cur).collect())) == sorted(map(str, Q.stable(Q.silver(spark, SF001)).collect()))
 
 
-@pytest.mark.parametrize("query", [L.q_clustered, L.q_layout_run])
+@pytest.mark.parametrize("query", [L.q_clustered, L.q_skipping_index, L.q_layout_run])
 def test_layout_queries_store_it_so_and_free_their_shuffles(spark, monkeypatch, query):
     seen, plain = [], L.silver_in_files
     monkeypatch.setattr(L, "silver_in_files", lambda s, sf: seen.append(s.conf.get(FREE_SHUFFLES)) or plain(s, sf))
